@@ -151,7 +151,7 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
 
 def upsert_counts(actions: DataFrame) -> DataFrame:
     """inserted / updated / unchanged counts of one upsert."""
-    return actions.groupBy("action").agg(F.count(F.lit(1)).alias("rows"))
+    return actions.groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def build_fact(orders: DataFrame, items: DataFrame, dim_customer: DataFrame,

@@ -1,7 +1,7 @@
 """Surrogate keys, insert-if-absent and exact running totals.
 
 O-30 assign_sk, O-31 insert_absent, and the running total behind them (also
-used by the Pareto curve, O-61).
+used by the Pareto curve, O-61), plus ``lag_within`` (purchase interval, O-62).
 
 A global ``row_number()`` / cumulative ``sum()`` without PARTITION BY runs in
 a single task.  ``running_total`` gives the same numbers with the work spread
@@ -39,41 +39,48 @@ def _sort_exprs(cols: Sequence[str | Column]) -> list[Column]:
 
 def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column | None = None,
                   partition_by: Sequence[str] = (), out: str = "running",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None,
+                  values: dict[str, Column] | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (default: running count) over
     ``order_by`` within each ``partition_by`` group, rows from the first up to
-    the current one.  The order must be total (unique) for a deterministic result."""
+    the current one; ``values`` ({out: column}) computes several running sums
+    in the same pass.  The order must be total (unique) for a deterministic
+    result."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = list(partition_by)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(parts) + _sort_exprs(order_by)
-    v = value if value is not None else F.lit(1).cast("bigint")
-    staged = (df.withColumn("_rt_v", v)
+    if values is None:
+        values = {out: value if value is not None else F.lit(1).cast("bigint")}
+    vcols = {f"_rt_v{i}": (o, c) for i, (o, c) in enumerate(values.items())}
+    staged = (df.withColumns({k: c for k, (_, c) in vcols.items()})
               .repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .checkpoint(eager=True))
-    mid = F.monotonically_increasing_id()
-    staged = staged.withColumn("_rt_mid", mid).withColumn(
+    staged = staged.withColumn("_rt_mid", F.monotonically_increasing_id()).withColumn(
         "_rt_pid", F.shiftright(F.col("_rt_mid"), _POS_BITS))
 
-    totals = staged.groupBy("_rt_pid", *parts).agg(F.sum("_rt_v").alias("_rt_tot"))
+    totals = staged.groupBy("_rt_pid", *parts).agg(
+        *[F.sum(k).alias(f"{k}_tot") for k in vcols])
     before = Window.partitionBy(*parts).orderBy("_rt_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = totals.select("_rt_pid", *parts,
-                            F.coalesce(F.sum("_rt_tot").over(before),
-                                       F.lit(0).cast(totals.schema["_rt_tot"].dataType))
-                            .alias("_rt_off"))
+    offsets = totals.select("_rt_pid", *parts, *[
+        F.coalesce(F.sum(f"{k}_tot").over(before),
+                   F.lit(0).cast(totals.schema[f"{k}_tot"].dataType)).alias(f"{k}_off")
+        for k in vcols])
     if not parts:
         # one row per range partition: a proven, tiny size
         offsets = F.broadcast(offsets)
 
     inside = Window.partitionBy("_rt_pid", *parts).orderBy("_rt_mid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    with_cum = staged.withColumn("_rt_cum", F.sum("_rt_v").over(inside))
+    with_cum = staged.withColumns({f"{k}_cum": F.sum(k).over(inside) for k in vcols})
     joined = with_cum.join(offsets, on=["_rt_pid", *parts], how="inner")
-    return (joined.withColumn(out, F.col("_rt_off") + F.col("_rt_cum"))
-            .drop("_rt_v", "_rt_mid", "_rt_pid", "_rt_cum", "_rt_off", "_rt_tot"))
+    joined = joined.withColumns({o: F.col(f"{k}_off") + F.col(f"{k}_cum")
+                                 for k, (o, _) in vcols.items()})
+    drop = ["_rt_mid", "_rt_pid"] + [f"{k}{s}" for k in vcols for s in ("", "_cum", "_off")]
+    return joined.drop(*drop)
 
 
 def insert_absent(target: DataFrame | None, src: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,3 +113,38 @@ def assign_sk(new_rows: DataFrame, keys: Sequence[str], sk: str,
     if existing is None:
         return added
     return existing.select(sk, *cols).unionByName(added)
+
+
+def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
+               value: str, out: str, num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = ``value`` of the previous row (by ``order_by``) in the
+    same ``group_by`` group -- LAG(value, 1) -- without putting a whole group
+    in one task.
+
+    Rows are range-partitioned on (group, order) and checkpointed; LAG runs
+    inside each (partition, group) slice, and the first row of a slice takes
+    the last value of the same group in the nearest earlier partition, found
+    on the table of per-slice last values (one row per slice).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    groups = list(group_by)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _sort_exprs(groups) + _sort_exprs(order_by)
+    staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .checkpoint(eager=True)
+              .withColumn("_lg_mid", F.monotonically_increasing_id()))
+    staged = staged.withColumn("_lg_pid", F.shiftright(F.col("_lg_mid"), _POS_BITS))
+    inside = Window.partitionBy("_lg_pid", *groups).orderBy("_lg_mid")
+    with_lag = staged.withColumns({
+        "_lg_prev": F.lag(value, 1).over(inside),
+        "_lg_first": F.row_number().over(inside) == 1,
+    })
+    last = (staged.groupBy("_lg_pid", *groups)
+            .agg(F.max_by(F.col(value), F.col("_lg_mid")).alias("_lg_last")))
+    carry = last.select("_lg_pid", *groups, F.lag("_lg_last", 1).over(
+        Window.partitionBy(*groups).orderBy("_lg_pid")).alias("_lg_carry"))
+    joined = with_lag.join(carry, ["_lg_pid", *groups], "left")
+    return (joined.withColumn(out, F.when(F.col("_lg_first"), F.col("_lg_carry"))
+                              .otherwise(F.col("_lg_prev")))
+            .drop("_lg_mid", "_lg_pid", "_lg_prev", "_lg_first", "_lg_carry"))

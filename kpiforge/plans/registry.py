@@ -7,7 +7,7 @@ from . import catalog
 
 def _load() -> None:
     # importing the modules registers their queries
-    from . import catalog as _c  # noqa: F401
+    from . import q_experiment, q_external, q_mix, q_quality, q_staging, q_trends  # noqa: F401
 
 
 def queries():

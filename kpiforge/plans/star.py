@@ -77,3 +77,44 @@ def star_for(spark: SparkSession, sf_dir: str) -> Star:
 
 def latest(star: Star) -> DataFrame:
     return latest_items(star.items)
+
+
+def _extra(star: Star, name: str, build):
+    if name not in star.extra:
+        star.extra[name] = build()
+    return star.extra[name]
+
+
+def latest_items_of(star: Star) -> DataFrame:
+    """Latest version of each staged item, materialized once."""
+    return _extra(star, "latest_items", lambda: _materialize(latest_items(star.items)))
+
+
+def dim_seller_of(star: Star) -> DataFrame:
+    from ..operators.dims import build_dim_seller
+    return _extra(star, "dim_seller", lambda: _materialize(build_dim_seller(star.sellers)))
+
+
+def holidays_of(star: Star, city: str, state: str) -> DataFrame:
+    from ..sources.external import load_holidays
+    return _extra(star, f"holidays:{city}:{state}", lambda: load_holidays(
+        testdata.holidays_raw(star.orders, city, state), star.calendar, city, state))
+
+
+def weather_of(star: Star, city: str) -> DataFrame:
+    from ..sources.external import clean_weather
+    return _extra(star, f"weather:{city}", lambda: clean_weather(
+        testdata.weather_raw(star.calendar, city)))
+
+
+def dim_external_of(star: Star, city: str, state: str) -> DataFrame:
+    from ..operators.dims import build_dim_external
+    return _extra(star, f"dim_external:{city}", lambda: _materialize(build_dim_external(
+        holidays_of(star, city, state), weather_of(star, city))))
+
+
+def fact_external_of(star: Star, city: str, state: str) -> DataFrame:
+    from ..operators.fact import enrich_fact
+    return _extra(star, f"fact_external:{city}", lambda: _materialize(enrich_fact(
+        star.fact, latest_items_of(star), dim_seller_of(star),
+        dim_external_of(star, city, state), star.customer, star.calendar)))

@@ -149,16 +149,16 @@ def manifest(df: DataFrame, source_col: str = "_source_file", hash_col: str = "_
     fingerprint) per source file."""
     h = F.conv(F.substring(F.col(hash_col), 1, 15), 16, 10).cast("bigint")
     return (df.groupBy(F.col(source_col).alias("source_file"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("checksum")))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("checksum")))
 
 
 # ---------------------------------------------------------------------------
 # O-09 / O-72 post-load row counts
 # ---------------------------------------------------------------------------
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """UNION ALL of (table_name, rows); each count is a partial+final aggregate."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
+    """UNION ALL of (table_name, n_rows); each count is a partial+final aggregate."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(name).alias("table_name"), "n_rows") for name, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
