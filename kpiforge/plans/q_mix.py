@@ -34,7 +34,7 @@ def top_categories(s: Star) -> DataFrame:
 , top AS (SELECT category FROM vw_category_share_sp GROUP BY category
           ORDER BY sum(revenue_cat) DESC, category LIMIT {TOP_K}),
 cells AS (SELECT CAST(year AS VARCHAR) || ' Q' || CAST(quarter AS VARCHAR) AS label, category,
-                 round(CAST(share_cat AS DOUBLE), 6) AS v
+                 CAST(round(CAST(CAST(share_cat AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) AS v
           FROM vw_category_share_sp WHERE category IN (SELECT category FROM top))
 SELECT * FROM (PIVOT cells ON category USING first(v) GROUP BY label)
 """.replace("\n, top AS", ", top AS", 1)))

@@ -209,7 +209,7 @@ def insert_absent(s: Star) -> DataFrame:
 @register("fact_rows", O.q("""
 SELECT event_id, order_id, order_item_id, CAST(price AS DECIMAL(38,2)) AS price,
        CAST(freight_value AS DECIMAL(38,2)) AS freight_value,
-       round(lead_time_days, 6) AS lead_time_days, on_time_flag, calendar_sk, customer_sk,
+       CAST(round(CAST(lead_time_days AS DECIMAL(38,10)), 6) AS DOUBLE) AS lead_time_days, on_time_flag, calendar_sk, customer_sk,
        product_sk, CAST(NULL AS BIGINT) AS seller_sk, CAST(NULL AS BIGINT) AS external_sk, _row_md5
 FROM fact
 """))
