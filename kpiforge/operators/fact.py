@@ -112,14 +112,23 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
     row stay (the reference never deletes).
     """
     keys = list(keys)
-    if check_unique:
-        assert_unique(src, keys)
     value_cols = [c for c in src.columns if c not in keys]
     if target is None:
-        numbered = running_total(src, order_by=keys, out="_rank")
+        # First load: number the rows and, in the same pass, flag a key equal
+        # to its predecessor in key order; the numbered table is materialized
+        # once, so the duplicate test is a scan of it, not another shuffle.
+        numbered = running_total(src, order_by=keys, out="_rank",
+                                 flag_duplicates=check_unique).checkpoint(eager=True)
+        if check_unique:
+            dup = numbered.filter(F.col("_dup_key")).select(*keys).limit(1).collect()
+            if dup:
+                raise DuplicateKeyError(f"source repeats key {dup[0].asDict()}")
         table = numbered.select(F.col("_rank").cast("bigint").alias(id_col), *keys, *value_cols)
         return UpsertResult(table, table.select(*keys, F.lit("insert").alias("action")))
 
+    if check_unique:
+        assert_unique(src, keys)
+
     start = target.agg(F.max(id_col)).first()[0] or 0
     t = target.select(id_col, *keys, *[F.col(c).alias(f"_t_{c}") for c in value_cols])
     s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols],

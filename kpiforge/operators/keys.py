@@ -40,12 +40,15 @@ def _sort_exprs(cols: Sequence[str | Column]) -> list[Column]:
 def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column | None = None,
                   partition_by: Sequence[str] = (), out: str = "running",
                   num_partitions: int | None = None,
-                  values: dict[str, Column] | None = None) -> DataFrame:
+                  values: dict[str, Column] | None = None,
+                  flag_duplicates: bool = False) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (default: running count) over
     ``order_by`` within each ``partition_by`` group, rows from the first up to
     the current one; ``values`` ({out: column}) computes several running sums
     in the same pass.  The order must be total (unique) for a deterministic
-    result."""
+    result.  ``flag_duplicates`` adds ``_dup_key``: true on a row whose
+    (group, order) values equal the previous row's -- equal keys always land
+    in the same range partition, so this is exact and costs no extra shuffle."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = list(partition_by)
@@ -76,6 +79,14 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column
     inside = Window.partitionBy("_rt_pid", *parts).orderBy("_rt_mid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     with_cum = staged.withColumns({f"{k}_cum": F.sum(k).over(inside) for k in vcols})
+    if flag_duplicates:
+        prev_w = Window.partitionBy("_rt_pid", *parts).orderBy("_rt_mid")
+        key_cols = parts + [c for c in order_by if isinstance(c, str)]
+        same = None
+        for c in key_cols:
+            eq = F.col(c).eqNullSafe(F.lag(c, 1).over(prev_w))
+            same = eq if same is None else (same & eq)
+        with_cum = with_cum.withColumn("_dup_key", F.coalesce(same, F.lit(False)))
     joined = with_cum.join(offsets, on=["_rt_pid", *parts], how="inner")
     joined = joined.withColumns({o: F.col(f"{k}_off") + F.col(f"{k}_cum")
                                  for k, (o, _) in vcols.items()})

@@ -47,16 +47,20 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 
 def build_star(staging: dict[str, DataFrame], deaccent: bool = False) -> Star:
-    orders = staging["orders_raw"]
-    spark = orders.sparkSession
+    """Staging tables are materialized first (the reference's staging schema),
+    so each dimension and the fact read them once instead of re-deriving them."""
+    spark = staging["orders_raw"].sparkSession
     ensure_checkpoint_dir(spark)
+    staging = {**staging,
+               "orders_raw": _materialize(staging["orders_raw"]),
+               "order_items_raw": _materialize(staging["order_items_raw"])}
+    orders = staging["orders_raw"]
     calendar = _materialize(build_calendar(orders))
     n_days = calendar.count()
     customer = _materialize(build_dim_customer(staging["customers_raw"], deaccent=deaccent))
     product = _materialize(build_dim_product(staging["products_raw"]))
     cal_join = calendar_for_join(calendar, n_days)
-    fact = _materialize(build_fact(orders, staging["order_items_raw"], customer, product,
-                                   cal_join).table)
+    fact = build_fact(orders, staging["order_items_raw"], customer, product, cal_join).table
     return Star(orders=orders, items=staging["order_items_raw"],
                 customers=staging["customers_raw"], products=staging["products_raw"],
                 reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],

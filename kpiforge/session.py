@@ -24,6 +24,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
