@@ -82,11 +82,12 @@ def dq_ranges(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
         F.col("_rows").cast("bigint").alias("n_rows"))
 
 
-FACT_RANGE_RULES = {
-    "negative_price": F.col("price") < 0,
-    "negative_freight": F.col("freight_value") < 0,
-    "negative_lead_time": F.col("lead_time_days") < 0,
-}
+def fact_range_rules() -> dict[str, Column]:
+    return {
+        "negative_price": F.col("price") < 0,
+        "negative_freight": F.col("freight_value") < 0,
+        "negative_lead_time": F.col("lead_time_days") < 0,
+    }
 
 
 # ---------------------------------------------------------------------------
@@ -119,9 +120,8 @@ def split_quarantine(df: DataFrame, rules: Mapping[str, Column]) -> Split:
     return Split(good, bad, counts)
 
 
-ORDER_DATE_RULES = {
-    "inverted_dates": F.col("order_delivered_customer_date") < F.col("order_approved_at"),
-}
+def order_date_rules() -> dict[str, Column]:
+    return {"inverted_dates": F.col("order_delivered_customer_date") < F.col("order_approved_at")}
 
 
 # ---------------------------------------------------------------------------

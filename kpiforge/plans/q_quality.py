@@ -45,7 +45,7 @@ UNION ALL SELECT 'negative_lead_time', count(*) FILTER (WHERE lead_time_days < 0
 @register("dq_ranges", O.q(_RANGES_SQL))
 def dq_ranges(s: Star) -> DataFrame:
     """O-80: negative price / freight / lead time, one pass over the fact."""
-    return Q.dq_ranges(s.fact, Q.FACT_RANGE_RULES)
+    return Q.dq_ranges(s.fact, Q.fact_range_rules())
 
 
 @register("dq_quarantine", O.q("""
@@ -54,7 +54,7 @@ WHERE order_delivered_customer_date < order_approved_at
 """))
 def dq_quarantine(s: Star) -> DataFrame:
     """O-81: staged orders delivered before approval, split to quarantine."""
-    split = Q.split_quarantine(s.orders, Q.ORDER_DATE_RULES)
+    split = Q.split_quarantine(s.orders, Q.order_date_rules())
     return split.quarantine.select("order_id", "reason")
 
 
@@ -154,8 +154,8 @@ def dq_report(s: Star) -> DataFrame:
         Q.dq_reconcile(orphan, f).select(F.lit("orphan_surrogate_key").alias("check"),
                                          F.col("expected_rows").alias("violations"),
                                          F.col("loaded_rows").alias("n_rows")),
-        Q.dq_ranges(f, Q.FACT_RANGE_RULES),
-        Q.dq_ranges(s.orders, Q.ORDER_DATE_RULES),
+        Q.dq_ranges(f, Q.fact_range_rules()),
+        Q.dq_ranges(s.orders, Q.order_date_rules()),
         Q.dq_ranges(delivered(s.orders),
                     {"null_estimated_date": F.col("order_estimated_delivery_date").isNull()}),
         Q.dq_ranges(s.customers, {"city_not_normalized":

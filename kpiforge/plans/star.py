@@ -2,10 +2,11 @@
 
 ``build_star`` runs the reference's load order: calendar (O-27), customer
 (O-28) and product (O-29) dimensions, then the fact through the keyed
-upsert (O-34/O-35).  Each finished table is checkpointed into
-``spark.checkpoint.dir`` -- the library's stand-in for the core schema's
-tables -- so the KPI jobs read materialized tables and an executor loss
-never re-derives keys.
+upsert (O-34/O-35).  Each finished table is written as parquet under
+``spark.checkpoint.dir`` (the shared folder; the library's stand-in for the
+staging and core schemas) and read back, so lineage is cut, an executor loss
+never re-derives keys, and the KPI jobs get column pruning and pushed
+filters on the scans.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dims import (build_calendar, build_dim_customer, build_dim_product,
                               calendar_for_join)
 from ..operators.fact import build_fact, latest_items
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import testdata
 
 
@@ -42,8 +43,12 @@ class Star:
         return calendar_for_join(self.calendar, self.n_days)
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a warehouse table (parquet, a fresh version folder) and read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"warehouse/{name}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def build_star(staging: dict[str, DataFrame], deaccent: bool = False) -> Star:
@@ -52,15 +57,17 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False) -> Star:
     spark = staging["orders_raw"].sparkSession
     ensure_checkpoint_dir(spark)
     staging = {**staging,
-               "orders_raw": _materialize(staging["orders_raw"]),
-               "order_items_raw": _materialize(staging["order_items_raw"])}
+               "orders_raw": _materialize(staging["orders_raw"], "orders_raw"),
+               "order_items_raw": _materialize(staging["order_items_raw"], "order_items_raw")}
     orders = staging["orders_raw"]
-    calendar = _materialize(build_calendar(orders))
+    calendar = _materialize(build_calendar(orders), "dim_calendar")
     n_days = calendar.count()
-    customer = _materialize(build_dim_customer(staging["customers_raw"], deaccent=deaccent))
-    product = _materialize(build_dim_product(staging["products_raw"]))
+    customer = _materialize(build_dim_customer(staging["customers_raw"], deaccent=deaccent),
+                            "dim_customer")
+    product = _materialize(build_dim_product(staging["products_raw"]), "dim_product")
     cal_join = calendar_for_join(calendar, n_days)
-    fact = build_fact(orders, staging["order_items_raw"], customer, product, cal_join).table
+    fact = _materialize(build_fact(orders, staging["order_items_raw"], customer, product,
+                                   cal_join).table, "fact_events")
     return Star(orders=orders, items=staging["order_items_raw"],
                 customers=staging["customers_raw"], products=staging["products_raw"],
                 reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
@@ -79,10 +86,6 @@ def star_for(spark: SparkSession, sf_dir: str) -> Star:
     return _CACHE[key]
 
 
-def latest(star: Star) -> DataFrame:
-    return latest_items(star.items)
-
-
 def _extra(star: Star, name: str, build):
     if name not in star.extra:
         star.extra[name] = build()
@@ -91,12 +94,12 @@ def _extra(star: Star, name: str, build):
 
 def latest_items_of(star: Star) -> DataFrame:
     """Latest version of each staged item, materialized once."""
-    return _extra(star, "latest_items", lambda: _materialize(latest_items(star.items)))
+    return _extra(star, "latest_items", lambda: _materialize(latest_items(star.items), "latest_items"))
 
 
 def dim_seller_of(star: Star) -> DataFrame:
     from ..operators.dims import build_dim_seller
-    return _extra(star, "dim_seller", lambda: _materialize(build_dim_seller(star.sellers)))
+    return _extra(star, "dim_seller", lambda: _materialize(build_dim_seller(star.sellers), "dim_seller"))
 
 
 def holidays_of(star: Star, city: str, state: str) -> DataFrame:
@@ -114,11 +117,11 @@ def weather_of(star: Star, city: str) -> DataFrame:
 def dim_external_of(star: Star, city: str, state: str) -> DataFrame:
     from ..operators.dims import build_dim_external
     return _extra(star, f"dim_external:{city}", lambda: _materialize(build_dim_external(
-        holidays_of(star, city, state), weather_of(star, city))))
+        holidays_of(star, city, state), weather_of(star, city)), "dim_external"))
 
 
 def fact_external_of(star: Star, city: str, state: str) -> DataFrame:
     from ..operators.fact import enrich_fact
     return _extra(star, f"fact_external:{city}", lambda: _materialize(enrich_fact(
         star.fact, latest_items_of(star), dim_seller_of(star),
-        dim_external_of(star, city, state), star.customer, star.calendar)))
+        dim_external_of(star, city, state), star.customer, star.calendar), "fact_external"))
