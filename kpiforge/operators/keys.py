@@ -31,6 +31,24 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _POS_BITS = 33
+# Inputs whose plan-size estimate is at most this many bytes may be numbered
+# by one task (a plain window); the estimate is Catalyst's, the same upper
+# bound Spark trusts for broadcast decisions (file sizes, no row guesses).
+SINGLE_TASK_MAX_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an upper bound without CBO)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def _small(df: DataFrame, limit: int | None) -> bool:
+    lim = SINGLE_TASK_MAX_BYTES if limit is None else limit
+    return lim > 0 and estimated_bytes(df) <= lim
 
 
 def _sort_exprs(cols: Sequence[str | Column]) -> list[Column]:
@@ -41,21 +59,41 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column
                   partition_by: Sequence[str] = (), out: str = "running",
                   num_partitions: int | None = None,
                   values: dict[str, Column] | None = None,
-                  flag_duplicates: bool = False) -> DataFrame:
+                  flag_duplicates: bool = False,
+                  single_task_max_bytes: int | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (default: running count) over
     ``order_by`` within each ``partition_by`` group, rows from the first up to
     the current one; ``values`` ({out: column}) computes several running sums
     in the same pass.  The order must be total (unique) for a deterministic
     result.  ``flag_duplicates`` adds ``_dup_key``: true on a row whose
     (group, order) values equal the previous row's -- equal keys always land
-    in the same range partition, so this is exact and costs no extra shuffle."""
+    in the same range partition, so this is exact and costs no extra shuffle.
+
+    An input whose size estimate is at most ``single_task_max_bytes``
+    (default ``SINGLE_TASK_MAX_BYTES``; 0 forces the distributed path) is
+    numbered with a plain window -- a bounded amount of data in one task."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = list(partition_by)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(parts) + _sort_exprs(order_by)
+    count_only = value is None and values is None
     if values is None:
         values = {out: value if value is not None else F.lit(1).cast("bigint")}
+    if _small(df, single_task_max_bytes):
+        w = Window.partitionBy(*parts).orderBy(*_sort_exprs(order_by))
+        cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        res = df.withColumns({o: F.sum(c).over(cum) for o, c in values.items()})
+        if flag_duplicates:
+            key_cols = parts + [c for c in order_by if isinstance(c, str)]
+            same = None
+            for c in key_cols:
+                eq = F.col(c).eqNullSafe(F.lag(c, 1).over(w))
+                same = eq if same is None else (same & eq)
+            res = res.withColumn("_dup_key", F.coalesce(same, F.lit(False)))
+        return res
+    if count_only and not flag_duplicates:
+        return _running_count(df, keys, parts, out, n)
     vcols = {f"_rt_v{i}": (o, c) for i, (o, c) in enumerate(values.items())}
     staged = (df.withColumns({k: c for k, (_, c) in vcols.items()})
               .repartitionByRange(n, *keys)
@@ -94,6 +132,34 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column
     return joined.drop(*drop)
 
 
+def _running_count(df: DataFrame, keys: list[Column], parts: list[str], out: str,
+                   n: int) -> DataFrame:
+    """Row number inside each group without a window: on the checkpointed
+    range-partitioned data a row's position in its partition is its rank in
+    that partition, so rank = rows of the group in earlier partitions +
+    position - first position of the group in this partition + 1.  Only the
+    (partition, group) table is aggregated; no second shuffle of the rows."""
+    staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .checkpoint(eager=True)
+              .withColumn("_rc_mid", F.monotonically_increasing_id()))
+    staged = staged.withColumns({
+        "_rc_pid": F.shiftright(F.col("_rc_mid"), _POS_BITS),
+        "_rc_pos": F.col("_rc_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
+    })
+    slices = staged.groupBy("_rc_pid", *parts).agg(F.count(F.lit(1)).alias("_rc_n"),
+                                                   F.min("_rc_pos").alias("_rc_first"))
+    before = Window.partitionBy(*parts).orderBy("_rc_pid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = slices.select("_rc_pid", *parts, "_rc_first",
+                            F.coalesce(F.sum("_rc_n").over(before), F.lit(0)).alias("_rc_off"))
+    if not parts:
+        offsets = F.broadcast(offsets)     # one row per range partition
+    joined = staged.join(offsets, ["_rc_pid", *parts], "inner")
+    rank = F.col("_rc_off") + F.col("_rc_pos") - F.col("_rc_first") + F.lit(1)
+    return (joined.withColumn(out, rank.cast("bigint"))
+            .drop("_rc_mid", "_rc_pid", "_rc_pos", "_rc_first", "_rc_off"))
+
+
 def insert_absent(target: DataFrame | None, src: DataFrame, keys: Sequence[str]) -> DataFrame:
     """O-31: rows of ``src`` whose key is not in ``target`` (ON CONFLICT DO NOTHING)."""
     if target is None:
@@ -127,7 +193,8 @@ def assign_sk(new_rows: DataFrame, keys: Sequence[str], sk: str,
 
 
 def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
-               value: str, out: str, num_partitions: int | None = None) -> DataFrame:
+               value: str, out: str, num_partitions: int | None = None,
+               single_task_max_bytes: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row (by ``order_by``) in the
     same ``group_by`` group -- LAG(value, 1) -- without putting a whole group
     in one task.
@@ -135,11 +202,15 @@ def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
     Rows are range-partitioned on (group, order) and checkpointed; LAG runs
     inside each (partition, group) slice, and the first row of a slice takes
     the last value of the same group in the nearest earlier partition, found
-    on the table of per-slice last values (one row per slice).
+    on the table of per-slice last values (one row per slice).  Inputs below
+    the single-task size bound use a plain LAG window.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     groups = list(group_by)
+    if _small(df, single_task_max_bytes):
+        w = Window.partitionBy(*groups).orderBy(*_sort_exprs(order_by))
+        return df.withColumn(out, F.lag(value, 1).over(w))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(groups) + _sort_exprs(order_by)
     staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)

@@ -56,9 +56,7 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False) -> Star:
     so each dimension and the fact read them once instead of re-deriving them."""
     spark = staging["orders_raw"].sparkSession
     ensure_checkpoint_dir(spark)
-    staging = {**staging,
-               "orders_raw": _materialize(staging["orders_raw"], "orders_raw"),
-               "order_items_raw": _materialize(staging["order_items_raw"], "order_items_raw")}
+    staging = {name: _materialize(df, name) for name, df in staging.items()}
     orders = staging["orders_raw"]
     calendar = _materialize(build_calendar(orders), "dim_calendar")
     n_days = calendar.count()

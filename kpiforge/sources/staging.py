@@ -128,15 +128,15 @@ def dedup_latest(df: DataFrame, keys: list[str], by: list[str], latest: bool = T
     """One row per key: the greatest (``latest``) or least ``struct(by)``; the
     other columns break ties so the choice is deterministic.
 
-    Written as a ``max_by``/``min_by`` aggregate instead of a ranking window:
+    Written as a ``max``/``min`` of a struct instead of a ranking window:
     the partial aggregate collapses a hot key to one row per map task before
     the shuffle, so a key holding a third of the rows never lands whole in
     one task.
     """
     rest = [c for c in df.columns if c not in keys and c not in by]
+    # the ordering struct holds every non-key column, so it is its own payload
     order = F.struct(*[F.col(c) for c in by + rest])
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    pick = F.max_by(payload, order) if latest else F.min_by(payload, order)
+    pick = F.max(order) if latest else F.min(order)
     return (df.groupBy(*keys).agg(pick.alias("_row"))
             .select(*keys, "_row.*").select(*df.columns))
 

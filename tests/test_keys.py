@@ -22,7 +22,7 @@ def test_running_total_matches_brute_force(spark):
     df = spark.createDataFrame(data, "g string, k int, v int")
     got = running_total(df, order_by=["k"], partition_by=["g"],
                         values={"cum": F.col("v").cast("bigint"), "rank": F.lit(1).cast("bigint")},
-                        num_partitions=8)
+                        num_partitions=8, single_task_max_bytes=0)
     got = {(r["g"], r["k"]): (r["cum"], r["rank"]) for r in got.collect()}
     want = {}
     for g in {d[0] for d in data}:
@@ -36,14 +36,26 @@ def test_running_total_matches_brute_force(spark):
 
 def test_running_total_descending_order(spark):
     df = spark.createDataFrame([(1, 5), (2, 9), (3, 1), (4, 9)], "k int, v int")
-    got = running_total(df, order_by=[F.col("v").desc(), F.col("k").asc()], out="n")
-    assert sorted((r["k"], r["n"]) for r in got.collect()) == [(1, 3), (2, 1), (3, 4), (4, 2)]
+    for limit in (0, None):
+        got = running_total(df, order_by=[F.col("v").desc(), F.col("k").asc()], out="n",
+                            single_task_max_bytes=limit)
+        assert sorted((r["k"], r["n"]) for r in got.collect()) == [(1, 3), (2, 1), (3, 4), (4, 2)]
+
+
+def test_single_task_path_only_below_the_bound(spark):
+    from kpiforge.operators.keys import SINGLE_TASK_MAX_BYTES, estimated_bytes
+    assert estimated_bytes(spark.range(0, 10)) <= SINGLE_TASK_MAX_BYTES
+    # rows built in Python have no size estimate: treated as large
+    assert estimated_bytes(spark.createDataFrame([(1,)], "k int")) > SINGLE_TASK_MAX_BYTES
+    assert estimated_bytes(spark.range(0, 10 ** 12)) > SINGLE_TASK_MAX_BYTES
 
 
 def test_duplicate_flag(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")
-    got = running_total(df, order_by=["k"], flag_duplicates=True, num_partitions=4)
-    assert sum(1 for r in got.collect() if r["_dup_key"]) == 1
+    for limit in (0, None):
+        got = running_total(df, order_by=["k"], flag_duplicates=True, num_partitions=4,
+                            single_task_max_bytes=limit)
+        assert sum(1 for r in got.collect() if r["_dup_key"]) == 1
 
 
 def test_assign_sk_dense_and_stable(spark):
@@ -65,8 +77,10 @@ def test_insert_absent(spark):
 def test_lag_within_matches_brute_force(spark):
     data = _hot_rows(900, seed=3)
     df = spark.createDataFrame(data, "g string, k int, v int")
-    got = lag_within(df, ["g"], ["k"], "v", "prev", num_partitions=8)
-    got = {(r["g"], r["k"]): r["prev"] for r in got.collect()}
+    dist = lag_within(df, ["g"], ["k"], "v", "prev", num_partitions=8, single_task_max_bytes=0)
+    small = lag_within(df, ["g"], ["k"], "v", "prev")
+    got = {(r["g"], r["k"]): r["prev"] for r in dist.collect()}
+    assert got == {(r["g"], r["k"]): r["prev"] for r in small.collect()}
     want = {}
     for g in {d[0] for d in data}:
         prev = None
@@ -74,3 +88,16 @@ def test_lag_within_matches_brute_force(spark):
             want[(g, k)] = prev
             prev = v
     assert got == want
+
+
+def test_running_count_per_group_positional_path(spark):
+    data = _hot_rows(700, seed=11)
+    df = spark.createDataFrame(data, "g string, k int, v int")
+    got = running_total(df, order_by=["k"], partition_by=["g"], out="rank", num_partitions=8,
+                        single_task_max_bytes=0)
+    got = {(r["g"], r["k"]): r["rank"] for r in got.collect()}
+    want = {}
+    for g in {d[0] for d in data}:
+        for rank, (_, k, _) in enumerate(sorted(d for d in data if d[0] == g), start=1):
+            want[(g, k)] = rank
+    assert got == want
