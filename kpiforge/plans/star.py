@@ -11,6 +11,7 @@ filters on the scans.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,21 +57,31 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False) -> Star:
     so each dimension and the fact read them once instead of re-deriving them."""
     spark = staging["orders_raw"].sparkSession
     ensure_checkpoint_dir(spark)
-    staging = {name: _materialize(df, name) for name, df in staging.items()}
+    timings: dict[str, float] = {}
+
+    def timed(name, fn):
+        t = time.perf_counter()
+        out = fn()
+        timings[name] = round(time.perf_counter() - t, 3)
+        return out
+
+    staging = {name: timed(name, lambda df=df, name=name: _materialize(df, name))
+               for name, df in staging.items()}
     orders = staging["orders_raw"]
-    calendar = _materialize(build_calendar(orders), "dim_calendar")
+    calendar = timed("dim_calendar", lambda: _materialize(build_calendar(orders), "dim_calendar"))
     n_days = calendar.count()
-    customer = _materialize(build_dim_customer(staging["customers_raw"], deaccent=deaccent),
-                            "dim_customer")
-    product = _materialize(build_dim_product(staging["products_raw"]), "dim_product")
+    customer = timed("dim_customer", lambda: _materialize(
+        build_dim_customer(staging["customers_raw"], deaccent=deaccent), "dim_customer"))
+    product = timed("dim_product", lambda: _materialize(
+        build_dim_product(staging["products_raw"]), "dim_product"))
     cal_join = calendar_for_join(calendar, n_days)
-    fact = _materialize(build_fact(orders, staging["order_items_raw"], customer, product,
-                                   cal_join).table, "fact_events")
+    fact = timed("fact_events", lambda: _materialize(build_fact(
+        orders, staging["order_items_raw"], customer, product, cal_join).table, "fact_events"))
     return Star(orders=orders, items=staging["order_items_raw"],
                 customers=staging["customers_raw"], products=staging["products_raw"],
                 reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
                 calendar=calendar, customer=customer, product=product, fact=fact,
-                n_days=n_days)
+                n_days=n_days, extra={"timings": timings})
 
 
 _CACHE: dict[tuple[str, str], Star] = {}
