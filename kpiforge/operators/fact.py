@@ -176,22 +176,23 @@ def build_fact(orders: DataFrame, items: DataFrame, dim_customer: DataFrame,
 def enrich_fact(fact: DataFrame, items: DataFrame, dim_seller: DataFrame,
                 dim_external: DataFrame, dim_customer: DataFrame,
                 dim_calendar: DataFrame) -> DataFrame:
-    """Fill ``seller_sk`` (item's seller) and ``external_sk`` (delivery day ×
-    customer city) with left joins; misses stay NULL."""
-    seller_of = (items.select(*FACT_KEYS, "seller_id")
-                 .join(dim_seller.select("seller_id", "seller_sk"), "seller_id", "left")
-                 .select(*FACT_KEYS, F.col("seller_sk").alias("_seller_sk")))
-    day_city = (fact.select(*FACT_KEYS, "calendar_sk", "customer_sk")
-                .join(dim_calendar.select("calendar_sk", "date"), "calendar_sk", "left")
-                .join(dim_customer.select("customer_sk", F.col("customer_city").alias("city")),
-                      "customer_sk", "left")
-                .join(dim_external.select("date", "city", "external_sk")
-                      .withColumnRenamed("external_sk", "_external_sk"), ["date", "city"], "left")
-                .select(*FACT_KEYS, "_external_sk"))
-    return (fact.join(seller_of, FACT_KEYS, "left").join(day_city, FACT_KEYS, "left")
-            .withColumn("seller_sk", F.col("_seller_sk"))
-            .withColumn("external_sk", F.col("_external_sk"))
-            .drop("_seller_sk", "_external_sk"))
+    """Fill ``seller_sk`` (the item's seller) and ``external_sk`` (delivery day
+    x customer city) with left lookups; misses stay NULL.
+
+    One chain of joins on the fact rows: the item lookup is the only join on
+    the fact's own keys (``items`` must hold one row per key, e.g. the latest
+    versions); the dimension lookups are left to AQE (broadcast by measured
+    size, shuffle otherwise)."""
+    cols = fact.columns
+    seller_of = items.select(*FACT_KEYS, "seller_id")
+    j = (fact.drop("seller_sk", "external_sk")
+         .join(seller_of, FACT_KEYS, "left")
+         .join(dim_seller.select("seller_id", "seller_sk"), "seller_id", "left")
+         .join(dim_calendar.select("calendar_sk", "date"), "calendar_sk", "left")
+         .join(dim_customer.select("customer_sk", F.col("customer_city").alias("city")),
+               "customer_sk", "left")
+         .join(dim_external.select("date", "city", "external_sk"), ["date", "city"], "left"))
+    return j.select(*cols)
 
 
 # ---------------------------------------------------------------------------

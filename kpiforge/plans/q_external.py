@@ -105,9 +105,10 @@ def fact_external(s: Star) -> DataFrame:
                                                    "seller_sk", "external_sk")
 
 
-@register("weather_effect", O.q(_HOL_CTE + f"""
+def _effect_sql(period: str) -> str:
+    return f"""
 , rows AS (
-  SELECT c.date AS period, coalesce(x.rain, 0.0) > 0 AS rain_day,
+  SELECT {period} AS period, coalesce(x.rain, 0.0) > 0 AS rain_day,
          coalesce(x.is_holiday, 0) AS is_holiday, f.order_id, f.price
   FROM fact f
   JOIN dim_calendar c ON c.calendar_sk = f.calendar_sk
@@ -122,9 +123,21 @@ SELECT rain_day, is_holiday, count(*) AS periods,
        {O.r6('avg(CAST(orders AS DOUBLE))', 'avg_orders')},
        {O.r6('CAST(sum(revenue) AS DOUBLE) / NULLIF(CAST(sum(orders) AS DOUBLE), 0)', 'revenue_per_order')}
 FROM per_period GROUP BY rain_day, is_holiday
-""".replace("\n, rows AS", ", rows AS", 1)))
+"""
+
+
+@register("weather_effect", O.q(_HOL_CTE + _effect_sql("c.date")))
 def weather_effect(s: Star) -> DataFrame:
     """O-70: mean daily revenue and orders on rain vs dry days and holidays."""
     d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE),
                           s.calendar)
     return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"])
+
+
+@register("weather_effect_week", O.q(_HOL_CTE + _effect_sql(
+    "CAST(c.year AS VARCHAR) || '-W' || lpad(CAST(c.week AS VARCHAR), 2, '0')")))
+def weather_effect_week(s: Star) -> DataFrame:
+    """O-70 at week grain: mean weekly revenue and orders by rain / holiday."""
+    d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE),
+                          s.calendar, grain="week")
+    return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"])

@@ -88,3 +88,15 @@ def test_upsert_keeps_target_rows_missing_from_source(stage):
     res = upsert(t1, src.filter(F.col("order_id") == "o1"))
     assert res.table.count() == 2
     assert dict(upsert_counts(res.actions).collect()) == {"unchanged": 1}
+
+
+def test_single_day_calendar(spark):
+    o = spark.createDataFrame([(T("2018-03-04 10:00:00"),), (T("2018-03-04 23:00:00"),)],
+                              "order_delivered_customer_date timestamp_ntz")
+    cal = build_calendar(o).collect()
+    assert len(cal) == 1 and cal[0]["calendar_sk"] == 1 and cal[0]["day_of_week"] == 0
+    more = spark.createDataFrame([(T("2018-03-02 10:00:00"),), (T("2018-03-05 10:00:00"),)],
+                                 "order_delivered_customer_date timestamp_ntz")
+    grown = build_calendar(more, existing=build_calendar(o))
+    got = sorted((r["date"].day, r["calendar_sk"]) for r in grown.collect())
+    assert got == [(2, 2), (3, 3), (4, 1), (5, 4)]          # old key kept, new days after max

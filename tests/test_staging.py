@@ -100,3 +100,14 @@ def test_coerce_dates(spark):
 def test_contract_names():
     c = Contract(table="t", file="f", columns=(("a", "string"), ("b", "timestamp_ntz")))
     assert c.names == ["a", "b"] and c.timestamp_columns == ["b"]
+
+
+def test_save_writes_a_new_version_and_view(spark):
+    base = tempfile.mkdtemp(prefix="kpiforge-test-save-")
+    df = spark.createDataFrame([(2018, 1, 5.0)], "year int, quarter int, revenue double")
+    p1 = S.save(df, base, "analytics", "kpi", 1)
+    p2 = S.save(df.withColumn("revenue", F.lit(6.0)), base, "analytics", "kpi", 2)
+    assert p1 != p2 and spark.read.parquet(p1).first()["revenue"] == 5.0
+    assert spark.table("analytics_kpi").first()["revenue"] == 6.0
+    with pytest.raises(Exception):
+        S.save(df, base, "analytics", "kpi", 2)                 # never overwrite a version
