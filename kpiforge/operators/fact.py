@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import business_md5, is_distinct, lead_time_days, on_time_flag, to_day
 from ..sources.staging import dedup_latest
-from .keys import running_total
+from .keys import running_total, size_below
 
 FACT_KEYS = ["order_id", "order_item_id"]
 FACT_CHANGE_COLS = ["_row_md5", "calendar_sk", "customer_sk", "product_sk"]
@@ -102,14 +102,14 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_KEYS,
            change_cols: Sequence[str] = FACT_CHANGE_COLS, id_col: str = "event_id",
-           check_unique: bool = True) -> UpsertResult:
+           check_unique: bool = True,
+           key_broadcast_max_bytes: int | None = None) -> UpsertResult:
     """Insert new keys, update a row only when one of ``change_cols`` is
-    distinct (NULL-safe), leave the rest untouched; ``id_col`` is kept for
+    distinct (NULL-safe), leave the rest unchanged; ``id_col`` is kept for
     existing rows and assigned densely (max + rank by key) to new ones.
 
-    One full outer join on the keys gives every row and its action; both
-    sides are shuffled on the keys once.  Rows of the target with no source
-    row stay (the reference never deletes).
+    Rows of the target with no source row stay (the reference never
+    deletes).  ``actions`` holds one row per source row.
     """
     keys = list(keys)
     value_cols = [c for c in src.columns if c not in keys]
@@ -128,34 +128,40 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
 
     if check_unique:
         assert_unique(src, keys)
-
     start = target.agg(F.max(id_col)).first()[0] or 0
-    t = target.select(id_col, *keys, *[F.col(c).alias(f"_t_{c}") for c in value_cols])
-    s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in value_cols],
-                   F.lit(True).alias("_in_src"))
-    j = t.join(s, keys, "full")
+    # Only target rows whose key is in the batch take part in the merge; the
+    # rest pass through.  The batch keys are broadcast when their estimated
+    # size is small (a daily batch against a large fact), so the fact is
+    # filtered map-side and never shuffled; otherwise both filters are
+    # shuffle joins on the keys.
+    src_keys = src.select(*keys)
+    if size_below(src_keys, key_broadcast_max_bytes):
+        src_keys = F.broadcast(src_keys)
+    untouched = target.join(src_keys, keys, "left_anti")
+    touched = target.join(src_keys, keys, "left_semi")
+    t = touched.select(id_col, *keys, *[F.col(c).alias(f"_t_{c}") for c in value_cols],
+                       F.lit(True).alias("_in_target"))
+    j = src.join(t, keys, "left")
     changed = None
     for c in change_cols:
-        d = is_distinct(f"_t_{c}", f"_s_{c}")
+        d = is_distinct(f"_t_{c}", c)
         changed = d if changed is None else (changed | d)
-    action = (F.when(F.col(id_col).isNull(), F.lit("insert"))
-              .when(F.col("_in_src").isNull(), F.lit("untouched"))
+    action = (F.when(F.col("_in_target").isNull(), F.lit("insert"))
               .when(changed, F.lit("update"))
               .otherwise(F.lit("unchanged")))
     j = j.withColumn("action", action)
     take_src = F.col("action").isin("insert", "update")
     merged = j.select(id_col, *keys, "action", *[
-        F.when(take_src, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
-        for c in value_cols])
+        F.when(take_src, F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in value_cols])
     inserts = merged.filter(F.col("action") == "insert").drop(id_col)
     numbered = running_total(inserts, order_by=keys, out="_rank")
     new_rows = numbered.select((F.col("_rank") + F.lit(start)).cast("bigint").alias(id_col),
                                *keys, *value_cols, "action")
     kept = merged.filter(F.col("action") != "insert").select(id_col, *keys, *value_cols, "action")
-    both = kept.unionByName(new_rows)
-    table = both.select(id_col, *keys, *value_cols)
-    actions = both.filter(F.col("action") != "untouched").select(*keys, "action")
-    return UpsertResult(table, actions)
+    batch = kept.unionByName(new_rows)
+    table = untouched.select(id_col, *keys, *value_cols).unionByName(
+        batch.select(id_col, *keys, *value_cols))
+    return UpsertResult(table, batch.select(*keys, "action"))
 
 
 def upsert_counts(actions: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def _small(df: DataFrame, limit: int | None) -> bool:
+def size_below(df: DataFrame, limit: int | None) -> bool:
     lim = SINGLE_TASK_MAX_BYTES if limit is None else limit
     return lim > 0 and estimated_bytes(df) <= lim
 
@@ -80,7 +80,7 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column
     count_only = value is None and values is None
     if values is None:
         values = {out: value if value is not None else F.lit(1).cast("bigint")}
-    if _small(df, single_task_max_bytes):
+    if size_below(df, single_task_max_bytes):
         w = Window.partitionBy(*parts).orderBy(*_sort_exprs(order_by))
         cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         res = df.withColumns({o: F.sum(c).over(cum) for o, c in values.items()})
@@ -208,7 +208,7 @@ def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     groups = list(group_by)
-    if _small(df, single_task_max_bytes):
+    if size_below(df, single_task_max_bytes):
         w = Window.partitionBy(*groups).orderBy(*_sort_exprs(order_by))
         return df.withColumn(out, F.lag(value, 1).over(w))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
