@@ -126,6 +126,9 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
         table = numbered.select(F.col("_rank").cast("bigint").alias(id_col), *keys, *value_cols)
         return UpsertResult(table, table.select(*keys, F.lit("insert").alias("action")))
 
+    # The batch is read by the uniqueness test, both key filters and the
+    # merge: materialize it once (batch-sized) instead of re-deriving it.
+    src = src.checkpoint(eager=True)
     if check_unique:
         assert_unique(src, keys)
     start = target.agg(F.max(id_col)).first()[0] or 0

@@ -172,15 +172,16 @@ SELECT kpi, {O.yq()}, {O.r6('d', 'delta')}, CAST(target AS DOUBLE) AS target, me
 """))
 def kpi_targets(s: Star) -> DataFrame:
     """O-60: YoY deltas of the five KPIs against their goals."""
-    rev = trends.yoy(kpis.revenue_by_quarter_scoped(s.fact, s.cal, s.customer, CITY),
-                     "revenue_sp", delta="yoy_pct")
+    # revenue, P90 and on-time come from one aggregate of the scoped fact;
+    # the three YoY branches share its exchange
+    fk = kpis.fact_kpis(s.fact, s.cal, s.customer, CITY)
+    rev = trends.yoy(fk, "revenue_sp", delta="yoy_pct")
     oq = kpis.orders_by_quarter_rows(s.orders, s.customer, s.cal, CITY)
     rv = trends.yoy(kpis.review_share(oq, s.reviews), "share_ge4", mode="diff", scale=100.0,
                     delta="delta_pp")
-    lt = trends.yoy(kpis.lead_time_pctl(s.fact, s.cal, s.customer, CITY), "lead_time_p90",
+    lt = trends.yoy(fk.filter(F.col("lead_time_p90").isNotNull()), "lead_time_p90",
                     mode="diff", delta="delta_days")
-    ot = trends.yoy(kpis.on_time_rate(s.fact, s.cal, s.customer, CITY), "on_time_rate",
-                    mode="diff", scale=100.0, delta="delta_pp")
+    ot = trends.yoy(fk, "on_time_rate", mode="diff", scale=100.0, delta="delta_pp")
     tc = trends.frozen_top_category(_cat_share(s))
     d = trends.kpi_targets({"revenue_yoy": rev, "reviews_ge4_share": rv, "lead_time_p90": lt,
                             "on_time_rate": ot, "top_category_share": tc})
