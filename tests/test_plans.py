@@ -39,3 +39,17 @@ def test_flagship_scan_is_pruned_and_filtered(spark):
 def test_top_k_is_take_ordered(spark):
     plan = _plan(E.queries()["top_customers_mix"](spark, SF01))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_day_partitioned_fact_prunes_by_calendar(spark):
+    """With the fact partitioned by delivery day, a quarter-bounded KPI reads
+    only that quarter's day folders (dynamic partition pruning)."""
+    from conftest import SF001
+    from kpiforge.operators import kpis
+    from kpiforge.plans.star import build_star
+    from kpiforge.sources import testdata
+    s = build_star(testdata.staging(spark, SF001), partition_fact_by_day=True)
+    q = kpis.guardrail(s.fact, s.calendar, s.customer, "nation_2", 2001, 2)
+    plan = _plan(q)
+    assert "dynamicpruningexpression" in plan.lower()
+    assert q.count() == 1
