@@ -59,21 +59,23 @@ def fact_rows(orders: DataFrame, items: DataFrame, dim_customer: DataFrame,
 
     Inner joins keep the reference's losses: items without an order, orders
     without a delivery day, products without a translated category.  The
-    item ⋈ order join shuffles both sides on order_id; the dims are joined on
-    their natural keys and AQE picks broadcast from their measured size; the
-    calendar is passed in already hinted when its bound is small.
+    order-level lookups (customer, delivery day) are joined on the orders
+    side, which is several times smaller than the items, so the large
+    item rows are shuffled only for the order join (and for the product
+    join when the product dimension is too big to broadcast).  AQE picks
+    broadcast from measured sizes; the calendar arrives hinted when its
+    bound is small.
     """
-    o = delivered(orders).select(
-        "order_id", "customer_id", "order_approved_at", "order_delivered_customer_date",
-        "order_estimated_delivery_date")
-    i = items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
-    base = i.join(o, "order_id", "inner").withColumn(
-        "delivered_date", to_day("order_delivered_customer_date"))
-    joined = (base
-              .join(dim_customer.select("customer_id", "customer_sk"), "customer_id", "inner")
-              .join(dim_product.select("product_id", "product_sk"), "product_id", "inner")
-              .join(dim_calendar.select(F.col("date").alias("delivered_date"), "calendar_sk"),
-                    "delivered_date", "inner"))
+    o = (delivered(orders)
+         .select("order_id", "customer_id", "order_approved_at",
+                 "order_delivered_customer_date", "order_estimated_delivery_date")
+         .join(dim_customer.select("customer_id", "customer_sk"), "customer_id", "inner")
+         .withColumn("delivered_date", to_day("order_delivered_customer_date"))
+         .join(dim_calendar.select(F.col("date").alias("delivered_date"), "calendar_sk"),
+               "delivered_date", "inner"))
+    i = (items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
+         .join(dim_product.select("product_id", "product_sk"), "product_id", "inner"))
+    joined = i.join(o, "order_id", "inner")
     return joined.select(
         "order_id", "order_item_id", "price", "freight_value",
         lead_time_days().alias("lead_time_days"),
