@@ -152,3 +152,36 @@ def fact_external_of(star: Star, city: str, state: str) -> DataFrame:
     return _extra(star, f"fact_external:{city}", lambda: _materialize(enrich_fact(
         star.fact, latest_items_of(star), dim_seller_of(star),
         dim_external_of(star, city, state), star.customer, star.calendar), "fact_external"))
+
+
+def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = False) -> tuple[Star, DataFrame]:
+    """Reload: new staging -> the next version of every core table.
+
+    The reference's rerun of its dimension and fact scripts: each dimension
+    gains only the keys it lacks (existing surrogate keys never move, O-31/O-30),
+    the calendar grows to the new delivery range, and the fact is merged by
+    the keyed upsert (O-35: inserts numbered after max(event_id), updates only
+    on a changed hash or key, nothing deleted).  Every table is written to a
+    new version folder; the old versions stay readable.  Returns the new star
+    and the upsert's per-action row counts.
+    """
+    from ..operators.fact import fact_rows, latest_items, upsert, upsert_counts
+    staging = {name: _materialize(df, name) for name, df in staging.items()}
+    orders = staging["orders_raw"]
+    calendar = _materialize(build_calendar(orders, existing=star.calendar), "dim_calendar")
+    n_days = calendar.count()
+    customer = _materialize(build_dim_customer(staging["customers_raw"], existing=star.customer,
+                                               deaccent=deaccent), "dim_customer")
+    product = _materialize(build_dim_product(staging["products_raw"], existing=star.product),
+                           "dim_product")
+    rows = fact_rows(orders, latest_items(staging["order_items_raw"]), customer, product,
+                     calendar_for_join(calendar, n_days))
+    merged = upsert(star.fact, rows)
+    counts = upsert_counts(merged.actions).checkpoint(eager=True)
+    fact = _materialize(merged.table, "fact_events")
+    new = Star(orders=orders, items=staging["order_items_raw"],
+               customers=staging["customers_raw"], products=staging["products_raw"],
+               reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
+               calendar=calendar, customer=customer, product=product, fact=fact,
+               n_days=n_days)
+    return new, counts
