@@ -55,17 +55,19 @@ dim_external AS (
 assert CITY == "nation_2"
 
 
-@register("holiday_calendar", O.q(_HOL_CTE + "SELECT * FROM holidays"))
+@register("holiday_calendar", O.q(_HOL_CTE + """
+SELECT CAST(date AS TIMESTAMP) AS date, city, is_holiday, holiday_name FROM holidays"""))
 def holiday_calendar(s: Star) -> DataFrame:
     """O-03: holiday flag for every calendar day of the city (national, state
     or municipal holidays), gap-filled with 0."""
-    return holidays_of(s, CITY, STATE)
+    return present(holidays_of(s, CITY, STATE), dates=["date"])
 
 
-@register("weather_clean", O.q(_HOL_CTE + "SELECT * FROM weather"))
+@register("weather_clean", O.q(_HOL_CTE + """
+SELECT CAST(date AS TIMESTAMP) AS date, city, temp, rain, is_holiday FROM weather"""))
 def weather_clean(s: Star) -> DataFrame:
     """O-04 + O-26: daily weather records validated and normalized."""
-    return weather_of(s, CITY)
+    return present(weather_of(s, CITY), dates=["date"])
 
 
 @register("weather_anomalies", O.q(_HOL_CTE + """
@@ -81,17 +83,19 @@ def weather_anomalies(s: Star) -> DataFrame:
     return E.weather_anomalies(testdata.weather_raw(s.calendar, CITY))
 
 
-@register("dim_external", O.q(_HOL_CTE + "SELECT * FROM dim_external"))
+@register("dim_external", O.q(_HOL_CTE + """
+SELECT external_sk, CAST(date AS TIMESTAMP) AS date, city, temp, rain, is_holiday FROM dim_external"""))
 def dim_external(s: Star) -> DataFrame:
     """O-33: one row per (date, city) merging holidays and weather."""
-    return dim_external_of(s, CITY, STATE)
+    return present(dim_external_of(s, CITY, STATE), dates=["date"])
 
 
 @register("fact_external", O.q(_HOL_CTE + """
 , sel AS (
   SELECT CAST(row_number() OVER (ORDER BY seller_id) AS BIGINT) AS seller_sk, seller_id
   FROM (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS seller_id FROM supplier))
-SELECT f.event_id, f.order_id, f.order_item_id, s.seller_sk, x.external_sk
+SELECT f.event_id, f.order_id, f.order_item_id, CAST(s.seller_sk AS DOUBLE) AS seller_sk,
+       CAST(x.external_sk AS DOUBLE) AS external_sk
 FROM fact f
 JOIN items i ON i.order_id = f.order_id AND i.order_item_id = f.order_item_id
 LEFT JOIN sel s ON s.seller_id = i.seller_id
@@ -101,8 +105,9 @@ LEFT JOIN dim_external x ON x.date = c.date AND x.city = dc.customer_city
 """.replace("\n, sel AS", ", sel AS", 1)))
 def fact_external(s: Star) -> DataFrame:
     """O-36: seller and external keys filled by left lookups (misses stay NULL)."""
-    return fact_external_of(s, CITY, STATE).select("event_id", "order_id", "order_item_id",
-                                                   "seller_sk", "external_sk")
+    d = fact_external_of(s, CITY, STATE).select("event_id", "order_id", "order_item_id",
+                                                "seller_sk", "external_sk")
+    return present(d, nullable_ints=["seller_sk", "external_sk"])
 
 
 def _effect_sql(period: str) -> str:

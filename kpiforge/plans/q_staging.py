@@ -48,12 +48,13 @@ def staging_orders(s: Star) -> DataFrame:
 
 
 @register("staging_reviews", O.q(f"""
-SELECT *, {_LOAD_TS} AS _ingested_at, 'events.parquet' AS _source_file, {_REVIEWS_MD5} AS _row_md5
+SELECT review_id, order_id, CAST(review_score AS DOUBLE) AS review_score, review_creation_date,
+       {_LOAD_TS} AS _ingested_at, 'events.parquet' AS _source_file, {_REVIEWS_MD5} AS _row_md5
 FROM reviews_raw
 """))
 def staging_reviews(s: Star) -> DataFrame:
     """O-05 + O-19: staged reviews (sub-second ISO text in the fingerprint)."""
-    return s.reviews
+    return present(s.reviews, nullable_ints=["review_score"])
 
 
 @register("products_enriched", O.q("SELECT * FROM products_raw"))
@@ -63,8 +64,8 @@ def products_enriched(s: Star) -> DataFrame:
 
 
 @register("dedup_items", O.q("""
-SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DECIMAL(38,2)) AS price,
-       CAST(freight_value AS DECIMAL(38,2)) AS freight_value, _ingested_at FROM items
+SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value, _ingested_at FROM items
 """))
 def dedup_items(s: Star) -> DataFrame:
     """O-07: latest staged version of each item key."""
@@ -157,10 +158,13 @@ def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # dimensions and keys
 # ---------------------------------------------------------------------------
-@register("dim_calendar", O.q("SELECT * FROM dim_calendar"))
+@register("dim_calendar", O.q("""
+SELECT calendar_sk, CAST(date AS TIMESTAMP) AS date, day_of_week, week, month, quarter, year
+FROM dim_calendar
+"""))
 def dim_calendar(s: Star) -> DataFrame:
     """O-27 + O-17: one row per day of the delivery range with its parts."""
-    return s.calendar
+    return present(s.calendar, dates=["date"])
 
 
 @register("dim_customer", O.q("SELECT * FROM dim_customer"))
@@ -207,15 +211,17 @@ def insert_absent(s: Star) -> DataFrame:
 
 
 @register("fact_rows", O.q("""
-SELECT event_id, order_id, order_item_id, CAST(price AS DECIMAL(38,2)) AS price,
-       CAST(freight_value AS DECIMAL(38,2)) AS freight_value,
-       CAST(round(CAST(lead_time_days AS DECIMAL(38,10)), 6) AS DOUBLE) AS lead_time_days, on_time_flag, calendar_sk, customer_sk,
-       product_sk, CAST(NULL AS BIGINT) AS seller_sk, CAST(NULL AS BIGINT) AS external_sk, _row_md5
+SELECT event_id, order_id, order_item_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value,
+       CAST(round(CAST(lead_time_days AS DECIMAL(38,10)), 6) AS DOUBLE) AS lead_time_days,
+       CAST(on_time_flag AS DOUBLE) AS on_time_flag, calendar_sk, customer_sk,
+       product_sk, CAST(NULL AS DOUBLE) AS seller_sk, CAST(NULL AS DOUBLE) AS external_sk, _row_md5
 FROM fact
 """))
 def fact_rows_q(s: Star) -> DataFrame:
     """O-34 + O-20..O-22: the fact with event ids, derived metrics and content hash."""
-    return present(s.fact, money=["price", "freight_value"], rates=["lead_time_days"])
+    return present(s.fact, money=["price", "freight_value"], rates=["lead_time_days"],
+                   nullable_ints=["on_time_flag", "seller_sk", "external_sk"])
 
 
 CUTOFF_DAYS = 365

@@ -25,7 +25,7 @@ def _qi(a: str) -> str:
 
 @register("late_delta_sp", O.q(f"""
 SELECT {O.yq()}, category, CAST(n_orders AS BIGINT) AS n_orders,
-       CAST(lag(n_orders) OVER w AS BIGINT) AS n_orders_prev,
+       CAST(lag(n_orders) OVER w AS DOUBLE) AS n_orders_prev,
        {O.r6('late_rate', 'late_rate')}, {O.r6('lag(late_rate) OVER w', 'late_rate_prev')},
        {O.r6('late_orders', 'late_orders')}, {O.r6('lag(late_orders) OVER w', 'late_orders_prev')},
        {O.r6('late_orders - coalesce(lag(late_orders) OVER w, 0)', 'delta_late_orders')}
@@ -35,7 +35,8 @@ def late_delta_sp(s: Star) -> DataFrame:
     """O-54: late items by category vs the previous existing quarter (LAG)."""
     d = trends.delta_prev(_late(s), ["n_orders", "late_rate", "late_orders"], ["category"],
                           delta_of=["late_orders"])
-    return present(d, ints=["year", "quarter"], longs=["n_orders", "n_orders_prev"],
+    return present(d, ints=["year", "quarter"], longs=["n_orders"],
+                   nullable_ints=["n_orders_prev"],
                    rates=["late_rate", "late_rate_prev", "late_orders", "late_orders_prev",
                           "delta_late_orders"])
 
@@ -168,7 +169,8 @@ all_t AS (
 
 
 @register("kpi_targets", O.q(_TARGET_CTES + f"""
-SELECT kpi, {O.yq()}, {O.r6('d', 'delta')}, CAST(target AS DOUBLE) AS target, met FROM all_t
+SELECT kpi, {O.yq()}, {O.r6('d', 'delta')}, CAST(target AS DOUBLE) AS target,
+       CAST(CAST(met AS INTEGER) AS DOUBLE) AS met FROM all_t
 """))
 def kpi_targets(s: Star) -> DataFrame:
     """O-60: YoY deltas of the five KPIs against their goals."""
@@ -185,7 +187,8 @@ def kpi_targets(s: Star) -> DataFrame:
     tc = trends.frozen_top_category(_cat_share(s))
     d = trends.kpi_targets({"revenue_yoy": rev, "reviews_ge4_share": rv, "lead_time_p90": lt,
                             "on_time_rate": ot, "top_category_share": tc})
-    return present(d, ints=["year", "quarter"], rates=["delta"])
+    d = d.withColumn("met", F.col("met").cast("int"))
+    return present(d, ints=["year", "quarter"], rates=["delta"], nullable_ints=["met"])
 
 
 def _pareto_sql(by: str) -> str:

@@ -57,3 +57,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["year", "quarter", "revenue_sp", "reviews_ge4_share", "lead_time_p90",
                           "on_time_rate"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_twin_through_pandas(spark, duck, name):
+    """Same check through the pandas clients (toPandas vs DuckDB .df()):
+    column dtype kinds and text of every value agree."""
+    sp = E.queries()[name](spark, SF001).toPandas()
+    dd = duck.sql(E.oracle_sql()[name]).df()
+    cols = sorted(sp.columns)
+    assert cols == sorted(dd.columns)
+    sp, dd = sp[cols], dd[cols]
+    assert [sp[c].dtype.kind for c in cols] == [dd[c].dtype.kind for c in cols]
+    assert (sorted(map(tuple, sp.astype(str).values.tolist()))
+            == sorted(map(tuple, dd.astype(str).values.tolist())))
