@@ -116,15 +116,12 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
     keys = list(keys)
     value_cols = [c for c in src.columns if c not in keys]
     if target is None:
-        # First load: number the rows and, in the same pass, flag a key equal
-        # to its predecessor in key order; the numbered table is materialized
-        # once, so the duplicate test is a scan of it, not another shuffle.
-        numbered = running_total(src, order_by=keys, out="_rank",
-                                 flag_duplicates=check_unique).checkpoint(eager=True)
+        # First load: dense ids in key order (positional running count on the
+        # range-partitioned, checkpointed rows), then a keys-only uniqueness
+        # test -- it shuffles the key columns, not the whole rows.
+        numbered = running_total(src, order_by=keys, out="_rank")
         if check_unique:
-            dup = numbered.filter(F.col("_dup_key")).select(*keys).limit(1).collect()
-            if dup:
-                raise DuplicateKeyError(f"source repeats key {dup[0].asDict()}")
+            assert_unique(numbered.select(*keys), keys)
         table = numbered.select(F.col("_rank").cast("bigint").alias(id_col), *keys, *value_cols)
         return UpsertResult(table, table.select(*keys, F.lit("insert").alias("action")))
 
