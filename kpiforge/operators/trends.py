@@ -128,6 +128,23 @@ def kpi_targets(deltas: dict[str, DataFrame], targets: Sequence[tuple] = TARGETS
     return out
 
 
+def targets_long(wide: DataFrame, targets: Sequence[tuple] = TARGETS) -> DataFrame:
+    """The same rows as ``kpi_targets`` from ONE wide frame (year, quarter,
+    ``<kpi>`` = delta, ``<kpi>__present`` = the KPI exists that quarter): one
+    ``inline`` of an array of structs, no union of separate scans."""
+    entries = []
+    for kpi, _col, goal, op in targets:
+        if kpi not in wide.columns:
+            continue
+        d = F.col(kpi).cast("double")
+        met = (d >= F.lit(goal)) if op == ">=" else (d <= F.lit(goal))
+        entries.append(F.struct(F.lit(kpi).alias("kpi"), d.alias("delta"),
+                                F.lit(float(goal)).alias("target"), met.alias("met"),
+                                F.coalesce(F.col(f"{kpi}__present"), F.lit(False)).alias("_on")))
+    long = wide.select(*YQ, F.inline(F.array(*entries)))
+    return long.filter(F.col("_on")).select("kpi", *YQ, "delta", "target", "met")
+
+
 # ---------------------------------------------------------------------------
 # O-61 Pareto
 # ---------------------------------------------------------------------------

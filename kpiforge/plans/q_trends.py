@@ -174,20 +174,32 @@ SELECT kpi, {O.yq()}, {O.r6('d', 'delta')}, CAST(target AS DOUBLE) AS target,
 """))
 def kpi_targets(s: Star) -> DataFrame:
     """O-60: YoY deltas of the five KPIs against their goals."""
-    # revenue, P90 and on-time come from one aggregate of the scoped fact;
-    # the three YoY branches share its exchange
+    from ..functions.columns import quarter_index
+    # revenue, P90 and on-time: one aggregate of the scoped fact, one t / t-4 join
     fk = kpis.fact_kpis(s.fact, s.cal, s.customer, CITY)
-    rev = trends.yoy(fk, "revenue_sp", delta="yoy_pct")
+    cur = fk.withColumn("_qi", quarter_index())
+    base = fk.select((quarter_index() + F.lit(4)).alias("_qi"),
+                     F.col("revenue_sp").alias("_b_rev"), F.col("lead_time_p90").alias("_b_lt"),
+                     F.col("on_time_rate").alias("_b_ot"))
+    j = cur.join(base, "_qi", "left")
+    rev, brev = F.col("revenue_sp").cast("double"), F.col("_b_rev").cast("double")
+    fact_wide = j.select(
+        *trends.YQ,
+        (F.lit(100.0) * (rev - brev) / F.nullif(brev, F.lit(0.0))).alias("revenue_yoy"),
+        F.lit(True).alias("revenue_yoy__present"),
+        (F.lit(1.0) * (F.col("lead_time_p90") - F.col("_b_lt"))).alias("lead_time_p90"),
+        F.col("lead_time_p90").isNotNull().alias("lead_time_p90__present"),
+        (F.lit(100.0) * (F.col("on_time_rate") - F.col("_b_ot"))).alias("on_time_rate"),
+        F.lit(True).alias("on_time_rate__present"))
     oq = kpis.orders_by_quarter_rows(s.orders, s.customer, s.cal, CITY)
     rv = trends.yoy(kpis.review_share(oq, s.reviews), "share_ge4", mode="diff", scale=100.0,
-                    delta="delta_pp")
-    lt = trends.yoy(fk.filter(F.col("lead_time_p90").isNotNull()), "lead_time_p90",
-                    mode="diff", delta="delta_days")
-    ot = trends.yoy(fk, "on_time_rate", mode="diff", scale=100.0, delta="delta_pp")
-    tc = trends.frozen_top_category(_cat_share(s))
-    d = trends.kpi_targets({"revenue_yoy": rev, "reviews_ge4_share": rv, "lead_time_p90": lt,
-                            "on_time_rate": ot, "top_category_share": tc})
-    d = d.withColumn("met", F.col("met").cast("int"))
+                    delta="reviews_ge4_share").select(
+        *trends.YQ, "reviews_ge4_share", F.lit(True).alias("reviews_ge4_share__present"))
+    tc = trends.frozen_top_category(_cat_share(s)).select(
+        *trends.YQ, F.col("delta_pp").alias("top_category_share"),
+        F.lit(True).alias("top_category_share__present"))
+    wide = fact_wide.join(rv, trends.YQ, "full").join(tc, trends.YQ, "full")
+    d = trends.targets_long(wide).withColumn("met", F.col("met").cast("int"))
     return present(d, ints=["year", "quarter"], rates=["delta"], nullable_ints=["met"])
 
 

@@ -111,3 +111,12 @@ def test_kpi_targets(spark):
     d = spark.createDataFrame([(2018, 1, 3.0), (2018, 2, 1.0)], "year int, quarter int, yoy_pct double")
     got = {(r["quarter"]): r["met"] for r in trends.kpi_targets({"revenue_yoy": d}).collect()}
     assert got == {1: True, 2: False}
+
+
+def test_targets_long_keeps_only_present_kpis(spark):
+    wide = spark.createDataFrame(
+        [(2018, 1, 3.0, True, None, False), (2018, 2, 1.0, True, -0.5, True)],
+        "year int, quarter int, revenue_yoy double, revenue_yoy__present boolean, "
+        "lead_time_p90 double, lead_time_p90__present boolean")
+    got = sorted((r["kpi"], r["quarter"], r["met"]) for r in trends.targets_long(wide).collect())
+    assert got == [("lead_time_p90", 2, True), ("revenue_yoy", 1, True), ("revenue_yoy", 2, False)]
