@@ -150,11 +150,11 @@ def dq_report(s: Star) -> DataFrame:
     checks = [
         Q.dq_duplicate_check(s.items, FACT_KEYS, "duplicate_fact_key"),
         Q.dq_duplicate_check(s.customer, ["customer_id"], "duplicate_dim_key"),
-        Q.dq_ranges(f, {"null_surrogate_key": null_sk}),
+        # null keys and the three range rules: one aggregate over the fact
+        Q.dq_ranges(f, {"null_surrogate_key": null_sk, **Q.fact_range_rules()}),
         Q.dq_reconcile(orphan, f).select(F.lit("orphan_surrogate_key").alias("check"),
                                          F.col("expected_rows").alias("violations"),
                                          F.col("loaded_rows").alias("n_rows")),
-        Q.dq_ranges(f, Q.fact_range_rules()),
         Q.dq_ranges(s.orders, Q.order_date_rules()),
         Q.dq_ranges(delivered(s.orders),
                     {"null_estimated_date": F.col("order_estimated_delivery_date").isNull()}),
