@@ -19,9 +19,6 @@ from .keys import running_total, size_below
 
 FACT_KEYS = ["order_id", "order_item_id"]
 FACT_CHANGE_COLS = ["_row_md5", "calendar_sk", "customer_sk", "product_sk"]
-FACT_COLUMNS = ["order_id", "order_item_id", "price", "freight_value", "lead_time_days",
-                "on_time_flag", "calendar_sk", "customer_sk", "product_sk", "seller_sk",
-                "external_sk", "_row_md5"]
 
 
 class DuplicateKeyError(ValueError):

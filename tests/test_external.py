@@ -34,3 +34,19 @@ def test_weather_json_clean_and_anomalies(spark):
     assert clean[3]["is_holiday"] is None
     reasons = sorted(r["reason"] for r in E.weather_anomalies(raw).collect())
     assert reasons == ["temp_out_of_range"]
+
+
+def test_read_holidays_csv(spark):
+    d = tempfile.mkdtemp(prefix="kpiforge-test-hol-")
+    with open(os.path.join(d, "h.csv"), "w") as f:
+        f.write("date,holiday_name,city,state,scope\n"
+                "2018-01-01,New Year,,,National\n"
+                "2018-01-25,Anniversary,São Paulo,SP,municipal\n"
+                "not-a-date,Broken,,,national\n")
+    h = E.read_holidays(spark, d)
+    rows = {r["holiday_name"]: r for r in h.collect()}
+    assert rows["New Year"]["scope"] == "national" and rows["Broken"]["date"] is None
+    cal = spark.createDataFrame([(dt.date(2018, 1, 1),), (dt.date(2018, 1, 25),), (dt.date(2018, 1, 26),)],
+                                "date date")
+    got = {r["date"].day: r["is_holiday"] for r in E.load_holidays(h, cal, "são paulo", "SP").collect()}
+    assert got == {1: 1, 25: 1, 26: 0}
