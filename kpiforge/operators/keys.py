@@ -19,6 +19,12 @@ over range partitions:
 
 Only step 4's small table crosses partitions; a group holding a third of all
 rows is spread over many range partitions.
+
+A plain count (surrogate keys, ids) skips step 5's window: the position
+inside the sorted partition is already the rank (``_running_count``).  An
+input whose Catalyst size estimate is below ``SINGLE_TASK_MAX_BYTES`` is
+numbered by an ordinary window instead -- one task over a bounded input.
+``lag_within`` uses the same layout for LAG(1) per group.
 """
 
 from __future__ import annotations
