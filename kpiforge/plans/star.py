@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dims import (build_calendar, build_dim_customer, build_dim_product,
                               calendar_for_join)
 from ..operators.fact import build_fact, latest_items
+from ..operators.keys import size_below
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import testdata
 
@@ -61,8 +62,12 @@ def _materialize(df: DataFrame, name: str, partition_by: str | None = None) -> D
     return spark.read.parquet(path)
 
 
+# Staged items above this size (parquet bytes) get a day-partitioned fact.
+DAY_PARTITION_MIN_BYTES = 10 * 1024 ** 3
+
+
 def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
-               partition_fact_by_day: bool = False) -> Star:
+               partition_fact_by_day: bool | None = None) -> Star:
     """Staging tables are materialized first (the reference's staging schema),
     so each dimension and the fact read them once instead of re-deriving them.
 
@@ -70,8 +75,8 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
     (one folder per delivery day): a query that restricts the calendar (a
     quarter, a year) then reads only those days through dynamic partition
     pruning.  Meant for cluster-sized data, where a day is gigabytes; on a
-    small test set it only adds thousands of tiny files, so it is off by
-    default."""
+    small test set it only adds thousands of tiny files.  ``None`` (default)
+    decides from the staged items' size: on above ``DAY_PARTITION_MIN_BYTES``."""
     spark = staging["orders_raw"].sparkSession
     ensure_checkpoint_dir(spark)
     timings: dict[str, float] = {}
@@ -85,6 +90,9 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
     staging = {name: timed(name, lambda df=df, name=name: _materialize(df, name))
                for name, df in staging.items()}
     orders = staging["orders_raw"]
+    if partition_fact_by_day is None:
+        partition_fact_by_day = not size_below(staging["order_items_raw"], DAY_PARTITION_MIN_BYTES)
+    timings["fact_partitioned_by_day"] = float(bool(partition_fact_by_day))
     calendar = timed("dim_calendar", lambda: _materialize(build_calendar(orders), "dim_calendar"))
     n_days = calendar.count()
     customer = timed("dim_customer", lambda: _materialize(
@@ -154,7 +162,8 @@ def fact_external_of(star: Star, city: str, state: str) -> DataFrame:
         dim_external_of(star, city, state), star.customer, star.calendar), "fact_external"))
 
 
-def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = False) -> tuple[Star, DataFrame]:
+def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = False,
+                partition_fact_by_day: bool | None = None) -> tuple[Star, DataFrame]:
     """Reload: new staging -> the next version of every core table.
 
     The reference's rerun of its dimension and fact scripts: each dimension
@@ -178,7 +187,10 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
                      calendar_for_join(calendar, n_days))
     merged = upsert(star.fact, rows)
     counts = upsert_counts(merged.actions).checkpoint(eager=True)
-    fact = _materialize(merged.table, "fact_events")
+    if partition_fact_by_day is None:
+        partition_fact_by_day = not size_below(staging["order_items_raw"], DAY_PARTITION_MIN_BYTES)
+    fact = _materialize(merged.table, "fact_events",
+                        "calendar_sk" if partition_fact_by_day else None)
     new = Star(orders=orders, items=staging["order_items_raw"],
                customers=staging["customers_raw"], products=staging["products_raw"],
                reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
