@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dims import (build_calendar, build_dim_customer, build_dim_product,
                               calendar_for_join)
-from ..operators.fact import build_fact, latest_items
+from ..operators.fact import fact_rows, latest_items, upsert
 from ..operators.keys import size_below
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import testdata
@@ -100,14 +100,18 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
     product = timed("dim_product", lambda: _materialize(
         build_dim_product(staging["products_raw"]), "dim_product"))
     cal_join = calendar_for_join(calendar, n_days)
-    fact = timed("fact_events", lambda: _materialize(build_fact(
-        orders, staging["order_items_raw"], customer, product, cal_join).table, "fact_events",
-        "calendar_sk" if partition_fact_by_day else None))
+    # the latest version of each staged item is a table of its own: the fact
+    # and the item-level lookups (sellers, quality checks) all read it
+    latest = timed("latest_items", lambda: _materialize(
+        latest_items(staging["order_items_raw"]), "latest_items"))
+    fact = timed("fact_events", lambda: _materialize(
+        upsert(None, fact_rows(orders, latest, customer, product, cal_join)).table,
+        "fact_events", "calendar_sk" if partition_fact_by_day else None))
     return Star(orders=orders, items=staging["order_items_raw"],
                 customers=staging["customers_raw"], products=staging["products_raw"],
                 reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
                 calendar=calendar, customer=customer, product=product, fact=fact,
-                n_days=n_days, extra={"timings": timings})
+                n_days=n_days, extra={"timings": timings, "latest_items": latest})
 
 
 _CACHE: dict[tuple[str, str], Star] = {}
@@ -174,7 +178,7 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
     new version folder; the old versions stay readable.  Returns the new star
     and the upsert's per-action row counts.
     """
-    from ..operators.fact import fact_rows, latest_items, upsert, upsert_counts
+    from ..operators.fact import upsert_counts
     staging = {name: _materialize(df, name) for name, df in staging.items()}
     orders = staging["orders_raw"]
     calendar = _materialize(build_calendar(orders, existing=star.calendar), "dim_calendar")
@@ -183,8 +187,8 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
                                                deaccent=deaccent), "dim_customer")
     product = _materialize(build_dim_product(staging["products_raw"], existing=star.product),
                            "dim_product")
-    rows = fact_rows(orders, latest_items(staging["order_items_raw"]), customer, product,
-                     calendar_for_join(calendar, n_days))
+    latest = _materialize(latest_items(staging["order_items_raw"]), "latest_items")
+    rows = fact_rows(orders, latest, customer, product, calendar_for_join(calendar, n_days))
     merged = upsert(star.fact, rows)
     counts = upsert_counts(merged.actions).checkpoint(eager=True)
     if partition_fact_by_day is None:
@@ -195,5 +199,5 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
                customers=staging["customers_raw"], products=staging["products_raw"],
                reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
                calendar=calendar, customer=customer, product=product, fact=fact,
-               n_days=n_days)
+               n_days=n_days, extra={"latest_items": latest})
     return new, counts

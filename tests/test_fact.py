@@ -100,3 +100,15 @@ def test_single_day_calendar(spark):
     grown = build_calendar(more, existing=build_calendar(o))
     got = sorted((r["date"].day, r["calendar_sk"]) for r in grown.collect())
     assert got == [(2, 2), (3, 3), (4, 1), (5, 4)]          # old key kept, new days after max
+
+
+def test_build_fact_dedups_then_merges(stage):
+    from kpiforge.operators.fact import build_fact
+    orders, items, cust, prod, cal = stage
+    staged = items.withColumn("_ingested_at", F.lit(T("2018-01-01 00:00:00")).cast("timestamp_ntz"))
+    twice = staged.unionByName(staged.withColumn(
+        "_ingested_at", F.lit(T("2018-01-02 00:00:00")).cast("timestamp_ntz")).withColumn(
+        "price", F.col("price") + F.lit(1)))
+    res = build_fact(orders, twice, cust, prod, cal)
+    got = {(r["order_id"], r["order_item_id"]): float(r["price"]) for r in res.table.collect()}
+    assert got == {("o1", 1): 11.0, ("o4", 1): 5.0}            # later version wins
