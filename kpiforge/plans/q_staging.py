@@ -14,7 +14,7 @@ from ..sources import testdata
 from ..sources.contracts import ORDERS
 from . import oracle as O
 from .catalog import present, register, register_raw
-from .star import Star, dim_seller_of, star_for
+from .star import Star, dim_seller_of, latest_items_of, star_for
 
 TS_FMT = "'%Y-%m-%dT%H:%M:%S'"
 
@@ -266,5 +266,6 @@ def fact_upsert(s: Star) -> DataFrame:
     cutoff = F.lit(last).cast("timestamp_ntz") - F.expr(f"INTERVAL {CUTOFF_DAYS} DAYS")
     early = s.items.filter(F.col("_ingested_at") <= cutoff)
     old = upsert(None, fact_rows(s.orders, latest_items(early), s.customer, s.product, s.cal)).table
-    new_rows = fact_rows(s.orders, latest_items(s.items), s.customer, s.product, s.cal)
+    # the full load's latest item versions are the star's latest-items table
+    new_rows = fact_rows(s.orders, latest_items_of(s), s.customer, s.product, s.cal)
     return upsert_counts(upsert(old, new_rows).actions)
