@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding
+from . import compression_rules, sharding
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and compression-band verdict of every document."""
+    return compression_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of near-equal bytes."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 16).select(
@@ -21,7 +26,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op10_sharding,)}
+    return {f.__name__: f for f in (op9_quality_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
