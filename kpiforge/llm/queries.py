@@ -7,12 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_rules, sharding
+from . import compression_rules, sharding, toxicity
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def fold_of(doc_id: str, folds: int):
+    """The fold of a document: CRC-32 of its id as text, modulo the folds."""
+    return F.crc32(F.col(doc_id).cast("string")) % folds
+
+
+def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
+    """The lexicon learned from the labelled documents outside fold 2 of 4."""
+    return toxicity.learn(toxicity.labelled_texts(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", fold_of("doc_id", 4) != 2))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fold 2 of 4 is held out of learning."""
+    lex = toxicity_lexicon(spark, sf_dir)
+    return toxicity.score(table(spark, sf_dir, "documents"), lex).select(
+        "doc_id", F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted", "n_hits")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and compression-band verdict of every document."""
     return compression_rules.judge(table(spark, sf_dir, "documents"))
@@ -26,7 +44,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_quality_rules, op10_sharding)}
+    return {f.__name__: f for f in (op7_toxicity, op9_quality_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
