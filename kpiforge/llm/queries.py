@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_rules, sharding, toxicity
+from . import compression_rules, sentencepiece, sharding, toxicity
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    """Every document encoded to pieces and decoded again: the number of ids,
+    a hash of the ids, the bytes of the decoded text, and whether it is the text."""
+    codec = sentencepiece.Codec(spark, sentencepiece.load(model_path))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", codec.encode(F.col("text")).alias("ids"))
+    docs = docs.select("doc_id", "text", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    return docs.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+                       F.octet_length("decoded").cast("bigint").alias("decoded_bytes"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"))
+
+
 def fold_of(doc_id: str, folds: int):
     """The fold of a document: CRC-32 of its id as text, modulo the folds."""
     return F.crc32(F.col(doc_id).cast("string")) % folds
@@ -44,7 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_toxicity, op9_quality_rules, op10_sharding)}
+    return {f.__name__: f for f in (op2_sentencepiece, op7_toxicity, op9_quality_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
