@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import compression_rules, sentencepiece, sharding, toxicity
+from .labelled import labelled_texts
 from .storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"))
 
 
+# Labelled documents of each label that the lexicon is learned from, at most
+LEXICON_ROWS = 25_000
+
+
 def fold_of(doc_id: str, folds: int):
     """The fold of a document: CRC-32 of its id as text, modulo the folds."""
     return F.crc32(F.col(doc_id).cast("string")) % folds
@@ -34,8 +39,9 @@ def fold_of(doc_id: str, folds: int):
 
 def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
     """The lexicon learned from the labelled documents outside fold 2 of 4."""
-    return toxicity.learn(toxicity.labelled_texts(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", fold_of("doc_id", 4) != 2))
+    return toxicity.learn(labelled_texts(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", fold_of("doc_id", 4) != 2,
+        LEXICON_ROWS))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .labelled import fit_sigmoid
 from .texts import per_text, text_bytes
 
 # Letters of other scripts that look like Latin ones
@@ -199,16 +200,15 @@ def _longest(stems: dict[str, tuple[float, float, float]], keep: float = 0.9) ->
 
 
 def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, max_stems: int = 20_000,
-          max_exceptions: int = 5_000, min_variety: float = 0.5,
-          fit_rows: int = 20_000) -> Lexicon:
-    """The lexicon of ``labelled`` (text, label 0/1; other labels take no part).
-
-    The counts of stems and exception phrases cover all labelled rows.  The
-    candidates, at most ``max_stems`` by toxic documents, and the exceptions, at
-    most ``max_exceptions``, go through the driver, as do the densities of at most
-    ``fit_rows`` rows of each label, on which the two score parameters are fitted.
-    Without rows of both labels the lexicon is empty."""
-    rows = labelled.select("text", F.col("label").cast("int").alias("_y")).where("_y in (0, 1)")
+          max_exceptions: int = 5_000, min_variety: float = 0.5) -> Lexicon:
+    """The lexicon of ``labelled`` (doc_id, text, label 0 or 1, weight: the
+    documents that a row stands for).
+
+    The counts of stems and exception phrases cover all these rows.  The
+    candidates, at most ``max_stems`` by toxic documents, the exceptions, at most
+    ``max_exceptions``, and one number for each row go through the driver, so the
+    caller bounds the rows.  Without rows of both labels the lexicon is empty."""
+    rows = labelled.withColumnRenamed("label", "_y")
     n = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     if len(n) < 2:
         return Lexicon(())
@@ -247,39 +247,19 @@ def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, max
     exc = _entries(rows, phrases).where((F.col("n_bad") == 0) & (F.col("n_other") >= min_docs))
     lex = Lexicon(lex.stems, tuple(sorted(r["entry"] for r in exc.orderBy(
         F.desc("n_other"), "entry").limit(max_exceptions).collect())))
-    return _fit(rows, lex, n, fit_rows)
+    return _fit(rows, lex)
 
 
-def _fit(rows: DataFrame, lex: Lexicon, n: dict[int, int], fit_rows: int) -> Lexicon:
+def _fit(rows: DataFrame, lex: Lexicon) -> Lexicon:
     """Slope and offset by logistic regression, so that the score is the share
     of toxic documents at that density."""
     dens = per_text(lambda: lambda ts: pa.array([density(lex, t.decode("utf-8", "replace"))[1] for t in ts],
                                                 pa.float64()), "double")(text_bytes(F.col("text")))
-    x, y, weight = [], [], []
-    for label in (0, 1):
-        scored = rows.where(F.col("_y") == label).select(F.xxhash64("text").alias("h"), dens.alias("d"))
-        got = [r["d"] for r in scored.orderBy("h", "d").limit(fit_rows).collect()]
-        x += got
-        y += [label] * len(got)
-        weight += [n[label] / (n[0] + n[1]) / max(1, len(got))] * len(got)
-    x, y, weight = np.log1p(np.array(x)), np.array(y, float), np.array(weight)
-    feats = np.stack([x, np.ones_like(x)], 1)
-    beta = np.zeros(2)
-    for _ in range(50):  # Newton steps; the small ridge keeps separable data finite
-        p = 1 / (1 + np.exp(-feats @ beta))
-        grad = feats.T @ (weight * (p - y)) + 1e-5 * beta
-        hess = (feats * (weight * p * (1 - p))[:, None]).T @ feats + 1e-5 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        beta -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return Lexicon(lex.stems, lex.exceptions, float(beta[0]), float(beta[1]))
-
-
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, train: Column) -> DataFrame:
-    """(text, label) of the labelled documents for which ``train`` holds."""
-    y = labels.where(train).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.where(train).select("doc_id", "text").join(y, "doc_id").select("text", "label")
+    got = rows.select(dens.alias("d"), "_y", "weight").toArrow()
+    x, y, weight = (got.column(c).to_numpy() for c in ("d", "_y", "weight"))
+    x, weight = np.log1p(x), weight / weight.sum()
+    slope, offset = fit_sigmoid(x, y, weight)
+    return Lexicon(lex.stems, lex.exceptions, slope, offset)
 
 
 def score(docs: DataFrame, lex: Lexicon, threshold: float = 0.3) -> DataFrame:
