@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_rules, sentencepiece, sharding, toxicity
+from . import compression_rules, jaccard_join, kmeans_tree, line_crf, mixing, sentencepiece, sharding, token_rollup, toxicity
+from ..session import scratch_path
 from .labelled import labelled_texts
-from .storage import table
+from .storage import table, visible
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -28,8 +35,107 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"))
 
 
-# Labelled documents of each label that the lexicon is learned from, at most
-LEXICON_ROWS = 25_000
+# The domain of a source, by a rule that stands in for a catalogue of sources: the first hex digit of its MD5.
+DOMAIN_SQL = """case when source is null then 'other'
+    when substr(md5(source), 1, 1) in ('0', '1', '2', '3', '4', '5') then 'web'
+    when substr(md5(source), 1, 1) in ('6', '7', '8', '9', 'a') then 'books' else 'reference' end"""
+# Weights among siblings, by level
+WEIGHT_SQL = ("case domain when 'web' then 50 when 'books' then 30 when 'reference' then 20 else 1 end",
+              "case lang when 'en' then 60 when 'de' then 20 when 'fr' then 15 else 5 end",
+              "case when length(source) = 4 then 2 else 1 end")
+BUDGET, EPOCHS, SEED = 0.8, 4, 17
+WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` mixed by the weights above, to four fifths of their words."""
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS))
+    return mixing.mix(docs, F.expr(DOMAIN_SQL), words, [F.expr(w) for w in WEIGHT_SQL], BUDGET, EPOCHS, SEED)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the mixture takes, a row for each epoch that takes them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixed(docs).select("doc_id", F.col("_domain").alias("domain"), "lang", "source",
+                              F.col("_tokens").alias("n_words"), F.col("_epoch").alias("epoch"))
+
+
+def _level_sql(k: int) -> str:
+    """One level of the budget tree: caps, fill order, quotas."""
+    path = ", ".join(mixing.LEVELS[:k + 1])
+    family = "partition by " + (", ".join(mixing.LEVELS[:k]) or "1")
+    up = f"(select {BUDGET_SQL} as quota)" if k == 0 else f"q{k - 1}"
+    same = " and ".join(f"n.{c} is not distinct from u.{c}" for c in mixing.LEVELS[:k]) or "true"
+    before = f"({family} order by cap / weight, {mixing.LEVELS[k]} nulls first rows between unbounded preceding and 1 preceding)"
+    return f"""n{k} as (select {path}, sum(tokens) * {EPOCHS} as cap, max(w{k}) as weight from leaves group by all),
+b{k} as (select n.*, u.quota as budget from n{k} n join {up} u on {same} where n.cap > 0),
+f{k} as (select *, cap * (sum(weight) over ({family}) - coalesce(sum(weight) over {before}, 0))
+    <= weight * (budget - coalesce(sum(cap) over {before}, 0)) as is_full from b{k}),
+q{k} as (select {path}, case when is_full then cap else least(cap, weight
+    * (budget - coalesce(sum(cap) filter (where is_full) over ({family}), 0))
+    // nullif(coalesce(sum(weight) filter (where not is_full) over ({family}), 0), 0)) end as quota from f{k})"""
+
+
+BUDGET_SQL = f"(select cast(floor(sum(tokens) * {BUDGET}::double) as bigint) from leaves)"
+
+
+def _op3_sql() -> str:
+    leaf = " and ".join(f"{{0}}.{c} is not distinct from {{1}}.{c}" for c in mixing.LEVELS)
+    key = f"md5('{SEED}|' || (whole + 1) || '|' || coalesce(doc_id::varchar, ''))"
+    return f"""with docs as (select doc_id, lang, source, {DOMAIN_SQL} as domain,
+    len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) as tokens from documents),
+leaves as (select domain, lang, source, sum(tokens)::hugeint as tokens, {", ".join(f"max({w}) as w{k}" for k, w in enumerate(WEIGHT_SQL))}
+    from docs group by all),
+{", ".join(_level_sql(k) for k in range(3))},
+parts as (select l.domain, l.lang, l.source, q.quota // l.tokens as whole, q.quota % l.tokens as rest
+    from leaves l join q2 q on {leaf.format("l", "q")} where l.tokens > 0),
+placed as (select d.*, p.whole, p.rest, {key} as place from docs d join parts p on {leaf.format("d", "p")}),
+summed as (select domain, lang, source, rest, place, sum(tokens) as tokens from placed where rest > 0 group by all),
+ran as (select *, coalesce(sum(tokens) over (partition by domain, lang, source order by place
+    rows between unbounded preceding and 1 preceding), 0) as before from summed),
+cuts as (select domain, lang, source, max(place) as cut from ran where before < rest group by all),
+taken as (select p.*, whole + case when place <= cut then 1 else 0 end as n
+    from placed p left join cuts c on {leaf.format("p", "c")})
+select doc_id, domain, lang, source, tokens::bigint as n_words, unnest(range(1, n::bigint + 1))::int as epoch from taken where n > 0"""
+
+
+# Tokenizer versions: rank files and the pattern that cuts texts before merging
+RANKS = {"byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"}
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def token_changes(spark: SparkSession, sf_dir: str, version: str, revised: bool = False) -> DataFrame:
+    """Stand-in change log: inserts of all documents under a tokenizer version;
+    or, ``revised``, new counts of the texts of several lines, joined to one
+    line, and deletes of the documents labelled as of low quality."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    count = token_rollup.Counter(spark, token_rollup.ranks_of(RANKS[version]), CUT)
+    tokens = [F.lit(version).alias("tokenizer"), "source", "lang"]
+    if not revised:
+        return docs.select(F.lit(0).alias("seq"), F.lit("insert").alias("op"), "doc_id", *tokens, count(F.col("text")).alias("n_tokens"))
+    joined = docs.where(F.contains("text", F.lit("\n"))).withColumn("text", F.translate("text", "\n", " "))
+    bad = table(spark, sf_dir, "labels").where("quality = 0").select("doc_id")
+    return (joined.select(F.lit(0).alias("seq"), F.lit("revise").alias("op"), "doc_id", *tokens, count(F.col("text")).alias("n_tokens"))
+            .unionAll(bad.select(F.lit(1).alias("seq"), F.lit("delete").alias("op"), "doc_id", F.lit(version),
+                                 F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("long"))))
+
+
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by source, language and tokenizer version after three batches: all
+    documents under one tokenizer, revised counts and deletes, all documents
+    under a second one; the second batch is delivered twice."""
+    first, second = RANKS
+    store = token_rollup.Rollup(spark, scratch_path(spark, "rollup")).create()
+    store.commit(1, token_changes(spark, sf_dir, first))
+    revised = token_changes(spark, sf_dir, first, revised=True)
+    store.commit(2, revised)
+    store.commit(2, revised)
+    store.commit(3, token_changes(spark, sf_dir, second))
+    return store.totals()
+
+
+# Labelled documents of each label that a classifier learns from, at most
+FIT_ROWS, LEXICON_ROWS = 5_000, 25_000
 
 
 def fold_of(doc_id: str, folds: int):
@@ -37,6 +143,17 @@ def fold_of(doc_id: str, folds: int):
     return F.crc32(F.col(doc_id).cast("string")) % folds
 
 
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; fold 0 of 5 is held out of learning.
+    Labels of one class teach nothing: all documents then get 0.5."""
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    field = line_crf.learn(labelled_texts(docs, labels, "quality", fold_of("doc_id", 5) != 0, FIT_ROWS))
+    held = F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    if field is None:
+        field = line_crf.Field((0.0,) * line_crf.N_NODE)
+    return line_crf.score(docs, field).select("doc_id", held, "score", "predicted", "goodness", "n_lines")
+
+
 def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
     """The lexicon learned from the labelled documents outside fold 2 of 4."""
     return toxicity.learn(labelled_texts(
@@ -51,6 +168,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted", "n_hits")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and compression-band verdict of every document."""
     return compression_rules.judge(table(spark, sf_dir, "documents"))
@@ -63,9 +185,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _ready(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        visible(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_sentencepiece, op7_toxicity, op9_quality_rules, op10_sharding)}
+    return {f.__name__: _ready(f) for f in (op1_kmeans_tree, op2_sentencepiece, op3_mixing, op4_token_rollup, op5_quality_crf, op7_toxicity, op8_jaccard_join, op9_quality_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": _op3_sql()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
@@ -20,8 +22,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fresh(df: DataFrame, *names: str) -> None:
-    """Reject input columns that would clash with the columns a job adds."""
-    clash = {n.lower() for n in names} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"input already has columns {sorted(clash)}")
+def visible(spark: SparkSession) -> None:
+    """Let the Python workers find this package where the driver found it, for
+    runs whose PYTHONPATH doesn't name it (a cluster is given it by --py-files)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
