@@ -8,10 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_rules, jaccard_join, kmeans_tree, line_crf, mixing, sentencepiece, sharding, token_rollup, toxicity
+from . import chat_hmm, compression_rules, jaccard_join, kmeans_tree, line_crf, mixing, sentencepiece, sharding, token_rollup, toxicity
 from ..session import scratch_path
 from .labelled import labelled_texts
-from .storage import table, visible
+from .storage import table, visible, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,6 +154,41 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score(docs, field).select("doc_id", held, "score", "predicted", "goodness", "n_lines")
 
 
+# Turns of a raw transcript at most; transcripts of known roles to learn from, about
+TRANSCRIPT_TURNS, CHAT_ROWS = 64, 2_000
+
+
+def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in raw transcripts (conv_id, part, turns of role and raw text, text):
+    the turns of a conversation under each other, in one of four marker styles, a
+    quarter of the turns without a marker."""
+    c = table(spark, sf_dir, "conversations").select(
+        "conv_id", F.expr(f"turn div {TRANSCRIPT_TURNS}").alias("part"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
+    human = F.when(F.col("role") == "user", "Human").when(F.col("role") == "assistant", "AI").otherwise(F.initcap("role"))
+    mark = (F.when(style == 0, F.concat(F.initcap("role"), F.lit(": "))).when(style == 1, F.concat(human, F.lit(": ")))
+            .when(style == 2, F.concat(F.lit("### "), F.initcap("role"), F.lit("\n")))
+            .otherwise(F.concat(F.lit("["), F.col("role"), F.lit("] "))))
+    bare = (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0) | F.col("role").isNull()
+    c = c.withColumn("raw", F.concat(F.when(bare, F.lit("")).otherwise(mark), "text"))
+    return (c.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "raw"))).alias("turns"))
+            .withColumn("text", F.array_join("turns.raw", "\n")))
+
+
+def op6_chat_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transcript with its recovered roles and canonical rendering; the
+    model learns from about 2,000 transcripts, the others are held out."""
+    raw = written(transcripts(spark, sf_dir), "transcripts")
+    n = max(1, raw.count())
+    learned = F.pmod(F.xxhash64("conv_id", "part", F.lit(7)), F.lit(1_000_000)) < 1_000_000 * min(1.0, CHAT_ROWS / n)
+    model = chat_hmm.learn([[(t["role"], t["raw"]) for t in r["turns"]] for r in raw.where(learned).select("turns").collect()])
+    got = raw.select("conv_id", "part", (~learned).alias("held_out"), F.col("turns.role").alias("true_roles"),
+                     chat_hmm.parse(F.col("text"), model).alias("p"))
+    return got.select("conv_id", "part", "held_out", "p.n_lines", F.size("p.turns").alias("n_turns"),
+                      F.array_join("p.turns.role", ",").alias("roles"), F.array_join("true_roles", ",", "").alias("true_roles"),
+                      chat_hmm.render(F.col("p.turns")).alias("rendered"))
+
+
 def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
     """The lexicon learned from the labelled documents outside fold 2 of 4."""
     return toxicity.learn(labelled_texts(
@@ -194,7 +229,7 @@ def _ready(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _ready(f) for f in (op1_kmeans_tree, op2_sentencepiece, op3_mixing, op4_token_rollup, op5_quality_crf, op7_toxicity, op8_jaccard_join, op9_quality_rules, op10_sharding)}
+    return {f.__name__: _ready(f) for f in (op1_kmeans_tree, op2_sentencepiece, op3_mixing, op4_token_rollup, op5_quality_crf, op6_chat_hmm, op7_toxicity, op8_jaccard_join, op9_quality_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
