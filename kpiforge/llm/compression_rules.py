@@ -22,13 +22,13 @@ from .texts import per_text, text_bytes
 
 # (from this many bytes, lowest ratio, highest ratio); shorter inputs are not judged
 BANDS = (
-    (128, 0.36, 1.10),
-    (256, 0.34, 0.98),
-    (512, 0.30, 0.90),
-    (1024, 0.27, 0.85),
-    (2048, 0.25, 0.82),
-    (4096, 0.23, 0.80),
-    (16384, 0.20, 0.78),
+    (128, 0.36, 1.05),
+    (256, 0.34, 0.90),
+    (512, 0.30, 0.80),
+    (1024, 0.27, 0.74),
+    (2048, 0.25, 0.70),
+    (4096, 0.23, 0.68),
+    (16384, 0.20, 0.66),
 )
 CHUNK_BYTES = 2048
 MAX_BAD_CHUNKS = 0.5  # share of the judged chunk bytes that may lie outside their band

@@ -306,6 +306,6 @@ def calibrate(index: DataFrame, queries: DataFrame, tree: Tree, k: int, recall:
     places = {i: {leaf: p for p, leaf in enumerate(visit_order(tree, v, tree.n_leaves))} for i, v in zip(ids, qv, strict=True)}
     at = np.array([places[i][leaf] for i, leaf in zip(true["q"], true["leaf"], strict=True)])
     visits = 1
-    while len(at) and (at < visits).mean() < recall:
+    while visits < tree.n_leaves and len(at) and (at < visits).mean() < recall:
         visits += max(1, visits // 8)
     return min(visits, tree.n_leaves)
