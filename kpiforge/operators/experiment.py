@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ab_group
 from .kpis import scoped_fact
+from .percentiles import null_safe_join, percentiles
 
 YQ = ["year", "quarter"]
 
@@ -42,10 +43,13 @@ def ab_orders(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str) -> Da
 
 def ab_summary(ab: DataFrame, value: str = "order_revenue") -> DataFrame:
     """count, mean, std (n-1), exact median, min, max per quarter and group."""
-    x = F.col(value).cast("double")
-    return ab.groupBy(*YQ, "group_id").agg(
-        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.percentile(x, F.lit(0.5)).alias("median"), F.min(x).alias("min"), F.max(x).alias("max"))
+    by = [*YQ, "group_id"]
+    ab = ab.select(*by, F.col(value).cast("double").alias("_x")).checkpoint(eager=True)
+    g = ab.groupBy(*by).agg(
+        F.count("_x").alias("n"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
+        F.min("_x").alias("min"), F.max("_x").alias("max"))
+    med = percentiles(ab, by, "_x", {"median": 0.5})
+    return null_safe_join(g, med, by, "left").select(*by, "n", "mean", "std", "median", "min", "max")
 
 
 def _moments(ab: DataFrame, x: Column) -> DataFrame:
@@ -96,8 +100,8 @@ def ab_effect_grid(welch: DataFrame, mdes: Sequence[float] = MDE_GRID) -> DataFr
 def ab_winsor(ab: DataFrame, p: float = WINSOR_P, value: str = "order_revenue") -> DataFrame:
     """Cap each (quarter, group) at its own exact p-quantile, then redo the
     Welch moments.  The caps are one row per (quarter, group)."""
-    x = F.col(value).cast("double")
-    caps = ab.groupBy(*YQ, "group_id").agg(F.percentile(x, F.lit(float(p))).alias("_cap"))
-    capped = (ab.join(caps, [*YQ, "group_id"], "inner")
-              .withColumn("_w", F.least(x, F.col("_cap"))))
+    by = [*YQ, "group_id"]
+    ab = ab.select(*by, F.col(value).cast("double").alias("_x")).checkpoint(eager=True)
+    caps = percentiles(ab, by, "_x", {"_cap": p})
+    capped = null_safe_join(ab, caps, by, "left").withColumn("_w", F.least("_x", "_cap"))
     return _welch_from_moments(_moments(capped, F.col("_w")))

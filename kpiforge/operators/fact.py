@@ -1,6 +1,6 @@
 """Order-item fact: assembly, keyed upsert with change test, optional lookups.
 
-O-12 delivered, O-13 scope, O-14 not_null, O-15 to_day, O-20 business hash,
+O-12 delivered, O-13 scope, O-15 to_day, O-20 business hash,
 O-21 lead time, O-22 on-time flag, O-34 fact_rows, O-35 upsert,
 O-36 enrich_fact, O-37 fact_with_dates.
 """
@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import business_md5, is_distinct, lead_time_days, on_time_flag, to_day
 from ..sources.staging import dedup_latest
-from .keys import running_total, size_below
+from .keys import running_total
 
 FACT_KEYS = ["order_id", "order_item_id"]
 FACT_CHANGE_COLS = ["_row_md5", "calendar_sk", "customer_sk", "product_sk"]
+LOOKUP_COLS = ["seller_sk", "external_sk"]
 
 
 class DuplicateKeyError(ValueError):
@@ -37,10 +38,6 @@ def scope(df: DataFrame, city: str, city_col: str = "customer_city") -> DataFram
     return df.filter(F.col(city_col) == F.lit(city))
 
 
-def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))
-
-
 # ---------------------------------------------------------------------------
 # O-34 fact assembly
 # ---------------------------------------------------------------------------
@@ -102,10 +99,12 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_KEYS,
            change_cols: Sequence[str] = FACT_CHANGE_COLS, id_col: str = "event_id",
            check_unique: bool = True,
-           key_broadcast_max_bytes: int | None = None) -> UpsertResult:
+           update_cols: Sequence[str] | None = None) -> UpsertResult:
     """Insert new keys, update a row only when one of ``change_cols`` is
     distinct (NULL-safe), leave the rest unchanged; ``id_col`` is kept for
-    existing rows and assigned densely (max + rank by key) to new ones.
+    existing rows and assigned densely (max + rank by key) to new ones.  An
+    update sets ``update_cols`` (default: all columns but the optional lookups
+    ``LOOKUP_COLS``, which keep what an earlier step filled in).
 
     Rows of the target with no source row stay (the reference never
     deletes).  ``actions`` holds one row per source row.
@@ -129,13 +128,8 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
         assert_unique(src, keys)
     start = target.agg(F.max(id_col)).first()[0] or 0
     # Only target rows whose key is in the batch take part in the merge; the
-    # rest pass through.  The batch keys are broadcast when their estimated
-    # size is small (a daily batch against a large fact), so the fact is
-    # filtered map-side and never shuffled; otherwise both filters are
-    # shuffle joins on the keys.
+    # rest pass through.  AQE picks the join from the batch's measured size.
     src_keys = src.select(*keys)
-    if size_below(src_keys, key_broadcast_max_bytes):
-        src_keys = F.broadcast(src_keys)
     untouched = target.join(src_keys, keys, "left_anti")
     touched = target.join(src_keys, keys, "left_semi")
     t = touched.select(id_col, *keys, *[F.col(c).alias(f"_t_{c}") for c in value_cols],
@@ -149,9 +143,12 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
               .when(changed, F.lit("update"))
               .otherwise(F.lit("unchanged")))
     j = j.withColumn("action", action)
-    take_src = F.col("action").isin("insert", "update")
+    if update_cols is None:
+        update_cols = [c for c in value_cols if c not in LOOKUP_COLS]
+    from_src = {c: F.col("action").isin("insert", "update") if c in update_cols else F.col("action") == "insert"
+                for c in value_cols}
     merged = j.select(id_col, *keys, "action", *[
-        F.when(take_src, F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in value_cols])
+        F.when(from_src[c], F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in value_cols])
     inserts = merged.filter(F.col("action") == "insert").drop(id_col)
     numbered = running_total(inserts, order_by=keys, out="_rank")
     new_rows = numbered.select((F.col("_rank") + F.lit(start)).cast("bigint").alias(id_col),

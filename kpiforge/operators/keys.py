@@ -21,10 +21,10 @@ Only step 4's small table crosses partitions; a group holding a third of all
 rows is spread over many range partitions.
 
 A plain count (surrogate keys, ids) skips step 5's window: the position
-inside the sorted partition is already the rank (``_running_count``).  An
-input whose Catalyst size estimate is below ``SINGLE_TASK_MAX_BYTES`` is
-numbered by an ordinary window instead -- one task over a bounded input.
-``lag_within`` uses the same layout for LAG(1) per group.
+inside the sorted partition is already the rank (``_running_count``).
+``lag_within`` uses the same layout for LAG(1) per group.  There is one path for
+every input size, and NULL group values form a group of their own, as in a
+window.
 """
 
 from __future__ import annotations
@@ -37,24 +37,15 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _POS_BITS = 33
-# Inputs whose plan-size estimate is at most this many bytes may be numbered
-# by one task (a plain window); the estimate is Catalyst's, the same upper
-# bound Spark trusts for broadcast decisions (file sizes, no row guesses).
-SINGLE_TASK_MAX_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (an upper bound without CBO)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
-def size_below(df: DataFrame, limit: int | None) -> bool:
-    lim = SINGLE_TASK_MAX_BYTES if limit is None else limit
-    return lim > 0 and estimated_bytes(df) <= lim
+def _attach(rows: DataFrame, small: DataFrame, pid: str, groups: Sequence[str], how: str) -> DataFrame:
+    """``rows`` with the other columns of ``small``, joined on the partition
+    number and NULL-safely on the group columns."""
+    keys = [pid, *groups]
+    renamed = small.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    same = [F.col(pid) == F.col(f"_on_{pid}")] + [F.col(g).eqNullSafe(F.col(f"_on_{g}")) for g in groups]
+    return rows.join(renamed, same, how).drop(*[f"_on_{k}" for k in keys])
 
 
 def _sort_exprs(cols: Sequence[str | Column]) -> list[Column]:
@@ -64,42 +55,21 @@ def _sort_exprs(cols: Sequence[str | Column]) -> list[Column]:
 def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column | None = None,
                   partition_by: Sequence[str] = (), out: str = "running",
                   num_partitions: int | None = None,
-                  values: dict[str, Column] | None = None,
-                  flag_duplicates: bool = False,
-                  single_task_max_bytes: int | None = None) -> DataFrame:
+                  values: dict[str, Column] | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (default: running count) over
     ``order_by`` within each ``partition_by`` group, rows from the first up to
     the current one; ``values`` ({out: column}) computes several running sums
     in the same pass.  The order must be total (unique) for a deterministic
-    result.  ``flag_duplicates`` adds ``_dup_key``: true on a row whose
-    (group, order) values equal the previous row's -- equal keys always land
-    in the same range partition, so this is exact and costs no extra shuffle.
-
-    An input whose size estimate is at most ``single_task_max_bytes``
-    (default ``SINGLE_TASK_MAX_BYTES``; 0 forces the distributed path) is
-    numbered with a plain window -- a bounded amount of data in one task."""
+    result; rows with NULL group values are a group."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = list(partition_by)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(parts) + _sort_exprs(order_by)
-    count_only = value is None and values is None
-    if values is None:
-        values = {out: value if value is not None else F.lit(1).cast("bigint")}
-    if size_below(df, single_task_max_bytes):
-        w = Window.partitionBy(*parts).orderBy(*_sort_exprs(order_by))
-        cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        res = df.withColumns({o: F.sum(c).over(cum) for o, c in values.items()})
-        if flag_duplicates:
-            key_cols = parts + [c for c in order_by if isinstance(c, str)]
-            same = None
-            for c in key_cols:
-                eq = F.col(c).eqNullSafe(F.lag(c, 1).over(w))
-                same = eq if same is None else (same & eq)
-            res = res.withColumn("_dup_key", F.coalesce(same, F.lit(False)))
-        return res
-    if count_only and not flag_duplicates:
+    if value is None and values is None:
         return _running_count(df, keys, parts, out, n)
+    if values is None:
+        values = {out: value}
     vcols = {f"_rt_v{i}": (o, c) for i, (o, c) in enumerate(values.items())}
     staged = (df.withColumns({k: c for k, (_, c) in vcols.items()})
               .repartitionByRange(n, *keys)
@@ -123,15 +93,7 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column
     inside = Window.partitionBy("_rt_pid", *parts).orderBy("_rt_mid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     with_cum = staged.withColumns({f"{k}_cum": F.sum(k).over(inside) for k in vcols})
-    if flag_duplicates:
-        prev_w = Window.partitionBy("_rt_pid", *parts).orderBy("_rt_mid")
-        key_cols = parts + [c for c in order_by if isinstance(c, str)]
-        same = None
-        for c in key_cols:
-            eq = F.col(c).eqNullSafe(F.lag(c, 1).over(prev_w))
-            same = eq if same is None else (same & eq)
-        with_cum = with_cum.withColumn("_dup_key", F.coalesce(same, F.lit(False)))
-    joined = with_cum.join(offsets, on=["_rt_pid", *parts], how="inner")
+    joined = _attach(with_cum, offsets, "_rt_pid", parts, "inner")
     joined = joined.withColumns({o: F.col(f"{k}_off") + F.col(f"{k}_cum")
                                  for k, (o, _) in vcols.items()})
     drop = ["_rt_mid", "_rt_pid"] + [f"{k}{s}" for k in vcols for s in ("", "_cum", "_off")]
@@ -160,7 +122,7 @@ def _running_count(df: DataFrame, keys: list[Column], parts: list[str], out: str
                             F.coalesce(F.sum("_rc_n").over(before), F.lit(0)).alias("_rc_off"))
     if not parts:
         offsets = F.broadcast(offsets)     # one row per range partition
-    joined = staged.join(offsets, ["_rc_pid", *parts], "inner")
+    joined = _attach(staged, offsets, "_rc_pid", parts, "inner")
     rank = F.col("_rc_off") + F.col("_rc_pos") - F.col("_rc_first") + F.lit(1)
     return (joined.withColumn(out, rank.cast("bigint"))
             .drop("_rc_mid", "_rc_pid", "_rc_pos", "_rc_first", "_rc_off"))
@@ -199,8 +161,7 @@ def assign_sk(new_rows: DataFrame, keys: Sequence[str], sk: str,
 
 
 def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
-               value: str, out: str, num_partitions: int | None = None,
-               single_task_max_bytes: int | None = None) -> DataFrame:
+               value: str, out: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row (by ``order_by``) in the
     same ``group_by`` group -- LAG(value, 1) -- without putting a whole group
     in one task.
@@ -208,15 +169,12 @@ def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
     Rows are range-partitioned on (group, order) and checkpointed; LAG runs
     inside each (partition, group) slice, and the first row of a slice takes
     the last value of the same group in the nearest earlier partition, found
-    on the table of per-slice last values (one row per slice).  Inputs below
-    the single-task size bound use a plain LAG window.
+    on the table of per-slice last values (one row per slice).  Rows with
+    NULL group values are a group.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     groups = list(group_by)
-    if size_below(df, single_task_max_bytes):
-        w = Window.partitionBy(*groups).orderBy(*_sort_exprs(order_by))
-        return df.withColumn(out, F.lag(value, 1).over(w))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(groups) + _sort_exprs(order_by)
     staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -229,10 +187,10 @@ def lag_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
         "_lg_first": F.row_number().over(inside) == 1,
     })
     last = (staged.groupBy("_lg_pid", *groups)
-            .agg(F.max_by(F.col(value), F.col("_lg_mid")).alias("_lg_last")))
+            .agg(F.max_by(F.struct(value), F.col("_lg_mid")).alias("_lg_last")))
     carry = last.select("_lg_pid", *groups, F.lag("_lg_last", 1).over(
         Window.partitionBy(*groups).orderBy("_lg_pid")).alias("_lg_carry"))
-    joined = with_lag.join(carry, ["_lg_pid", *groups], "left")
-    return (joined.withColumn(out, F.when(F.col("_lg_first"), F.col("_lg_carry"))
+    joined = _attach(with_lag, carry, "_lg_pid", groups, "left")
+    return (joined.withColumn(out, F.when(F.col("_lg_first"), F.col("_lg_carry")[value])
                               .otherwise(F.col("_lg_prev")))
             .drop("_lg_mid", "_lg_pid", "_lg_prev", "_lg_first", "_lg_carry"))

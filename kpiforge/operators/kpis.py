@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import share
 from .fact import delivered, scope
+from .percentiles import null_safe_join, percentiles, percentiles_of_counts
 
 YQ = ["year", "quarter"]
 
@@ -54,14 +55,15 @@ def late_value() -> Column:
     return F.when(F.col("on_time_flag") == 1, F.lit(0.0)).otherwise(F.lit(1.0))
 
 
-def percentile_expr(col: str, p: float | Sequence[float], approx: bool = False,
-                    accuracy: int = 10000) -> Column:
-    """Exact interpolated percentile (like percentile_cont); approximate on request."""
-    if approx:
-        pv = F.array(*[F.lit(float(x)) for x in p]) if isinstance(p, (list, tuple)) else F.lit(float(p))
-        return F.percentile_approx(col, pv, accuracy)
-    pv = F.array(*[F.lit(float(x)) for x in p]) if isinstance(p, (list, tuple)) else F.lit(float(p))
-    return F.percentile(F.col(col), pv)
+def by_lead_time(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Scoped fact rows summed up by (``by``, lead time), written once: rates,
+    sums and exact percentiles of a group all come from it, so the fact is
+    read once and the groups stay spread over the lead times."""
+    v = on_time_value()
+    return rows.groupBy(*by, "lead_time_days").agg(
+        F.sum("price").alias("revenue"), F.sum(v).alias("on_time"), F.count(v).alias("n_flag"),
+        F.count("on_time_flag").alias("n_with_estimate"),
+        F.count(F.lit(1)).alias("n_rows")).checkpoint(eager=True)
 
 
 # ---------------------------------------------------------------------------
@@ -113,12 +115,9 @@ def on_time_rate(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str) ->
 
 
 def lead_time_pctl(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str,
-                   p: float = 0.9, approx: bool = False, out: str = "lead_time_p90") -> DataFrame:
-    """Exact P90 per quarter.  ``percentile`` keeps a value -> count map per
-    group and merges it map-side, so the shuffle carries distinct lead times
-    per quarter, not rows."""
-    rows = scoped_fact(fact, cal, cust, city).filter(F.col("lead_time_days").isNotNull())
-    return rows.groupBy(*YQ).agg(percentile_expr("lead_time_days", p, approx).alias(out))
+                   p: float = 0.9, out: str = "lead_time_p90") -> DataFrame:
+    """Exact P90 per quarter, from the counts of the distinct lead times."""
+    return percentiles(scoped_fact(fact, cal, cust, city), YQ, "lead_time_days", {out: p})
 
 
 # ---------------------------------------------------------------------------
@@ -157,16 +156,14 @@ def category_share(fact: DataFrame, cal: DataFrame, cust: DataFrame, prod: DataF
 # O-46 consolidated KPI table
 # ---------------------------------------------------------------------------
 def fact_kpis(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str,
-              p: float = 0.9, approx: bool = False) -> DataFrame:
-    """Revenue, P90 and on-time rate from ONE scan and ONE aggregate of the
-    scoped fact (the reference scans it once per view)."""
-    lt = F.when(F.col("lead_time_days").isNotNull(), F.col("lead_time_days"))
-    pct = (F.percentile_approx(lt, F.lit(float(p)), 10000) if approx
-           else F.percentile(lt, F.lit(float(p))))
-    return (scoped_fact(fact, cal, cust, city).groupBy(*YQ)
-            .agg(F.sum("price").alias("revenue_sp"),
-                 pct.alias("lead_time_p90"),
-                 F.avg(on_time_value()).alias("on_time_rate")))
+              p: float = 0.9) -> DataFrame:
+    """Revenue, P90 and on-time rate from ONE scan of the scoped fact (the
+    reference scans it once per view)."""
+    pre = by_lead_time(scoped_fact(fact, cal, cust, city), YQ)
+    g = pre.groupBy(*YQ).agg(F.sum("revenue").alias("revenue_sp"),
+                             (F.sum("on_time") / F.sum("n_flag")).alias("on_time_rate"))
+    pct = percentiles_of_counts(pre, YQ, "lead_time_days", "n_rows", {"lead_time_p90": p})
+    return null_safe_join(g, pct, YQ, "left").select(*YQ, "revenue_sp", "lead_time_p90", "on_time_rate")
 
 
 def kpi_quarter(fact: DataFrame, cal: DataFrame, cust: DataFrame, orders: DataFrame,
@@ -221,43 +218,29 @@ def avg_lateness(fact_dates: DataFrame) -> DataFrame:
             .agg(F.avg(late_days).alias("avg_late_days"), F.count(F.lit(1)).alias("n_late")))
 
 
-def _pcts(lt, ps: Sequence[float], approx: bool) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in ps])
-    return F.percentile_approx(lt, arr, 10000) if approx else F.percentile(lt, arr)
-
-
-def shipping_profile(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str,
-                     approx: bool = False) -> DataFrame:
+def shipping_profile(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str) -> DataFrame:
     """P50 / P90 / P99 lead time and coverage (rows with a flag, i.e. with
-    both delivery and estimate) per quarter, one aggregate; ``approx`` swaps
-    the exact percentiles for ``percentile_approx``."""
-    lt = F.when(F.col("lead_time_days").isNotNull(), F.col("lead_time_days"))
-    pct = _pcts(lt, (0.5, 0.9, 0.99), approx)
-    g = (scoped_fact(fact, cal, cust, city).groupBy(*YQ)
-         .agg(pct.alias("_p"), F.count(F.lit(1)).alias("n_rows"),
-              F.count("on_time_flag").alias("n_with_estimate")))
-    return g.select(*YQ, F.col("_p")[0].alias("lead_time_p50"), F.col("_p")[1].alias("lead_time_p90"),
-                    F.col("_p")[2].alias("lead_time_p99"), "n_rows", "n_with_estimate",
-                    share("n_with_estimate", "n_rows").alias("coverage"))
+    both delivery and estimate) per quarter, from one scan."""
+    pre = by_lead_time(scoped_fact(fact, cal, cust, city), YQ)
+    g = pre.groupBy(*YQ).agg(F.sum("n_rows").alias("n_rows"),
+                             F.sum("n_with_estimate").alias("n_with_estimate"))
+    ps = {"lead_time_p50": 0.5, "lead_time_p90": 0.9, "lead_time_p99": 0.99}
+    pct = percentiles_of_counts(pre, YQ, "lead_time_days", "n_rows", ps)
+    return null_safe_join(g, pct, YQ, "left").select(
+        *YQ, *ps, "n_rows", "n_with_estimate", share("n_with_estimate", "n_rows").alias("coverage"))
 
 
 # ---------------------------------------------------------------------------
 # O-52 KPIs by quarter x category
 # ---------------------------------------------------------------------------
 def kpi_by_category(fact: DataFrame, cal: DataFrame, cust: DataFrame, prod: DataFrame,
-                    city: str, pivot_values: Sequence[str] | None = None,
-                    measure: str = "revenue", approx: bool = False) -> DataFrame:
-    """Revenue, on-time rate, P50/P90 lead time per (quarter, category).  With
-    ``pivot_values`` one column per category for ``measure`` (values passed
-    explicitly, so no job collects the distinct categories)."""
-    lt = F.when(F.col("lead_time_days").isNotNull(), F.col("lead_time_days"))
-    g = (scoped_fact(fact, cal, cust, city, prod).groupBy(*YQ, "category")
-         .agg(F.sum("price").alias("revenue"),
-              F.avg(on_time_value()).alias("on_time_rate"),
-              F.count("on_time_flag").alias("n_on_time_base"),
-              _pcts(lt, (0.5, 0.9), approx).alias("_p")))
-    g = g.select(*YQ, "category", "revenue", "on_time_rate", "n_on_time_base",
-                 F.col("_p")[0].alias("lead_time_p50"), F.col("_p")[1].alias("lead_time_p90"))
-    if pivot_values is None:
-        return g
-    return g.groupBy(*YQ).pivot("category", list(pivot_values)).agg(F.first(measure))
+                    city: str) -> DataFrame:
+    """Revenue, on-time rate, P50/P90 lead time per (quarter, category)."""
+    by = [*YQ, "category"]
+    pre = by_lead_time(scoped_fact(fact, cal, cust, city, prod), by)
+    g = pre.groupBy(*by).agg(F.sum("revenue").alias("revenue"),
+                             (F.sum("on_time") / F.sum("n_flag")).alias("on_time_rate"),
+                             F.sum("n_with_estimate").alias("n_on_time_base"))
+    ps = {"lead_time_p50": 0.5, "lead_time_p90": 0.9}
+    pct = percentiles_of_counts(pre, by, "lead_time_days", "n_rows", ps)
+    return null_safe_join(g, pct, by, "left").select(*by, "revenue", "on_time_rate", "n_on_time_base", *ps)

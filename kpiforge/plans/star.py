@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dims import (build_calendar, build_dim_customer, build_dim_product,
                               calendar_for_join)
 from ..operators.fact import fact_rows, latest_items, upsert
-from ..operators.keys import size_below
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import testdata
 
@@ -36,7 +35,7 @@ class Star:
     customer: DataFrame          # core.dim_customer
     product: DataFrame           # core.dim_product
     fact: DataFrame              # core.fact_events
-    n_days: int = 0
+    n_days: int | None = None
     extra: dict = field(default_factory=dict)
 
     @property
@@ -48,35 +47,30 @@ class Star:
 def _materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a warehouse table (parquet, a fresh version folder) and read it back.
 
-    With ``partition_by`` the rows are range-partitioned on that column first,
-    so each task writes a contiguous run of partition values (few files per
-    value, and a large value spread over several tasks)."""
+    With ``partition_by`` the rows are range-partitioned on that column and the
+    order first, so each task writes a contiguous run of partition values (few
+    files per value, and a large value is spread over several tasks)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"warehouse/{name}")
     if partition_by:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (df.repartitionByRange(n, partition_by).write.mode("errorifexists")
+        (df.repartitionByRange(n, partition_by, "order_id").write.mode("errorifexists")
          .partitionBy(partition_by).parquet(path))
     else:
         df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
-# Staged items above this size (parquet bytes) get a day-partitioned fact.
-DAY_PARTITION_MIN_BYTES = 10 * 1024 ** 3
-
-
 def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
-               partition_fact_by_day: bool | None = None) -> Star:
+               partition_fact_by_day: bool = False) -> Star:
     """Staging tables are materialized first (the reference's staging schema),
     so each dimension and the fact read them once instead of re-deriving them.
 
     ``partition_fact_by_day`` writes the fact partitioned by ``calendar_sk``
     (one folder per delivery day): a query that restricts the calendar (a
     quarter, a year) then reads only those days through dynamic partition
-    pruning.  Meant for cluster-sized data, where a day is gigabytes; on a
-    small test set it only adds thousands of tiny files.  ``None`` (default)
-    decides from the staged items' size: on above ``DAY_PARTITION_MIN_BYTES``."""
+    pruning.  Worth it where a day is gigabytes; on a small set it only adds
+    thousands of tiny files."""
     spark = staging["orders_raw"].sparkSession
     ensure_checkpoint_dir(spark)
     timings: dict[str, float] = {}
@@ -90,8 +84,6 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
     staging = {name: timed(name, lambda df=df, name=name: _materialize(df, name))
                for name, df in staging.items()}
     orders = staging["orders_raw"]
-    if partition_fact_by_day is None:
-        partition_fact_by_day = not size_below(staging["order_items_raw"], DAY_PARTITION_MIN_BYTES)
     timings["fact_partitioned_by_day"] = float(bool(partition_fact_by_day))
     calendar = timed("dim_calendar", lambda: _materialize(build_calendar(orders), "dim_calendar"))
     n_days = calendar.count()
@@ -167,7 +159,7 @@ def fact_external_of(star: Star, city: str, state: str) -> DataFrame:
 
 
 def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = False,
-                partition_fact_by_day: bool | None = None) -> tuple[Star, DataFrame]:
+                partition_fact_by_day: bool = False) -> tuple[Star, DataFrame]:
     """Reload: new staging -> the next version of every core table.
 
     The reference's rerun of its dimension and fact scripts: each dimension
@@ -191,8 +183,6 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
     rows = fact_rows(orders, latest, customer, product, calendar_for_join(calendar, n_days))
     merged = upsert(star.fact, rows)
     counts = upsert_counts(merged.actions).checkpoint(eager=True)
-    if partition_fact_by_day is None:
-        partition_fact_by_day = not size_below(staging["order_items_raw"], DAY_PARTITION_MIN_BYTES)
     fact = _materialize(merged.table, "fact_events",
                         "calendar_sk" if partition_fact_by_day else None)
     new = Star(orders=orders, items=staging["order_items_raw"],

@@ -3,6 +3,7 @@ with one hot group holding a third of the rows."""
 
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kpiforge.operators.keys import assign_sk, insert_absent, lag_within, running_total
@@ -22,7 +23,7 @@ def test_running_total_matches_brute_force(spark):
     df = spark.createDataFrame(data, "g string, k int, v int")
     got = running_total(df, order_by=["k"], partition_by=["g"],
                         values={"cum": F.col("v").cast("bigint"), "rank": F.lit(1).cast("bigint")},
-                        num_partitions=8, single_task_max_bytes=0)
+                        num_partitions=8)
     got = {(r["g"], r["k"]): (r["cum"], r["rank"]) for r in got.collect()}
     want = {}
     for g in {d[0] for d in data}:
@@ -36,26 +37,29 @@ def test_running_total_matches_brute_force(spark):
 
 def test_running_total_descending_order(spark):
     df = spark.createDataFrame([(1, 5), (2, 9), (3, 1), (4, 9)], "k int, v int")
-    for limit in (0, None):
-        got = running_total(df, order_by=[F.col("v").desc(), F.col("k").asc()], out="n",
-                            single_task_max_bytes=limit)
-        assert sorted((r["k"], r["n"]) for r in got.collect()) == [(1, 3), (2, 1), (3, 4), (4, 2)]
+    got = running_total(df, order_by=[F.col("v").desc(), F.col("k").asc()], out="n")
+    assert sorted((r["k"], r["n"]) for r in got.collect()) == [(1, 3), (2, 1), (3, 4), (4, 2)]
 
 
-def test_single_task_path_only_below_the_bound(spark):
-    from kpiforge.operators.keys import SINGLE_TASK_MAX_BYTES, estimated_bytes
-    assert estimated_bytes(spark.range(0, 10)) <= SINGLE_TASK_MAX_BYTES
-    # rows built in Python have no size estimate: treated as large
-    assert estimated_bytes(spark.createDataFrame([(1,)], "k int")) > SINGLE_TASK_MAX_BYTES
-    assert estimated_bytes(spark.range(0, 10 ** 12)) > SINGLE_TASK_MAX_BYTES
+def _null_rows(n=600, seed=5):
+    """A third of the rows in the NULL group."""
+    rnd = random.Random(seed)
+    return [(None if i % 3 == 0 else rnd.choice("abcd"), i, rnd.choice([None, 1, 5, 9])) for i in range(n)]
 
 
-def test_duplicate_flag(spark):
-    df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")
-    for limit in (0, None):
-        got = running_total(df, order_by=["k"], flag_duplicates=True, num_partitions=4,
-                            single_task_max_bytes=limit)
-        assert sum(1 for r in got.collect() if r["_dup_key"]) == 1
+def test_null_group_like_a_plain_window(spark):
+    data = _null_rows()
+    df = spark.createDataFrame(data, "g string, k int, v int")
+    w = Window.partitionBy("g").orderBy("k")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.select("g", "k", F.row_number().over(w).alias("rank"),
+                     F.sum(F.coalesce("v", F.lit(0))).over(upto).alias("cum"), F.lag("v", 1).over(w).alias("prev"))
+    ranks = running_total(df, order_by=["k"], partition_by=["g"], out="rank", num_partitions=8)
+    cums = running_total(df, order_by=["k"], partition_by=["g"], out="cum", num_partitions=8,
+                         value=F.coalesce("v", F.lit(0)).cast("bigint"))
+    lags = lag_within(df, ["g"], ["k"], "v", "prev", num_partitions=8)
+    for got, col in ((ranks, "rank"), (cums, "cum"), (lags, "prev")):
+        assert {(r["k"], r[col]) for r in got.collect()} == {(r["k"], r[col]) for r in want.collect()}
 
 
 def test_assign_sk_dense_and_stable(spark):
@@ -77,10 +81,8 @@ def test_insert_absent(spark):
 def test_lag_within_matches_brute_force(spark):
     data = _hot_rows(900, seed=3)
     df = spark.createDataFrame(data, "g string, k int, v int")
-    dist = lag_within(df, ["g"], ["k"], "v", "prev", num_partitions=8, single_task_max_bytes=0)
-    small = lag_within(df, ["g"], ["k"], "v", "prev")
+    dist = lag_within(df, ["g"], ["k"], "v", "prev", num_partitions=8)
     got = {(r["g"], r["k"]): r["prev"] for r in dist.collect()}
-    assert got == {(r["g"], r["k"]): r["prev"] for r in small.collect()}
     want = {}
     for g in {d[0] for d in data}:
         prev = None
@@ -93,8 +95,7 @@ def test_lag_within_matches_brute_force(spark):
 def test_running_count_per_group_positional_path(spark):
     data = _hot_rows(700, seed=11)
     df = spark.createDataFrame(data, "g string, k int, v int")
-    got = running_total(df, order_by=["k"], partition_by=["g"], out="rank", num_partitions=8,
-                        single_task_max_bytes=0)
+    got = running_total(df, order_by=["k"], partition_by=["g"], out="rank", num_partitions=8)
     got = {(r["g"], r["k"]): r["rank"] for r in got.collect()}
     want = {}
     for g in {d[0] for d in data}:
