@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SLICE = 512
+
 
 def text_bytes(text: Column) -> Column:
     """The UTF-8 bytes of a text; none for null."""
@@ -26,6 +28,8 @@ def per_text(setup: Callable[[], Callable[[list], pa.Array]], returns: str) -> C
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         each = setup()
         for batch in batches:
-            yield each(batch.to_pylist())
+            # in slices, so that few texts are Python objects at a time
+            parts = [each(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
+            yield pa.concat_arrays(parts) if parts else each([])
 
     return apply

@@ -1,0 +1,161 @@
+"""The join against a join of all pairs; its parts against their definitions."""
+
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kpiforge.llm import jaccard_join as J
+from kpiforge.llm.components import components
+from kpiforge.llm.queries import op8_jaccard_join
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+class Union(dict):
+    def find(self, x):
+        self.setdefault(x, x)
+        while self[x] != x:
+            x = self[x]
+        return x
+
+    def link(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self[max(a, b)] = min(a, b)
+
+
+def brute(rows):
+    """(doc_id, n_shingles, component_id) of every row, by counting shared shingles of all pairs."""
+    sets, lists, u = [shingles(t) for _, t in rows], defaultdict(list), Union()
+    for k, (i, _) in enumerate(rows):
+        shared = Counter(j for g in sets[k] for j in lists[g]) if i is not None else {}
+        for j, c in shared.items():
+            if 100 * c >= 75 * (len(sets[k]) + len(sets[j]) - c):
+                u.link(i, rows[j][0])
+        if i is not None:
+            for g in sets[k]:
+                lists[g].append(k)
+    return sorted(((i, len(s), None if i is None else u.find(i)) for (i, _), s in zip(rows, sets)), key=str)
+
+
+def check(spark, rows):
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n int").repartition(5)
+    got = J.join(docs)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute(rows)
+    return got
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aAbÉé \n\t\x1c\xa0", max_size=40))
+def test_shingle_sets(text):
+    assert len(J.shingle_set(text.encode())) == len(shingles(text))
+
+
+def test_sizes_and_subsets():
+    for n in range(1, 40):
+        assert list(J.partners(n)) == [m for m in range(1, 200) if 100 * min(n, m) >= 75 * max(n, m)]
+        for m in range(1, 40):
+            t = J.needed(n, m)
+            assert 100 * t >= 75 * (n + m - t) and 100 * (t - 1) < 75 * (n + m - t + 1)
+    assert J.subset_count(4, 16) == sum(len(list(combinations(range(4), J.needed(4, m)))) for m in (3, 4, 5))
+    # the boundary: none but light sets, none but heavy ones
+    assert J.boundary({3: 1000}) >= 3 and J.boundary({300: 1000}) == 1
+
+
+def test_light_sets_of_all_sizes(spark):
+    rnd = random.Random(1)
+    rows = []
+    for k in range(260):  # short texts over few words: many partial overlaps
+        rows.append((k, " ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 12)))))
+    check(spark, rows)
+
+
+def test_edited_copies_around_the_threshold(spark):
+    rnd = random.Random(2)
+    words = [f"w{k}" for k in range(4000)]
+    rows = []
+    for base in range(25):
+        text = rnd.choices(words, k=rnd.choice([8, 14, 20, 60, 150]))
+        for _ in range(9):
+            copy = list(text)
+            for _ in range(rnd.randint(0, max(1, len(text) // 18))):
+                at = rnd.randrange(len(copy))
+                copy[at:at + rnd.randint(0, 1)] = rnd.choices(words, k=rnd.randint(0, 2))
+            rows.append((len(rows), " ".join(copy)))
+    check(spark, rows)
+
+
+def test_shared_passages_hot_groups_and_chains(spark):
+    rnd = random.Random(3)
+    words = [f"v{k}" for k in range(9000)]
+    passage = " ".join(rnd.choices(words, k=60))
+    base = rnd.choices(words, k=120)
+    rows = [(k, passage + " " + " ".join(rnd.choices(words, k=rnd.choice([10, 40, 100])))) for k in range(150)]
+    for k in range(200):  # near copies of one text
+        copy = list(base)
+        copy[rnd.randrange(120)] = f"x{k}"
+        rows.append((1000 + k, " ".join(copy)))
+    rows += [(2000 + k, passage) for k in range(80)]  # exact copies
+    for k in range(12):  # each links to the next only
+        rows.append((3000 + k, " ".join(base[4 * k:] + [f"y{j}" for j in range(4 * k)])))
+    rnd.shuffle(rows)
+    check(spark, rows)
+
+
+def test_nulls_empty_long_and_repeated_rows(spark):
+    long = " ".join(f"z{k}" for k in range(30_000))
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, long), (8, long + " end"),
+            (None, long), (None, "one"), (9, "one"), (9, "one"), (10, "a b c d e f g"), (10, long), (11, None), (11, None)]
+    got = check(spark, rows)
+    assert {r["n_equal"] for r in got.where("doc_id in (4, 5)").collect()} == {4}
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert J.join(docs).collect() == [] and J.keep_one(docs).collect() == []
+
+
+def test_lists_that_are_dealt_over_tasks(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = rnd.choices([f"v{k}" for k in range(900)], k=100)
+    rows = [(k, " ".join(base[:k % 100] + [f"q{k}"] + base[k % 100 + 1:])) for k in range(120)]
+    whole = J.inverted_lists
+    monkeypatch.setattr(J, "inverted_lists", lambda *a, **k: whole(*a, **k, list_rows=10))
+    check(spark, rows)
+
+
+def test_keep_one(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "other text"), (3, None), (3, None), (None, "a b c d e f"), (4, "b")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    got = J.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "a b c d e f", 0), (3, None, 3), (None, "a b c d e f", 5), (4, "b", 6)], key=str)
+
+
+@pytest.mark.parametrize("kind", ["chain", "star", "random", "none"])
+def test_components(spark, kind):
+    rnd = random.Random(6)
+    edges = {"chain": [(k, k + 1) for k in range(200)], "star": [(500, k) for k in range(400)], "none": [(3, 3)],
+             "random": [(rnd.randrange(300), rnd.randrange(300)) for _ in range(180)]}[kind]
+    u = Union()
+    for a, b in edges:
+        u.link(a, b)
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["id"]: r["component"] for r in got} == {x: u.find(x) for x in u if u.find(x) != x}
+
+
+def test_query(spark):
+    d = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    got = op8_jaccard_join(spark, d).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
