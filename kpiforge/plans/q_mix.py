@@ -22,7 +22,7 @@ def _cat_share(s: Star) -> DataFrame:
 
 @register("top_categories", O.q(f"""
 SELECT category, {O.money('sum(revenue_cat)', 'revenue')}, {O.r6('avg(share_cat)', 'avg_share')}
-FROM vw_category_share_sp GROUP BY category ORDER BY sum(revenue_cat) DESC, category LIMIT {TOP_K}
+FROM category_sales GROUP BY category ORDER BY sum(revenue_cat) DESC, category LIMIT {TOP_K}
 """))
 def top_categories(s: Star) -> DataFrame:
     """O-63: top-10 categories by revenue with their mean quarterly share."""
@@ -31,11 +31,11 @@ def top_categories(s: Star) -> DataFrame:
 
 
 @register("category_trend", O.q(f"""
-, top AS (SELECT category FROM vw_category_share_sp GROUP BY category
+, top AS (SELECT category FROM category_sales GROUP BY category
           ORDER BY sum(revenue_cat) DESC, category LIMIT {TOP_K}),
 cells AS (SELECT CAST(year AS VARCHAR) || ' Q' || CAST(quarter AS VARCHAR) AS label, category,
                  CAST(round(CAST(CAST(share_cat AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) AS v
-          FROM vw_category_share_sp WHERE category IN (SELECT category FROM top))
+          FROM category_sales WHERE category IN (SELECT category FROM top))
 SELECT * FROM (PIVOT cells ON category USING first(v) GROUP BY label)
 """.replace("\n, top AS", ", top AS", 1)))
 def category_trend(s: Star) -> DataFrame:

@@ -227,18 +227,6 @@ def fact_rows_q(s: Star) -> DataFrame:
 CUTOFF_DAYS = 365
 
 
-def _fact_rows_sql(items_cte: str, name: str) -> str:
-    start = O.PREFIX.index("fact_rows AS (")
-    end = O.PREFIX.index("fact AS (")
-    body = O.PREFIX[start:end].replace("fact_rows AS (", f"{name} AS (", 1)
-    body = body.replace("base b", f"{name}_base b")
-    base = (f"{name}_base AS (SELECT i.order_id, i.order_item_id, i.product_id, i.price, "
-            f"i.freight_value, o.customer_id, o.order_approved_at, o.order_delivered_customer_date, "
-            f"o.order_estimated_delivery_date FROM {items_cte} i JOIN orders_raw o USING (order_id) "
-            f"WHERE o.order_status = 'delivered'),\n")
-    return base + body
-
-
 _UPSERT_SQL = O.q(f"""
 , cut AS (SELECT max(_ingested_at) - INTERVAL {CUTOFF_DAYS} DAY AS c FROM items_raw),
 items_cut AS (
@@ -246,13 +234,13 @@ items_cut AS (
   QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id
                              ORDER BY _ingested_at DESC, price DESC, product_id DESC,
                                       seller_id DESC, freight_value DESC) = 1),
-{_fact_rows_sql('items_cut', 'f_old').rstrip().rstrip(',')},
+{O.sold_items('items_cut', 'f_old')},
 acts AS (
   SELECT CASE WHEN o.order_id IS NULL THEN 'insert'
               WHEN o._row_md5 IS DISTINCT FROM n._row_md5 OR o.calendar_sk IS DISTINCT FROM n.calendar_sk
                 OR o.customer_sk IS DISTINCT FROM n.customer_sk OR o.product_sk IS DISTINCT FROM n.product_sk
               THEN 'update' ELSE 'unchanged' END AS action
-  FROM fact_rows n LEFT JOIN f_old o USING (order_id, order_item_id))
+  FROM sold n LEFT JOIN f_old o USING (order_id, order_item_id))
 SELECT action, count(*) AS n_rows FROM acts GROUP BY action
 """.replace("\n, cut AS", ", cut AS", 1))
 

@@ -29,7 +29,7 @@ SELECT {O.yq()}, category, CAST(n_orders AS BIGINT) AS n_orders,
        {O.r6('late_rate', 'late_rate')}, {O.r6('lag(late_rate) OVER w', 'late_rate_prev')},
        {O.r6('late_orders', 'late_orders')}, {O.r6('lag(late_orders) OVER w', 'late_orders_prev')},
        {O.r6('late_orders - coalesce(lag(late_orders) OVER w, 0)', 'delta_late_orders')}
-FROM vw_late_cat_sp WINDOW w AS (PARTITION BY category ORDER BY year, quarter)
+FROM category_late WINDOW w AS (PARTITION BY category ORDER BY year, quarter)
 """))
 def late_delta_sp(s: Star) -> DataFrame:
     """O-54: late items by category vs the previous existing quarter (LAG)."""
@@ -45,7 +45,7 @@ _YOY_REVENUE = f"""
 SELECT {O.yq('t.')}, {O.money('t.revenue_sp', 'revenue_present')},
        {O.money('b.revenue_sp', 'revenue_base')},
        {O.r6('100.0 * (CAST(t.revenue_sp AS DOUBLE) - CAST(b.revenue_sp AS DOUBLE)) / NULLIF(CAST(b.revenue_sp AS DOUBLE), 0)', 'yoy_pct')}
-FROM vw_revenue_sp t LEFT JOIN vw_revenue_sp b ON {_qi('b')} + 4 = {_qi('t')}
+FROM quarter_sales t LEFT JOIN quarter_sales b ON {_qi('b')} + 4 = {_qi('t')}
 """
 
 
@@ -69,7 +69,7 @@ FROM {view} t LEFT JOIN {view} b ON {_qi('b')} + 4 = {_qi('t')}
 """
 
 
-@register("reviews_yoy_pp", O.q(_diff_sql("vw_reviews_sp", "share_ge4", "share_present_pct",
+@register("reviews_yoy_pp", O.q(_diff_sql("quarter_reviews", "share_ge4", "share_present_pct",
                                           "share_base_pct", "delta_pp", 100.0)))
 def reviews_yoy_pp(s: Star) -> DataFrame:
     """O-56: review share >= 4 in t vs t-4, in percentage points."""
@@ -80,7 +80,7 @@ def reviews_yoy_pp(s: Star) -> DataFrame:
                    rates=["share_present_pct", "share_base_pct", "delta_pp"])
 
 
-@register("leadtime_yoy", O.q(_diff_sql("vw_p90_sp", "lead_time_p90", "p90_actual_days",
+@register("leadtime_yoy", O.q(_diff_sql("quarter_lead", "lead_time_p90", "p90_actual_days",
                                         "p90_base_days", "delta_days", 1.0)))
 def leadtime_yoy(s: Star) -> DataFrame:
     """O-57: P90 lead time in t vs t-4, in days."""
@@ -116,18 +116,18 @@ def on_time_yoy_pp(s: Star) -> DataFrame:
 
 _FROZEN_CTES = f"""
 , top AS (
-  SELECT year, quarter, category, share_cat FROM vw_category_share_sp
+  SELECT year, quarter, category, share_cat FROM category_sales
   QUALIFY row_number() OVER (PARTITION BY year, quarter
                              ORDER BY share_cat DESC NULLS LAST, category) = 1),
 qs AS (SELECT year, quarter, max(revenue_total) AS revenue_total
-       FROM vw_category_share_sp GROUP BY year, quarter),
+       FROM category_sales GROUP BY year, quarter),
 frozen AS (
   SELECT qs.year, qs.quarter, top.category AS top_category, qs.revenue_total,
          top.share_cat AS base_share,
          CASE WHEN top.category IS NULL THEN NULL WHEN n.category IS NULL THEN 0.0
               ELSE n.share_cat END AS now_share
   FROM qs LEFT JOIN top ON {_qi('top')} + 4 = {_qi('qs')}
-  LEFT JOIN vw_category_share_sp n
+  LEFT JOIN category_sales n
          ON n.year = qs.year AND n.quarter = qs.quarter AND n.category = top.category)
 """
 
@@ -151,13 +151,13 @@ _TARGET_CTES = _FROZEN_CTES + f"""
   SELECT t.year, t.quarter,
          100.0 * (CAST(t.revenue_sp AS DOUBLE) - CAST(b.revenue_sp AS DOUBLE))
                / NULLIF(CAST(b.revenue_sp AS DOUBLE), 0) AS d
-  FROM vw_revenue_sp t LEFT JOIN vw_revenue_sp b ON {_qi('b')} + 4 = {_qi('t')}),
+  FROM quarter_sales t LEFT JOIN quarter_sales b ON {_qi('b')} + 4 = {_qi('t')}),
 rv_y AS (SELECT t.year, t.quarter, 100.0 * (t.share_ge4 - b.share_ge4) AS d
-         FROM vw_reviews_sp t LEFT JOIN vw_reviews_sp b ON {_qi('b')} + 4 = {_qi('t')}),
+         FROM quarter_reviews t LEFT JOIN quarter_reviews b ON {_qi('b')} + 4 = {_qi('t')}),
 lt_y AS (SELECT t.year, t.quarter, 1.0 * (t.lead_time_p90 - b.lead_time_p90) AS d
-         FROM vw_p90_sp t LEFT JOIN vw_p90_sp b ON {_qi('b')} + 4 = {_qi('t')}),
+         FROM quarter_lead t LEFT JOIN quarter_lead b ON {_qi('b')} + 4 = {_qi('t')}),
 ot_y AS (SELECT t.year, t.quarter, 100.0 * (t.on_time_rate - b.on_time_rate) AS d
-         FROM vw_on_time_sp t LEFT JOIN vw_on_time_sp b ON {_qi('b')} + 4 = {_qi('t')}),
+         FROM quarter_sales t LEFT JOIN quarter_sales b ON {_qi('b')} + 4 = {_qi('t')}),
 tc_y AS (SELECT year, quarter, (now_share - base_share) * 100.0 AS d FROM frozen),
 all_t AS (
   SELECT 'revenue_yoy' AS kpi, year, quarter, d, 2.0 AS target, d >= 2.0 AS met FROM rev_y
