@@ -79,7 +79,11 @@ def build_dim_seller(sellers: DataFrame, existing: DataFrame | None = None,
 def build_dim_external(holiday_days: DataFrame, weather: DataFrame,
                        existing: DataFrame | None = None) -> DataFrame:
     """O-33: one row per (date, city) from holidays and weather (full join),
-    ``external_sk`` assigned in (date, city) order."""
+    ``external_sk`` assigned in (date, city) order.  Of several weather records
+    of a day the one with the highest (temp, rain) stays, unknown values last."""
+    best = F.max(F.struct("temp", "rain")).alias("_w")
+    weather = weather.groupBy("date", "city").agg(best).select("date", "city", "_w.temp", "_w.rain")
+    holiday_days = holiday_days.groupBy("date", "city").agg(F.max("is_holiday").alias("is_holiday"))
     h = holiday_days.select("date", "city", F.col("is_holiday").cast("int").alias("is_holiday"))
     w = weather.select("date", "city", F.col("temp").alias("temp"), F.col("rain").alias("rain"))
     merged = (w.join(h, ["date", "city"], "full")

@@ -183,10 +183,11 @@ def enrich_fact(fact: DataFrame, items: DataFrame, dim_seller: DataFrame,
 
     One chain of joins on the fact rows: the item lookup is the only join on
     the fact's own keys (``items`` must hold one row per key, e.g. the latest
-    versions); the dimension lookups are left to AQE (broadcast by measured
+    versions; a repeated key is an error); the dimension lookups are left to AQE (broadcast by measured
     size, shuffle otherwise)."""
     cols = fact.columns
     seller_of = items.select(*FACT_KEYS, "seller_id")
+    assert_unique(seller_of, FACT_KEYS)
     j = (fact.drop("seller_sk", "external_sk")
          .join(seller_of, FACT_KEYS, "left")
          .join(dim_seller.select("seller_id", "seller_sk"), "seller_id", "left")

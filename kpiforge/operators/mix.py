@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import period_label, share
@@ -41,14 +41,19 @@ def top_categories(cat_share: DataFrame, k: int = 10) -> DataFrame:
 
 
 def category_trend(cat_share: DataFrame, k: int = 10) -> DataFrame:
-    """Quarter label x top-k category matrix of revenue shares.
-
-    The k names are collected (k rows, a bounded result) and passed to
-    ``pivot`` so no extra job scans for the distinct categories."""
-    top = [r["category"] for r in top_categories(cat_share, k).select("category").collect()]
-    rows = (cat_share.filter(F.col("category").isin(*top))
-            .withColumn("label", period_label()))
-    return rows.groupBy("label").pivot("category", top).agg(F.first("share_cat"))
+    """Quarter label x top-k category matrix of revenue shares: for each place
+    1..k by revenue the category there and its share in the quarter (NULL if it
+    sold nothing).  The columns don't depend on the data, so nothing is
+    collected to build the plan."""
+    order = Window.orderBy(F.col("revenue").desc_nulls_last(), F.col("category").asc_nulls_last())
+    top = top_categories(cat_share, k).select("category", F.row_number().over(order).alias("_place"))
+    cells = F.struct("category", "share_cat")
+    rows = (cat_share.join(F.broadcast(top), "category")  # k rows
+            .groupBy(period_label().alias("label"))
+            .agg(*[F.max(F.when(F.col("_place") == i, cells)).alias(f"_c{i}") for i in range(1, k + 1)]))
+    names = Window.partitionBy()  # the same name on every label; one row per quarter
+    return rows.select("label", *[c for i in range(1, k + 1) for c in (
+        F.max(f"_c{i}.category").over(names).alias(f"category_{i}"), F.col(f"_c{i}.share_cat").alias(f"share_{i}"))])
 
 
 # ---------------------------------------------------------------------------

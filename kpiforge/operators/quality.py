@@ -1,6 +1,6 @@
 """Data-quality checks, quarantine and the rule-driven report.
 
-O-78 dq_duplicates, O-79 dq_null_keys, O-80 dq_ranges, O-81 split_quarantine,
+O-78 dq_duplicates, O-79 dq_null_keys, O-80 dq_ranges, O-81 split_quarantine / quarantine,
 O-82 dq_orphans, O-83 dq_reconcile, O-84 dq_city_coverage, O-85 dq_report.
 
 Each check is one aggregate pass (many ``count_if`` in one ``agg``) and
@@ -70,16 +70,18 @@ def dq_null_keys(fact: DataFrame, sk_cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # O-80 range rules
 # ---------------------------------------------------------------------------
-def dq_ranges(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def dq_ranges(df: DataFrame, rules: Mapping[str, Column],
+              among: Mapping[str, Column] | None = None) -> DataFrame:
     """One pass: for each rule (name -> violation predicate) its count;
-    returned as (check, violations, n_rows) rows."""
-    one = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(cond).alias(f"_v{i}") for i, cond in enumerate(rules.values())])
-    entries = F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"_v{i}").alias("violations"))
-                        for i, n in enumerate(rules)])
-    return one.select(F.inline(entries), "_rows").select(
-        "check", F.col("violations").cast("bigint").alias("violations"),
-        F.col("_rows").cast("bigint").alias("n_rows"))
+    returned as (check, violations, n_rows) rows.  A rule named in ``among``
+    looks only at the rows for which that condition holds."""
+    among = among or {}
+    one = df.agg(*[c for i, (name, cond) in enumerate(rules.items()) for c in (
+        F.count_if(cond & among.get(name, F.lit(True))).alias(f"_v{i}"),
+        F.count_if(among.get(name, F.lit(True))).alias(f"_n{i}"))])
+    entries = F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"_v{i}").cast("bigint").alias("violations"),
+                                 F.col(f"_n{i}").cast("bigint").alias("n_rows")) for i, n in enumerate(rules)])
+    return one.select(F.inline(entries))
 
 
 def fact_range_rules() -> dict[str, Column]:
@@ -109,17 +111,32 @@ def quarantine_reason(rules: Mapping[str, Column]) -> Column:
 
 
 def split_quarantine(df: DataFrame, rules: Mapping[str, Column]) -> Split:
-    """Tag each row with the first failing rule; good + quarantine = input.
-
-    The tagged frame is checkpointed once so both outputs and the counts come
-    from the same rows (no re-evaluation)."""
-    tagged = df.withColumn("_reason", quarantine_reason(rules)).checkpoint(eager=True)
+    """Tag each row with the first failing rule; good + quarantine = input."""
+    tagged = df.withColumn("_reason", quarantine_reason(rules))
     good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     bad = tagged.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
     counts = dq_ranges(tagged, {n: F.col("_reason") == F.lit(n) for n in rules})
     return Split(good, bad, counts)
 
 
+class QuarantineAbort(ValueError):
+    pass
+
+
+def quarantine(df: DataFrame, rules: Mapping[str, Column], sink: str,
+               threshold: float | Mapping[str, float] = 0.01) -> Split:
+    """Append the rows that break a rule to the quarantine table at ``sink``
+    (with their reason) and return the split.  Where a rule's share of all
+    rows is over its ``threshold`` nothing is written and the load aborts."""
+    split = split_quarantine(df, rules)
+    for c in split.counts.collect():  # one row per rule
+        limit = threshold if isinstance(threshold, float) else threshold.get(c["check"], 0.0)
+        if c["n_rows"] and c["violations"] / c["n_rows"] > limit:
+            raise QuarantineAbort(f"{c['check']}: {c['violations']} of {c['n_rows']} rows, limit {limit:.2%}")
+    split.quarantine.write.mode("append").parquet(sink)
+    return split
+
+
 def order_date_rules() -> dict[str, Column]:
     return {"inverted_dates": F.col("order_delivered_customer_date") < F.col("order_approved_at")}
 

@@ -9,7 +9,7 @@ from ..sources import external as E
 from ..sources import testdata
 from . import oracle as O
 from .catalog import CITY, present, register
-from .star import Star, dim_external_of, fact_external_of, holidays_of, weather_of
+from .star import Star, dim_external_of, fact_external_of, holidays_of, weather_of, weather_raw_of
 
 STATE = testdata.DEFAULT_STATE
 
@@ -36,7 +36,10 @@ w_raw AS (
          CAST(dayofyear(date) % 40 + CASE WHEN dayofyear(date) % 90 = 0 THEN 40 ELSE 0 END AS DOUBLE) AS temp_avg,
          CASE WHEN dayofyear(date) % 50 = 0 THEN -1.0 ELSE CAST(dayofyear(date) % 7 AS DOUBLE) END AS precip_mm,
          CASE WHEN month(date) = 1 THEN 'yes' ELSE 'no' END AS is_holiday
-  FROM dim_calendar),
+  FROM dim_calendar
+  UNION ALL
+  SELECT CAST(date AS VARCHAR), '{CITY.upper()}', CAST(dayofyear(date) % 40 + 5 AS DOUBLE), NULL, NULL
+  FROM dim_calendar WHERE dayofyear(date) % 30 = 0),
 weather AS (
   SELECT CAST(date AS DATE) AS date, trim(lower(city)) AS city,
          CASE WHEN temp_avg IS NOT NULL AND NOT (temp_avg BETWEEN -10 AND 55) THEN NULL
@@ -50,7 +53,9 @@ dim_external AS (
   SELECT CAST(row_number() OVER (ORDER BY date, city) AS BIGINT) AS external_sk, *
   FROM (SELECT coalesce(w.date, h.date) AS date, coalesce(w.city, h.city) AS city, w.temp, w.rain,
                h.is_holiday
-        FROM weather w FULL JOIN holidays h ON w.date = h.date AND w.city = h.city))
+        FROM (SELECT * FROM weather QUALIFY row_number() OVER (PARTITION BY date, city
+                ORDER BY temp DESC NULLS LAST, rain DESC NULLS LAST) = 1) w
+        FULL JOIN holidays h ON w.date = h.date AND w.city = h.city))
 """
 assert CITY == "nation_2"
 
@@ -80,7 +85,7 @@ WHERE (temp_avg IS NOT NULL AND NOT (temp_avg BETWEEN -10 AND 55))
 """))
 def weather_anomalies(s: Star) -> DataFrame:
     """O-04: raw weather records that break a range rule, with the reason."""
-    return E.weather_anomalies(testdata.weather_raw(s.calendar, CITY))
+    return E.weather_anomalies(weather_raw_of(s, CITY))
 
 
 @register("dim_external", O.q(_HOL_CTE + """
@@ -110,39 +115,34 @@ def fact_external(s: Star) -> DataFrame:
     return present(d, nullable_ints=["seller_sk", "external_sk"])
 
 
-def _effect_sql(period: str) -> str:
+def _effect_sql(first_day: str) -> str:
+    """``first_day``: the first day of a day's period, from x.date."""
     return f"""
-, rows AS (
-  SELECT {period} AS period, coalesce(x.rain, 0.0) > 0 AS rain_day,
-         coalesce(x.is_holiday, 0) AS is_holiday, f.order_id, f.price
-  FROM fact f
-  JOIN dim_calendar c ON c.calendar_sk = f.calendar_sk
-  JOIN dim_customer dc ON dc.customer_sk = f.customer_sk
-  JOIN dim_external x ON x.date = c.date AND x.city = dc.customer_city),
-per_order AS (SELECT period, rain_day, is_holiday, order_id, sum(price) AS rev
-              FROM rows GROUP BY ALL),
-per_period AS (SELECT period, rain_day, is_holiday, sum(rev) AS revenue, count(*) AS orders
-               FROM per_order GROUP BY ALL)
-SELECT rain_day, is_holiday, count(*) AS periods,
-       {O.r6('avg(CAST(revenue AS DOUBLE))', 'avg_revenue')},
-       {O.r6('avg(CAST(orders AS DOUBLE))', 'avg_orders')},
+, ext AS (SELECT x.*, {first_day} AS first_day, CASE WHEN rain IS NOT NULL THEN rain > 0 END AS wet,
+                 coalesce(is_holiday, 0) AS holiday FROM dim_external x),
+takings AS (
+  SELECT e.first_day, e.wet, e.holiday, sum(f.price) AS revenue, count(DISTINCT f.order_id) AS orders
+  FROM fact f JOIN dim_calendar USING (calendar_sk) JOIN dim_customer USING (customer_sk)
+  JOIN ext e ON e.date = dim_calendar.date AND e.city = customer_city GROUP BY ALL),
+periods AS (SELECT DISTINCT first_day, wet, holiday FROM ext)
+SELECT p.wet AS rain_day, p.holiday AS is_holiday, count(*) AS periods,
+       {O.r6('avg(coalesce(CAST(revenue AS DOUBLE), 0))', 'avg_revenue')},
+       {O.r6('avg(coalesce(CAST(orders AS DOUBLE), 0))', 'avg_orders')},
        {O.r6('CAST(sum(revenue) AS DOUBLE) / NULLIF(CAST(sum(orders) AS DOUBLE), 0)', 'revenue_per_order')}
-FROM per_period GROUP BY rain_day, is_holiday
+FROM periods p LEFT JOIN takings s ON s.first_day = p.first_day AND s.wet IS NOT DISTINCT FROM p.wet AND s.holiday = p.holiday
+GROUP BY ALL
 """
 
 
-@register("weather_effect", O.q(_HOL_CTE + _effect_sql("c.date")))
+@register("weather_effect", O.q(_HOL_CTE + _effect_sql("x.date")))
 def weather_effect(s: Star) -> DataFrame:
     """O-70: mean daily revenue and orders on rain vs dry days and holidays."""
-    d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE),
-                          s.calendar)
+    d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE))
     return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"])
 
 
-@register("weather_effect_week", O.q(_HOL_CTE + _effect_sql(
-    "CAST(c.year AS VARCHAR) || '-W' || lpad(CAST(c.week AS VARCHAR), 2, '0')")))
+@register("weather_effect_week", O.q(_HOL_CTE + _effect_sql("x.date - CAST(isodow(x.date) - 1 AS INTEGER)")))
 def weather_effect_week(s: Star) -> DataFrame:
     """O-70 at week grain: mean weekly revenue and orders by rain / holiday."""
-    d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE),
-                          s.calendar, grain="week")
+    d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE), grain="week")
     return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"])

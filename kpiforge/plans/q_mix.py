@@ -30,18 +30,24 @@ def top_categories(s: Star) -> DataFrame:
                    rates=["avg_share"])
 
 
-@register("category_trend", O.q(f"""
-, top AS (SELECT category FROM category_sales GROUP BY category
-          ORDER BY sum(revenue_cat) DESC, category LIMIT {TOP_K}),
-cells AS (SELECT CAST(year AS VARCHAR) || ' Q' || CAST(quarter AS VARCHAR) AS label, category,
+def _trend_sql() -> str:
+    cols = ", ".join(f"(SELECT category FROM best WHERE place = {i}) AS category_{i}, "
+                     f"max(v) FILTER (WHERE place = {i}) AS share_{i}" for i in range(1, TOP_K + 1))
+    return f"""
+, best AS (SELECT category, row_number() OVER (ORDER BY sum(revenue_cat) DESC, category) AS place
+           FROM category_sales GROUP BY category),
+cells AS (SELECT CAST(year AS VARCHAR) || ' Q' || CAST(quarter AS VARCHAR) AS label, place,
                  CAST(round(CAST(CAST(share_cat AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) AS v
-          FROM category_sales WHERE category IN (SELECT category FROM top))
-SELECT * FROM (PIVOT cells ON category USING first(v) GROUP BY label)
-""".replace("\n, top AS", ", top AS", 1)))
+          FROM category_sales JOIN best USING (category) WHERE place <= {TOP_K})
+SELECT label, {cols} FROM cells GROUP BY label
+"""
+
+
+@register("category_trend", O.q(_trend_sql()))
 def category_trend(s: Star) -> DataFrame:
     """O-64: quarter label x top-10 category matrix of revenue shares."""
     d = mix.category_trend(_cat_share(s), TOP_K)
-    return present(d, rates=[c for c in d.columns if c != "label"])
+    return present(d, rates=[c for c in d.columns if c.startswith("share_")])
 
 
 @register("freq_status", O.q("""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.fact import FACT_KEYS, delivered
+from ..session import scratch_path
 from . import oracle as O
 from .catalog import present, register
 from .star import Star, latest_items_of
@@ -53,9 +54,11 @@ SELECT order_id, 'inverted_dates' AS reason FROM orders_raw
 WHERE order_delivered_customer_date < order_approved_at
 """))
 def dq_quarantine(s: Star) -> DataFrame:
-    """O-81: staged orders delivered before approval, split to quarantine."""
-    split = Q.split_quarantine(s.orders, Q.order_date_rules())
-    return split.quarantine.select("order_id", "reason")
+    """O-81: staged orders delivered before approval, written to a quarantine
+    table and read back; the load would abort at more than half of the rows."""
+    sink = scratch_path(s.orders.sparkSession, "quarantine")
+    Q.quarantine(s.orders, Q.order_date_rules(), sink, 0.5)
+    return s.orders.sparkSession.read.parquet(sink).select("order_id", "reason")
 
 
 _ORPHANS_SQL = """
@@ -108,22 +111,46 @@ def dq_city_coverage(s: Star) -> DataFrame:
     return present(Q.dq_city_coverage(s.customers), rates=["coverage"])
 
 
+# A fact with planted faults: line 6 again without product, line 7 again with an
+# unknown customer and a negative price
+_BROKEN_CTE = """
+, broken AS (
+  SELECT order_id, order_item_id, price, freight_value, lead_time_days, calendar_sk, customer_sk, product_sk FROM fact
+  UNION ALL SELECT order_id, order_item_id, price, freight_value, lead_time_days, calendar_sk, customer_sk, NULL
+    FROM fact WHERE order_item_id = 6
+  UNION ALL SELECT order_id, order_item_id, -price, freight_value, lead_time_days, calendar_sk, -customer_sk, product_sk
+    FROM fact WHERE order_item_id = 7),
+per_item AS (SELECT order_id, order_item_id, count(*) AS n FROM broken GROUP BY ALL),
+dim_keys AS (SELECT count(*) AS n FROM dim_customer GROUP BY customer_id
+             UNION ALL SELECT count(*) FROM dim_product GROUP BY product_id
+             UNION ALL SELECT count(*) FROM dim_calendar GROUP BY date)
+"""
+
+
+def broken_fact(s: Star) -> DataFrame:
+    """The fact with planted faults."""
+    cols = ["order_id", "order_item_id", "price", "freight_value", "lead_time_days", *SK_COLS]
+    f = s.fact.select(*cols)
+    six = f.where("order_item_id = 6").withColumn("product_sk", F.lit(None).cast("bigint"))
+    seven = (f.where("order_item_id = 7").withColumn("customer_sk", -F.col("customer_sk"))
+             .withColumn("price", (-F.col("price")).cast(f.schema["price"].dataType)))
+    return f.unionByName(six).unionByName(seven)
+
+
 _RULES_VALUES = ", ".join(f"('{c}', {t}, '{a}', '{w}')" for c, t, a, w in Q.RULES)
 
 
-@register("dq_report", O.q(_RECON_CTE + f"""
+@register("dq_report", O.q(_RECON_CTE + _BROKEN_CTE.replace("\n,", ",", 1) + f"""
 , checks AS (
-  SELECT 'duplicate_fact_key' AS "check", sum(n - 1) AS violations, sum(n) AS n_rows
-    FROM (SELECT count(*) AS n FROM items_raw GROUP BY order_id, order_item_id)
-  UNION ALL SELECT 'duplicate_dim_key', sum(n - 1), sum(n)
-    FROM (SELECT count(*) AS n FROM dim_customer GROUP BY customer_id)
+  SELECT 'duplicate_fact_key' AS "check", sum(n - 1) AS violations, sum(n) AS n_rows FROM per_item
+  UNION ALL SELECT 'duplicate_dim_key', sum(n - 1), sum(n) FROM dim_keys
   UNION ALL SELECT 'null_surrogate_key',
-    count(*) FILTER (WHERE calendar_sk IS NULL OR customer_sk IS NULL OR product_sk IS NULL), count(*)
-    FROM fact
+    count(*) FILTER (WHERE calendar_sk IS NULL OR customer_sk IS NULL OR product_sk IS NULL), count(*) FROM broken
   UNION ALL SELECT 'orphan_surrogate_key',
-    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_sk = f.customer_sk)),
-    count(*) FROM fact f
-  UNION ALL {_RANGES_SQL.strip().replace('SELECT ', 'SELECT ', 1)}
+    count(*) FILTER (WHERE calendar_sk NOT IN (SELECT calendar_sk FROM dim_calendar))
+    + count(*) FILTER (WHERE customer_sk NOT IN (SELECT customer_sk FROM dim_customer))
+    + count(*) FILTER (WHERE product_sk NOT IN (SELECT product_sk FROM dim_product)), count(*) FROM broken
+  UNION ALL {_RANGES_SQL.strip().replace("FROM fact", "FROM broken")}
   UNION ALL SELECT 'inverted_dates',
     count(*) FILTER (WHERE order_delivered_customer_date < order_approved_at), count(*) FROM orders_raw
   UNION ALL SELECT 'null_estimated_date',
@@ -131,7 +158,7 @@ _RULES_VALUES = ", ".join(f"('{c}', {t}, '{a}', '{w}')" for c, t, a, w in Q.RULE
     WHERE order_status = 'delivered'
   UNION ALL SELECT 'city_not_normalized',
     count(*) FILTER (WHERE NOT (customer_city = trim(lower(customer_city)))), count(*) FROM customers_raw
-  UNION ALL SELECT 'row_count_gap', abs(e - l), e FROM exp, ld),
+  UNION ALL SELECT 'row_count_gap', abs(e - (SELECT count(*) FROM broken)), e FROM exp),
 rules AS (SELECT * FROM (VALUES {_RULES_VALUES}) r("check", threshold, action_over, action_within))
 SELECT c."check", CAST(c.violations AS BIGINT) AS violations, CAST(c.n_rows AS BIGINT) AS n_rows,
        {O.r6('coalesce(CAST(c.violations AS DOUBLE) / NULLIF(CAST(c.n_rows AS DOUBLE), 0), 0.0)', 'share')},
@@ -142,22 +169,29 @@ SELECT c."check", CAST(c.violations AS BIGINT) AS violations, CAST(c.n_rows AS B
 FROM checks c LEFT JOIN rules r USING ("check")
 """))
 def dq_report(s: Star) -> DataFrame:
-    """O-85: every check with its share, threshold and ABORT/QUARANTINE/WARN action."""
-    spark = s.fact.sparkSession
-    f = s.fact
+    """O-85 + O-78: every check, with its share, threshold and
+    ABORT/QUARANTINE/WARN action, on a fact with planted faults: fact and
+    dimension duplicates, NULL and orphan keys of all three dimensions, ranges,
+    dates, city texts and the row count."""
+    f = broken_fact(s)
+    dims = {"calendar_sk": s.calendar, "customer_sk": s.customer, "product_sk": s.product}
     null_sk = F.col("calendar_sk").isNull() | F.col("customer_sk").isNull() | F.col("product_sk").isNull()
-    orphan = f.join(s.customer.select("customer_sk"), "customer_sk", "left_anti")
+    # one pass over the fact for the row-wise rules, one aggregate by key, one anti join per dimension
+    facts = Q.dq_ranges(f, {"null_surrogate_key": null_sk, **Q.fact_range_rules()}).checkpoint(eager=True)
+    rows = facts.where(F.col("check") == "null_surrogate_key").select(
+        F.lit("orphan_surrogate_key").alias("check"), F.lit(0).cast("bigint").alias("violations"), "n_rows")
+    orphans = (Q.dq_orphans(f, dims).select(F.lit("orphan_surrogate_key").alias("check"), "violations",
+                                            F.lit(0).cast("bigint").alias("n_rows"))
+               .unionByName(rows).groupBy("check").agg(F.sum("violations").alias("violations"), F.sum("n_rows").alias("n_rows")))
+    dim_keys = [Q.dq_duplicate_check(d, [k], "duplicate_dim_key") for d, k in (
+        (s.customer, "customer_id"), (s.product, "product_id"), (s.calendar, "date"))]
+    dim_dups = (dim_keys[0].unionByName(dim_keys[1]).unionByName(dim_keys[2]).groupBy("check")
+                .agg(F.sum("violations").alias("violations"), F.sum("n_rows").alias("n_rows")))
+    done = F.col("order_status") == "delivered"
     checks = [
-        Q.dq_duplicate_check(s.items, FACT_KEYS, "duplicate_fact_key"),
-        Q.dq_duplicate_check(s.customer, ["customer_id"], "duplicate_dim_key"),
-        # null keys and the three range rules: one aggregate over the fact
-        Q.dq_ranges(f, {"null_surrogate_key": null_sk, **Q.fact_range_rules()}),
-        Q.dq_reconcile(orphan, f).select(F.lit("orphan_surrogate_key").alias("check"),
-                                         F.col("expected_rows").alias("violations"),
-                                         F.col("loaded_rows").alias("n_rows")),
-        Q.dq_ranges(s.orders, Q.order_date_rules()),
-        Q.dq_ranges(delivered(s.orders),
-                    {"null_estimated_date": F.col("order_estimated_delivery_date").isNull()}),
+        Q.dq_duplicate_check(f, FACT_KEYS, "duplicate_fact_key"), dim_dups, facts, orphans,
+        Q.dq_ranges(s.orders, {**Q.order_date_rules(), "null_estimated_date": F.col("order_estimated_delivery_date").isNull()},
+                    among={"null_estimated_date": F.coalesce(done, F.lit(False))}),
         Q.dq_ranges(s.customers, {"city_not_normalized":
                                   ~(F.col("customer_city") == F.trim(F.lower("customer_city")))}),
         Q.dq_reconcile(_expected(s), f).select(
@@ -165,4 +199,4 @@ def dq_report(s: Star) -> DataFrame:
             F.abs(F.col("expected_rows") - F.col("loaded_rows")).alias("violations"),
             F.col("expected_rows").alias("n_rows")),
     ]
-    return present(Q.dq_report(checks, Q.rules_frame(spark)), rates=["share"])
+    return present(Q.dq_report(checks, Q.rules_frame(s.fact.sparkSession)), rates=["share"])

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dims
+from ..operators import dims, kpis
 from ..operators.fact import fact_rows, latest_items, upsert, upsert_counts
 from ..session import scratch_path
 from ..sources import staging as S
@@ -107,31 +107,47 @@ def row_counts(s: Star) -> DataFrame:
 _TS_COLS = ["order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"]
 
 
-@register("coerce_dates", O.q("""
-SELECT order_id, order_approved_at, order_delivered_customer_date, order_estimated_delivery_date
-FROM orders_raw
-"""))
+# every seventh customer's orders hold a text that is no date
+_BAD = "CAST(customer_id AS BIGINT) % 7 = 0"
+
+
+def _with_bad_dates(orders: DataFrame) -> DataFrame:
+    bad = F.expr(_BAD)
+    return orders.withColumns({
+        "order_approved_at": F.when(bad, F.lit("soon")).otherwise(F.col("order_approved_at").cast("string")),
+        "order_delivered_customer_date": F.when(bad, F.lit("2018-02-30 10:00:00")).otherwise(
+            F.concat(F.lit(" "), F.col("order_delivered_customer_date").cast("string"), F.lit(" "))),
+        "order_estimated_delivery_date": F.when(bad, F.lit("NaN")).otherwise(
+            F.col("order_estimated_delivery_date").cast("string"))})
+
+
+_GOOD_DATES = ", ".join(f"CASE WHEN {_BAD} THEN NULL ELSE {c} END AS {c}" for c in _TS_COLS)
+
+
+@register("coerce_dates", O.q(f"SELECT order_id, {_GOOD_DATES} FROM orders_raw"))
 def coerce_dates(s: Star) -> DataFrame:
-    """O-16: timestamps held as text parsed back in one projection (bad text -> NULL)."""
-    as_text = s.orders.select("order_id", *[F.col(c).cast("string").alias(c) for c in _TS_COLS])
+    """O-16: timestamps held as text, some of them bad or padded, parsed in one
+    projection (bad text -> NULL)."""
+    as_text = _with_bad_dates(s.orders.select("order_id", "customer_id", *_TS_COLS)).drop("customer_id")
     return S.coerce_dates(as_text, _TS_COLS)
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
     (df.write.mode("errorifexists").option("header", "true")
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("escape", '"').csv(path))
 
 
-@register_raw("scan_contract", O.q("""
-SELECT order_id, customer_id, order_status, order_approved_at, order_delivered_customer_date,
-       order_estimated_delivery_date FROM orders_raw
+@register_raw("scan_contract", O.q(f"""
+SELECT order_id, customer_id, CASE WHEN {_BAD} THEN NULL ELSE order_status END AS order_status, {_GOOD_DATES} FROM orders_raw
 """))
 def scan_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-01: staged orders written as CSV (extra columns included) and read back
-    through the orders contract: whitelist, NA tokens, typed columns."""
+    """O-01: staged orders written as CSV, with an extra column of quoted text,
+    NA tokens and bad dates, and read back through the orders contract."""
     s = star_for(spark, sf_dir)
     path = scratch_path(spark, "orders-csv")
-    _write_csv(s.orders.withColumn("order_purchase_timestamp", F.lit("")), path)
+    rows = _with_bad_dates(s.orders).withColumn(
+        "order_status", F.when(F.expr(_BAD), F.lit("N/A")).otherwise(F.col("order_status")))
+    _write_csv(rows.withColumn("note", F.lit('said "now", twice')), path)
     return S.read_source(spark, path, ORDERS)
 
 
@@ -141,7 +157,8 @@ UNION ALL SELECT 'orders_b.csv', count(*) FROM orders_raw
 """))
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-06: load file A, load file A again (replaces, no duplicates), load
-    file B (added); rows per source file afterwards."""
+    files B and C (added), load C again without rows (its rows go); rows per
+    source file afterwards."""
     s = star_for(spark, sf_dir)
     table = scratch_path(spark, "orders-staging")
     base = s.orders.drop("_source_file")
@@ -149,7 +166,9 @@ def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = base.withColumn("_source_file", F.lit("orders_b.csv"))
     S.replace_by_source(a, table, ["orders_a.csv"])
     S.replace_by_source(a, table, ["orders_a.csv"])
-    S.replace_by_source(b, table, ["orders_b.csv"])
+    c = base.withColumn("_source_file", F.lit("orders_c.csv"))
+    S.replace_by_source(b.unionByName(c), table, ["orders_b.csv", "orders_c.csv"])
+    S.replace_by_source(c.limit(0), table, ["orders_c.csv"])
     staged = spark.read.parquet(table)
     return (staged.groupBy(F.col("_source_file").alias("source_file"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
@@ -244,16 +263,71 @@ acts AS (
 SELECT action, count(*) AS n_rows FROM acts GROUP BY action
 """.replace("\n, cut AS", ", cut AS", 1))
 
+_UPSERT_TABLE_SQL = _UPSERT_SQL[:_UPSERT_SQL.index("acts AS (")] + """
+first_load AS (
+  SELECT row_number() OVER (ORDER BY order_id, order_item_id) AS event_id, o.* REPLACE (
+           CASE WHEN order_item_id = 7 THEN NULL ELSE customer_sk END AS customer_sk),
+         CAST(product_sk AS DOUBLE) AS seller_sk FROM f_old o),
+merged AS (
+  SELECT o.event_id, order_id, order_item_id, n.price, n.lead_time_days, n.calendar_sk, n.customer_sk, n.product_sk,
+         o.seller_sk, n._row_md5
+  FROM sold n LEFT JOIN first_load o USING (order_id, order_item_id)
+  UNION ALL SELECT event_id, order_id, order_item_id, price, lead_time_days, calendar_sk, customer_sk, product_sk, seller_sk, _row_md5
+  FROM first_load ANTI JOIN sold USING (order_id, order_item_id))
+SELECT coalesce(event_id, (SELECT max(event_id) FROM first_load)
+                + row_number() OVER (PARTITION BY event_id IS NULL ORDER BY order_id, order_item_id)) AS event_id,
+       order_id, order_item_id, CAST(price AS DOUBLE) AS price,
+       CAST(round(CAST(lead_time_days AS DECIMAL(38,10)), 6) AS DOUBLE) AS lead_time_days,
+       CAST(calendar_sk AS DOUBLE) AS calendar_sk, CAST(customer_sk AS DOUBLE) AS customer_sk,
+       CAST(product_sk AS DOUBLE) AS product_sk, seller_sk, _row_md5
+FROM merged
+"""
+
 
 @register("fact_upsert", _UPSERT_SQL)
 def fact_upsert(s: Star) -> DataFrame:
     """O-35: the fact as of a cutoff (items staged up to a year before the
     last one), then the full staging merged into it: insert / update /
     unchanged counts."""
+    old, new_rows = _two_loads(s)
+    return upsert_counts(upsert(old, new_rows).actions)
+
+
+def _two_loads(s: Star) -> tuple[DataFrame, DataFrame]:
+    """The fact as of the cutoff, written once, and the rows of the full load."""
     last = s.items.agg(F.max("_ingested_at").cast("string")).first()[0]
     cutoff = F.lit(last).cast("timestamp_ntz") - F.expr(f"INTERVAL {CUTOFF_DAYS} DAYS")
     early = s.items.filter(F.col("_ingested_at") <= cutoff)
     old = upsert(None, fact_rows(s.orders, latest_items(early), s.customer, s.product, s.cal)).table
     # the full load's latest item versions are the star's latest-items table
-    new_rows = fact_rows(s.orders, latest_items_of(s), s.customer, s.product, s.cal)
-    return upsert_counts(upsert(old, new_rows).actions)
+    return old.checkpoint(eager=True), fact_rows(s.orders, latest_items_of(s), s.customer, s.product, s.cal)
+
+
+@register("fact_upsert_table", _UPSERT_TABLE_SQL)
+def fact_upsert_table(s: Star) -> DataFrame:
+    """O-35: every row of the merged fact.  In the first load the customer key of
+    every seventh line is NULL (the merge fills it in) and the seller key is
+    filled (the merge keeps it); inserts get the next event ids."""
+    old, new_rows = _two_loads(s)
+    old = old.withColumn("customer_sk", F.when(F.col("order_item_id") != 7, F.col("customer_sk"))).withColumn(
+        "seller_sk", F.col("product_sk"))
+    d = upsert(old, new_rows).table.select("event_id", "order_id", "order_item_id", "price", "lead_time_days", "calendar_sk",
+                                           "customer_sk", "product_sk", "seller_sk", "_row_md5")
+    return present(d, money=["price"], rates=["lead_time_days"],
+                   nullable_ints=["calendar_sk", "customer_sk", "product_sk", "seller_sk"])
+
+
+@register("saved_versions", O.q("""
+SELECT v AS version, year, quarter, CAST(sum(price * v) AS DOUBLE) AS revenue
+FROM fact JOIN dim_calendar USING (calendar_sk), (VALUES (1), (2)) t(v) GROUP BY v, year, quarter
+"""))
+def saved_versions(s: Star) -> DataFrame:
+    """O-11: the quarterly revenue saved as version 1, a second version with
+    doubled values saved next to it, and both read back."""
+    base = scratch_path(s.fact.sparkSession, "saved")
+    rev = kpis.revenue_by_quarter(s.fact, s.cal)
+    paths = [S.save(rev.withColumn("revenue", (F.col("revenue") * v).cast("decimal(30,2)")), base, "analytics", "revenue", v)
+             for v in (1, 2)]
+    read = [s.fact.sparkSession.read.parquet(p).select(F.lit(v).alias("version"), "year", "quarter", "revenue")
+            for v, p in enumerate(paths, 1)]
+    return present(read[0].unionByName(read[1]), money=["revenue"])

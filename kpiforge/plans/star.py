@@ -103,7 +103,7 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
                 customers=staging["customers_raw"], products=staging["products_raw"],
                 reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
                 calendar=calendar, customer=customer, product=product, fact=fact,
-                n_days=n_days, extra={"timings": timings, "latest_items": latest})
+                n_days=n_days, extra={"timings": timings, "latest_items": latest, "deaccent": deaccent})
 
 
 _CACHE: dict[tuple[str, str], Star] = {}
@@ -134,15 +134,37 @@ def dim_seller_of(star: Star) -> DataFrame:
 
 
 def holidays_of(star: Star, city: str, state: str) -> DataFrame:
-    from ..sources.external import load_holidays
-    return _extra(star, f"holidays:{city}:{state}", lambda: load_holidays(
-        testdata.holidays_raw(star.orders, city, state), star.calendar, city, state))
+    """The holiday file (stand-in rows, written as CSV) read and applied to the calendar."""
+    from ..sources.external import load_holidays, read_holidays
+
+    def build():
+        spark = star.orders.sparkSession
+        path = scratch_path(spark, "files/holidays")
+        (testdata.holidays_raw(star.orders, city, state).write.option("header", "true")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+        return load_holidays(read_holidays(spark, path), star.calendar, city, state,
+                             star.extra.get("deaccent", False))
+
+    return _extra(star, f"holidays:{city}:{state}", build)
+
+
+def weather_raw_of(star: Star, city: str) -> DataFrame:
+    """The daily weather files (stand-in rows, written as JSON), read with their schema."""
+    from ..sources.external import read_weather
+
+    def build():
+        spark = star.orders.sparkSession
+        path = scratch_path(spark, "files/weather")
+        testdata.weather_raw(star.calendar, city).write.json(path)
+        return read_weather(spark, path)
+
+    return _extra(star, f"weather_raw:{city}", build)
 
 
 def weather_of(star: Star, city: str) -> DataFrame:
     from ..sources.external import clean_weather
     return _extra(star, f"weather:{city}", lambda: clean_weather(
-        testdata.weather_raw(star.calendar, city)))
+        weather_raw_of(star, city), star.extra.get("deaccent", False)))
 
 
 def dim_external_of(star: Star, city: str, state: str) -> DataFrame:
@@ -189,5 +211,5 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
                customers=staging["customers_raw"], products=staging["products_raw"],
                reviews=staging["reviews_raw"], sellers=staging["sellers_raw"],
                calendar=calendar, customer=customer, product=product, fact=fact,
-               n_days=n_days, extra={"latest_items": latest})
+               n_days=n_days, extra={"latest_items": latest, "deaccent": deaccent})
     return new, counts

@@ -20,18 +20,15 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
              "n/a", "nan", "null")
 
-# Lineage columns present on every staging table.
-LINEAGE_COLUMNS = ("_ingested_at", "_source_file", "_row_md5")
-
 
 @dataclass(frozen=True)
 class Contract:
     table: str
-    file: str
     columns: tuple[tuple[str, str], ...]
     # (column, kind) with kind "ts" for timestamps, "text" otherwise
     hash_fields: tuple[tuple[str, str], ...] = field(default_factory=tuple)
     keys: tuple[str, ...] = field(default_factory=tuple)
+    multiline: bool = False  # quoted texts may hold line breaks
 
     @property
     def names(self) -> list[str]:
@@ -43,7 +40,7 @@ class Contract:
 
 
 ORDERS = Contract(
-    table="orders_raw", file="olist_orders_dataset.csv",
+    table="orders_raw",
     columns=(("order_id", "string"), ("customer_id", "string"), ("order_status", "string"),
              ("order_approved_at", "timestamp_ntz"),
              ("order_delivered_customer_date", "timestamp_ntz"),
@@ -55,7 +52,7 @@ ORDERS = Contract(
 )
 
 ORDER_ITEMS = Contract(
-    table="order_items_raw", file="olist_order_items_dataset.csv",
+    table="order_items_raw",
     columns=(("order_id", "string"), ("order_item_id", "int"), ("product_id", "string"),
              ("seller_id", "string"), ("price", "decimal(12,2)"),
              ("freight_value", "decimal(12,2)")),
@@ -65,7 +62,7 @@ ORDER_ITEMS = Contract(
 )
 
 CUSTOMERS = Contract(
-    table="customers_raw", file="olist_customers_dataset.csv",
+    table="customers_raw",
     columns=(("customer_id", "string"), ("customer_city", "string"),
              ("customer_state", "string")),
     hash_fields=(("customer_id", "text"), ("customer_city", "text"),
@@ -74,37 +71,37 @@ CUSTOMERS = Contract(
 )
 
 PRODUCTS = Contract(
-    table="products_raw", file="olist_products_dataset.csv",
+    table="products_raw",
     columns=(("product_id", "string"), ("product_category_name", "string")),
     hash_fields=(("product_id", "text"), ("product_category_name_english", "text")),
     keys=("product_id",),
 )
 
 CATEGORY_TRANSLATION = Contract(
-    table="category_translation", file="product_category_name_translation.csv",
+    table="category_translation",
     columns=(("product_category_name", "string"),
              ("product_category_name_english", "string")),
     keys=("product_category_name",),
 )
 
 REVIEWS = Contract(
-    table="reviews_raw", file="olist_order_reviews_dataset.csv",
+    table="reviews_raw",
     columns=(("review_id", "string"), ("order_id", "string"), ("review_score", "int"),
              ("review_creation_date", "timestamp_ntz")),
     hash_fields=(("review_id", "text"), ("order_id", "text"),
                  ("review_creation_date", "ts")),
-    keys=("review_id",),
+    keys=("review_id",), multiline=True,
 )
 
 SELLERS = Contract(
-    table="sellers_raw", file="olist_sellers_dataset.csv",
+    table="sellers_raw",
     columns=(("seller_id", "string"), ("seller_city", "string"), ("seller_state", "string")),
     hash_fields=(("seller_id", "text"), ("seller_city", "text"), ("seller_state", "text")),
     keys=("seller_id",),
 )
 
 HOLIDAYS = Contract(
-    table="holidays_raw", file="holidays.csv",
+    table="holidays_raw",
     columns=(("date", "date"), ("holiday_name", "string"), ("city", "string"),
              ("state", "string"), ("scope", "string")),
 )

@@ -6,6 +6,9 @@ rules, O-70 external_effect.
 
 from __future__ import annotations
 
+import warnings
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from ..functions.columns import norm_lower, norm_upper, share
 TEMP_MIN, TEMP_MAX = -10.0, 55.0          # valid daily mean temperature, deg C
 HOLIDAY_SCOPES = ("national", "state", "municipal")
 TRUE_TOKENS = ("1", "true", "t", "yes", "y", "si", "sí")
+HOLIDAY_SCHEMA = "date string, holiday_name string, city string, state string, scope string"
 WEATHER_SCHEMA = "date string, city string, temp_avg double, precip_mm double, is_holiday string"
 
 
@@ -24,20 +28,29 @@ WEATHER_SCHEMA = "date string, city string, temp_avg double, precip_mm double, i
 # O-03 holidays
 # ---------------------------------------------------------------------------
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
-    """Holiday CSV (date YYYY-MM-DD, holiday_name, city?, state, scope)."""
-    raw = spark.read.option("header", "true").csv(path)
+    """Holiday CSV (date YYYY-MM-DD, holiday_name, city?, state, scope).  A
+    missing file gives no holidays and a warning."""
+    try:
+        raw = spark.read.option("header", "true").schema(HOLIDAY_SCHEMA).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"no holiday file at {path}: no day is a holiday", stacklevel=2)
+        raw = spark.createDataFrame([], HOLIDAY_SCHEMA)
     return raw.select(F.col("date").try_cast("date").alias("date"), "holiday_name", "city",
                       "state", F.lower(F.trim("scope")).alias("scope"))
 
 
-def load_holidays(holidays: DataFrame, calendar: DataFrame, city: str, state: str) -> DataFrame:
+def load_holidays(holidays: DataFrame, calendar: DataFrame, city: str, state: str,
+                  deaccent: bool = False) -> DataFrame:
     """``is_holiday`` 0/1 for every calendar day in (city, state): a national
-    holiday, one of the state, or one of the (normalized) city counts.  The
-    holiday list is tiny next to the calendar and is aggregated per day first."""
+    holiday, one of the state, or one of the city counts; a municipal holiday
+    without a city is the given city's.  Cities are normalized as in the
+    customer dimension (``deaccent`` is its setting)."""
     h = holidays.filter(F.col("scope").isin(*HOLIDAY_SCOPES))
     applies = ((F.col("scope") == "national")
                | ((F.col("scope") == "state") & (norm_upper("state") == F.lit(state.upper())))
-               | ((F.col("scope") == "municipal") & (norm_lower("city") == F.lit(city))))
+               | ((F.col("scope") == "municipal") & (F.coalesce(norm_lower("city", deaccent), F.lit(city)) == F.lit(city))))
     per_day = (h.filter(applies).groupBy("date")
                .agg(F.min("holiday_name").alias("holiday_name")))
     return (calendar.select("date").join(per_day, "date", "left")
@@ -63,15 +76,16 @@ def weather_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def clean_weather(df: DataFrame) -> DataFrame:
-    """(date, city, temp, rain, is_holiday): city normalized, temperature
+def clean_weather(df: DataFrame, deaccent: bool = False) -> DataFrame:
+    """(date, city, temp, rain, is_holiday): city normalized as in the customer
+    dimension (``deaccent`` is its setting), temperature
     outside [-10, 55] -> NULL else rounded to 1 decimal, negative rain -> NULL,
     holiday flag text -> 0/1."""
     f = weather_flags(df)
     flag = F.lower(F.trim(F.col("is_holiday")))
     return f.select(
         F.col("date").try_cast("date").alias("date"),
-        norm_lower("city", deaccent=True).alias("city"),
+        norm_lower("city", deaccent).alias("city"),
         F.when(F.col("_bad_temp"), F.lit(None).cast("double"))
         .otherwise(F.round("temp_avg", 1)).alias("temp"),
         F.when(F.col("_bad_rain"), F.lit(None).cast("double")).otherwise(F.col("precip_mm"))
@@ -92,23 +106,23 @@ def weather_anomalies(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # O-70 weather / holiday effect
 # ---------------------------------------------------------------------------
-def external_effect(fact_ext: DataFrame, dim_external: DataFrame, dim_calendar: DataFrame,
-                    grain: str = "day") -> DataFrame:
-    """Mean revenue and orders per day (or ISO week) in rain vs dry and
-    holiday vs normal periods.  Revenue and orders are first summed per
-    period (partial aggregates), then averaged per segment."""
-    ext = dim_external.select("external_sk", "rain", "is_holiday")
-    rows = (fact_ext.filter(F.col("external_sk").isNotNull())
-            .join(ext, "external_sk", "inner")
-            .join(dim_calendar.select("calendar_sk", "date", "week", "year"), "calendar_sk", "inner"))
-    period = ([F.col("date").alias("period")] if grain == "day"
-              else [F.concat_ws("-W", F.col("year").cast("string"),
-                                F.lpad(F.col("week").cast("string"), 2, "0")).alias("period")])
-    seg = [(F.coalesce(F.col("rain"), F.lit(0.0)) > 0).alias("rain_day"),
-           F.coalesce(F.col("is_holiday"), F.lit(0)).alias("is_holiday")]
-    per_order = rows.groupBy(*period, *seg, "order_id").agg(F.sum("price").alias("_rev"))
-    per_period = per_order.groupBy("period", "rain_day", "is_holiday").agg(
-        F.sum("_rev").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+def external_effect(fact_ext: DataFrame, dim_external: DataFrame, grain: str = "day") -> DataFrame:
+    """Mean revenue and orders per day (or week, from its Monday) in rain vs
+    dry and holiday vs normal periods.  ``rain_day`` is NULL where the rain is
+    unknown.  The averages run over all days of the external dimension: a day
+    without sales counts with zero."""
+    period = F.col("date") if grain == "day" else F.date_trunc("week", "date").cast("date")
+    days = dim_external.select("external_sk", period.alias("period"), (F.col("rain") > 0).alias("rain_day"),
+                               F.coalesce(F.col("is_holiday"), F.lit(0)).alias("is_holiday"))
+    seg = ["period", "rain_day", "is_holiday"]
+    per_order = (fact_ext.join(days, "external_sk", "inner").groupBy(*seg, "order_id")
+                 .agg(F.sum("price").alias("_rev")))
+    sales = per_order.groupBy(*seg).agg(F.sum("_rev").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+    # the spine and the sales meet in one aggregate: no join on NULL segments
+    spine = days.select(*seg).distinct().select(*seg, F.lit(0).cast("decimal(12,2)").alias("revenue"),
+                                                F.lit(0).cast("bigint").alias("orders"))
+    per_period = spine.unionByName(sales).groupBy(*seg).agg(
+        F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
     return per_period.groupBy("rain_day", "is_holiday").agg(
         F.count(F.lit(1)).alias("periods"),
         F.avg(F.col("revenue").cast("double")).alias("avg_revenue"),

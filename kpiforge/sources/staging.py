@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..functions.columns import coerce_ts, row_md5
 from .contracts import CATEGORY_TRANSLATION, NA_TOKENS, PRODUCTS, Contract
 
@@ -30,20 +31,21 @@ def _typed(c: str, spark_type: str) -> Column:
     if spark_type == "timestamp_ntz":
         return coerce_ts(raw).alias(c)
     if spark_type.startswith("int") or spark_type == "bigint":
-        # "3.0" style integers from a float column still parse
-        return raw.try_cast("double").try_cast(spark_type).alias(c)
+        # whole numbers only; "3.0", as float columns write it, is one, "3.7" is bad text
+        number = raw.try_cast("decimal(38,6)")
+        whole = F.when(number == F.floor(number), F.floor(number).try_cast(spark_type))
+        return F.coalesce(raw.try_cast(spark_type), whole).alias(c)
     return raw.try_cast(spark_type).alias(c)
 
 
-def read_source(spark: SparkSession, path: str, contract: Contract,
-                multiline: bool = False) -> DataFrame:
+def read_source(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """Read a CSV with header as text, keep the contract's column whitelist,
-    turn NA tokens into NULL and type every column (bad values -> NULL).
+    turn NA tokens into NULL and type every column (bad values -> NULL).  Quotes
+    in quoted texts are doubled; the contract says whether texts hold line breaks.
     Raises ``ContractError`` when a contracted column is missing."""
     reader = (spark.read.option("header", "true").option("inferSchema", "false")
-              .option("mode", "PERMISSIVE"))
-    if multiline:
-        reader = reader.option("multiLine", "true").option("escape", '"')
+              .option("mode", "PERMISSIVE").option("escape", '"')
+              .option("multiLine", str(contract.multiline).lower()))
     raw = reader.csv(path)
     missing = [c for c in contract.names if c not in raw.columns]
     if missing:
@@ -54,13 +56,12 @@ def read_source(spark: SparkSession, path: str, contract: Contract,
 def read_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """O-02: products inner-joined to the category translation.
 
-    The translation table has one row per category (a few dozen rows), so it
-    is broadcast; blank keys are rejected so NULL never matches NULL.
+    Blank keys are rejected so NULL never matches NULL.
     """
     tr = (translation.select(*CATEGORY_TRANSLATION.names)
           .filter(F.col("product_category_name").isNotNull()))
     return (products.select(*PRODUCTS.names)
-            .join(F.broadcast(tr), "product_category_name", "inner")
+            .join(tr, "product_category_name", "inner")
             .select("product_id", "product_category_name", "product_category_name_english"))
 
 
@@ -103,22 +104,27 @@ def replace_by_source(df: DataFrame, table_path: str, source_files: Iterable[str
                       partition_col: str = "_source_file") -> None:
     """Replace exactly the rows of the given source file(s) in a staging table.
 
-    Written as parquet partitioned by ``_source_file`` under dynamic partition
-    overwrite, so only the partitions present in ``df`` are swapped; a source
-    named in ``source_files`` but absent from ``df`` (empty file) has its
-    partition dropped, like the reference's DELETE before an empty append.
-    """
+    ``df`` is evaluated once, into a scratch table.  Rows of a file that isn't
+    listed in ``source_files`` are an error, before anything changes.  The
+    listed files' partitions are then swapped by a dynamic partition overwrite,
+    and last the partitions of listed files without rows are dropped."""
     spark = df.sparkSession
-    present = None
+    scratch = scratch_path(spark, "replace")
+    df.write.parquet(scratch)
+    rows = spark.read.schema(df.schema).parquet(scratch)
+    empty = []
     if source_files is not None:
         wanted = list(source_files)
-        present = {r[0] for r in df.select(partition_col).distinct()
-                   .filter(F.col(partition_col).isin(*wanted)).collect()}
-        for f in wanted:
-            if f not in present:
-                _drop_partition(spark, table_path, partition_col, f)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(table_path))
+        # one row per listed file, and the first other one if there is any
+        found = [r[0] for r in rows.select(partition_col).distinct()
+                 .orderBy(F.col(partition_col).isin(*wanted)).limit(len(wanted) + 1).collect()]
+        if other := [f for f in found if f not in wanted]:
+            raise ValueError(f"rows of files that are not replaced: {other}")
+        empty = [f for f in wanted if f not in found]
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(table_path))
+    for f in empty:
+        _drop_partition(spark, table_path, partition_col, f)
 
 
 # ---------------------------------------------------------------------------
@@ -165,14 +171,6 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-# ---------------------------------------------------------------------------
-# O-10 bound parameters
-# ---------------------------------------------------------------------------
-def for_quarter(df: DataFrame, year: int, quarter: int) -> DataFrame:
-    """Bind (year, quarter) as literals; Catalyst folds and pushes them."""
-    return df.filter((F.col("year") == F.lit(int(year))) & (F.col("quarter") == F.lit(int(quarter))))
-
-
 # ---------------------------------------------------------------------------
 # O-11 persist
 # ---------------------------------------------------------------------------

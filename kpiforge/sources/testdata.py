@@ -153,14 +153,19 @@ def holidays_raw(orders: DataFrame, city: str = DEFAULT_CITY, state: str = DEFAU
 def weather_raw(calendar: DataFrame, city: str = DEFAULT_CITY) -> DataFrame:
     """One weather record per calendar day for ``city``: temp = day of year
     mod 40, plus 40 on every 90th day (so some readings exceed the valid 55),
-    rain = day of year mod 7 mm, with a negative reading every 50th day."""
+    rain = day of year mod 7 mm, with a negative reading every 50th day.  Every
+    30th day has a second record with a higher temperature and unknown rain."""
     doy = F.dayofyear("date")
-    return calendar.select(
+    again = calendar.where(doy % 30 == 0).select(
+        F.col("date").cast("string").alias("date"), F.lit(city.upper()).alias("city"),
+        (doy % 40 + 5).cast("double").alias("temp_avg"), F.lit(None).cast("double").alias("precip_mm"),
+        F.lit(None).cast("string").alias("is_holiday"))
+    return again.unionByName(calendar.select(
         F.col("date").cast("string").alias("date"),
         F.lit(f" {city.title()} ").alias("city"),
         (doy % 40 + F.when(doy % 90 == 0, F.lit(40)).otherwise(F.lit(0))).cast("double").alias("temp_avg"),
         F.when(doy % 50 == 0, F.lit(-1.0)).otherwise((doy % 7).cast("double")).alias("precip_mm"),
-        F.when(F.month("date") == 1, F.lit("yes")).otherwise(F.lit("no")).alias("is_holiday"))
+        F.when(F.month("date") == 1, F.lit("yes")).otherwise(F.lit("no")).alias("is_holiday")))
 
 
 def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -38,7 +38,8 @@ def read_landing(spark: SparkSession, landing_dir: str, contract: Contract,
         raise ValueError(f"file columns lack contracted columns {missing}")
     schema = ", ".join(f"`{c}` string" for c in file_columns)
     reader = (spark.readStream.schema(schema).option("header", "true")
-              .option("enforceSchema", "false"))
+              .option("enforceSchema", "false").option("escape", '"')
+              .option("multiLine", str(contract.multiline).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     raw = reader.csv(landing_dir)

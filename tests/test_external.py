@@ -28,7 +28,7 @@ def test_weather_json_clean_and_anomalies(spark):
     with open(os.path.join(d, "w.json"), "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
     raw = E.read_weather(spark, d)
-    clean = {r["date"].day: r for r in E.clean_weather(raw).collect()}
+    clean = {r["date"].day: r for r in E.clean_weather(raw, deaccent=True).collect()}
     assert clean[1]["city"] == "sao paulo" and clean[1]["temp"] == 25.0 and clean[1]["is_holiday"] == 1
     assert clean[2]["temp"] is None and clean[2]["rain"] is None
     assert clean[3]["is_holiday"] is None

@@ -11,7 +11,8 @@ def test_top_categories_and_trend(spark):
     top = [(r["category"], r["revenue"]) for r in mix.top_categories(cs, 1).collect()]
     assert top == [("a", 13.0)]
     trend = {r["label"]: r.asDict() for r in mix.category_trend(cs, 2).collect()}
-    assert trend["2018 Q2"] == {"label": "2018 Q2", "a": 1.0, "b": None}
+    assert trend["2018 Q2"] == {"label": "2018 Q2", "category_1": "a", "share_1": 1.0,
+                                 "category_2": "b", "share_2": None}
 
 
 def test_value_counts_profile_count_where(spark):

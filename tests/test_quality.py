@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from kpiforge.operators import quality as Q
@@ -22,6 +23,17 @@ def test_quarantine_split_is_complete(spark):
     assert (c["check"], c["violations"], c["n_rows"]) == ("inverted_dates", 1, 3)
 
 
+def test_quarantine_sink_and_abort(spark, tmp_path):
+    df = spark.range(100).select("id", F.when(F.col("id") < 2, F.lit(-1)).otherwise(F.lit(1)).alias("v"))
+    rules, sink = {"negative": F.col("v") < 0}, str(tmp_path / "quarantine")
+    split = Q.quarantine(df, rules, sink, 0.02)
+    assert split.good.count() == 98
+    assert sorted(map(tuple, spark.read.parquet(sink).collect())) == [(0, -1, "negative"), (1, -1, "negative")]
+    with pytest.raises(Q.QuarantineAbort):
+        Q.quarantine(df, rules, sink, {"negative": 0.01})
+    assert spark.read.parquet(sink).count() == 2
+
+
 def test_report_actions(spark):
     checks = [spark.createDataFrame([("inverted_dates", 50, 100)], Q.CHECK_SCHEMA),
               spark.createDataFrame([("negative_price", 0, 100)], Q.CHECK_SCHEMA),
