@@ -32,8 +32,7 @@ WINSOR_P = 0.999                           # cap at each group's own 99.9th perc
 def ab_orders(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str) -> DataFrame:
     """One row per order of the city: revenue (sum of item prices), MIN(year),
     MIN(quarter), MIN(customer_id) as coded, and the hash group."""
-    rows = scoped_fact(fact, cal, cust, city).join(
-        cust.select("customer_sk", "customer_id"), "customer_sk", "inner")
+    rows = scoped_fact(fact, cal, cust, city, carry=["customer_id"])
     o = rows.groupBy("order_id").agg(F.sum("price").alias("order_revenue"),
                                      F.min("year").alias("year"),
                                      F.min("quarter").alias("quarter"),

@@ -34,9 +34,10 @@ def with_quarter(fact: DataFrame, cal: DataFrame) -> DataFrame:
 
 
 def scoped_fact(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str,
-                prod: DataFrame | None = None) -> DataFrame:
-    """Fact rows of customers in ``city`` with (year, quarter) [and category]."""
-    c = scope(cust, city).select("customer_sk")
+                prod: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """Fact rows of customers in ``city`` with (year, quarter) [and category,
+    and the ``carry`` columns of the customer]."""
+    c = scope(cust, city).select("customer_sk", *carry)
     out = with_quarter(fact.join(c, "customer_sk", "inner"), cal)
     if prod is not None:
         out = out.join(prod.select("product_sk", F.col("product_category_name").alias("category")),

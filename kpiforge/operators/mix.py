@@ -45,6 +45,7 @@ def category_trend(cat_share: DataFrame, k: int = 10) -> DataFrame:
     1..k by revenue the category there and its share in the quarter (NULL if it
     sold nothing).  The columns don't depend on the data, so nothing is
     collected to build the plan."""
+    cat_share = cat_share.checkpoint(eager=True)  # an aggregate, read twice
     order = Window.orderBy(F.col("revenue").desc_nulls_last(), F.col("category").asc_nulls_last())
     top = top_categories(cat_share, k).select("category", F.row_number().over(order).alias("_place"))
     cells = F.struct("category", "share_cat")
@@ -105,12 +106,12 @@ def top_with_mix(rows: DataFrame, entity: str, mix: str, value: str = "price",
     """Top-k ``entity`` by revenue and, for each, revenue and share of every
     ``mix`` value (e.g. the categories a top seller sells).
 
-    The top-k list is a TakeOrdered result (k rows); it is joined back with a
-    broadcast of those k keys -- a proven size."""
-    tot = rows.groupBy(entity).agg(F.sum(value).alias("entity_revenue"))
+    Rows are summed by (entity, mix) once; the entities' totals come from those
+    sums.  The top-k list is a TakeOrdered result (k rows), joined back with a
+    broadcast of those k rows -- a proven size."""
+    mixed = rows.groupBy(entity, mix).agg(F.sum(value).alias("mix_revenue"))
+    tot = mixed.groupBy(entity).agg(F.sum("mix_revenue").alias("entity_revenue"))
     top = ordered(tot, [F.col("entity_revenue").desc(), F.col(entity).asc()], k)
-    mixed = (rows.join(F.broadcast(top.select(entity)), entity, "left_semi")
-             .groupBy(entity, mix).agg(F.sum(value).alias("mix_revenue")))
     return (mixed.join(F.broadcast(top), entity, "inner")
             .select(entity, "entity_revenue", mix, "mix_revenue",
                     share("mix_revenue", "entity_revenue").alias("mix_share")))

@@ -61,13 +61,18 @@ def yoy(df: DataFrame, value: str, keys: Sequence[str] = (), mode: str = "relati
     0 or missing).  ``mode='diff'``: delta = scale * (present - base).  Present
     and base are multiplied by ``scale``.  A missing base quarter leaves base
     and delta NULL and keeps the row.  ``carry`` columns of the present row
-    are passed through.
+    are passed through.  ``df`` has one row per quarter and ``keys``; each row
+    goes out under its own quarter and under the one a year later, so it is
+    computed once and one aggregate brings the pairs together.
     """
     keys = list(keys)
-    cur = df.select(*YQ, *keys, F.col(value).alias("_p"), *carry).withColumn("_qi", quarter_index())
-    prev = df.select(*keys, F.col(value).alias("_b"),
-                     (quarter_index() + F.lit(4)).alias("_qi"))
-    j = cur.join(prev, ["_qi", *keys], "left")
+    both = df.select(*keys, F.struct(*YQ, F.col(value).alias("_p"), *carry).alias("_row"),
+                     F.explode(F.array(F.lit(0), F.lit(4))).alias("_later"))
+    both = both.withColumn("_qi", quarter_index("_row.year", "_row.quarter") + F.col("_later"))
+    j = (both.groupBy("_qi", *keys)
+         .agg(F.max(F.when(F.col("_later") == 0, F.col("_row"))).alias("_now"),
+              F.max(F.when(F.col("_later") == 4, F.col("_row"))).alias("_then"))
+         .where("_now is not null").select(*keys, "_now.*", F.col("_then._p").alias("_b")))
     p, b = F.col("_p").cast("double"), F.col("_b").cast("double")
     if mode == "relative":
         d = F.lit(100.0) * (p - b) / F.nullif(b, F.lit(0.0))
@@ -87,7 +92,8 @@ def frozen_top_category(cat_share: DataFrame) -> DataFrame:
     """C* = the category with the largest revenue share in t-4 (ties: the
     smaller name); report C*'s share in t and in t-4, the pp delta and t's
     total revenue.  C* selling nothing in t gives share 0; a quarter without
-    t-4 keeps NULLs."""
+    t-4 keeps NULLs.  The shares, an aggregate, are computed once."""
+    cat_share = cat_share.checkpoint(eager=True)
     rank_w = Window.partitionBy(*YQ).orderBy(F.col("share_cat").desc_nulls_last(),
                                              F.col("category").asc_nulls_last())
     top = (cat_share.withColumn("_r", F.row_number().over(rank_w)).filter(F.col("_r") == 1)

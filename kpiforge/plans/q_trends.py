@@ -176,7 +176,7 @@ def kpi_targets(s: Star) -> DataFrame:
     """O-60: YoY deltas of the five KPIs against their goals."""
     from ..functions.columns import quarter_index
     # revenue, P90 and on-time: one aggregate of the scoped fact, one t / t-4 join
-    fk = kpis.fact_kpis(s.fact, s.cal, s.customer, CITY)
+    fk = kpis.fact_kpis(s.fact, s.cal, s.customer, CITY).checkpoint(eager=True)  # a row per quarter, read twice
     cur = fk.withColumn("_qi", quarter_index())
     base = fk.select((quarter_index() + F.lit(4)).alias("_qi"),
                      F.col("revenue_sp").alias("_b_rev"), F.col("lead_time_p90").alias("_b_lt"),
@@ -222,9 +222,7 @@ FROM cum
 
 
 def _pareto(s: Star, by: str) -> DataFrame:
-    rows = kpis.scoped_fact(s.fact, s.cal, s.customer, CITY, s.product)
-    if by == "customer_id":
-        rows = rows.join(s.customer.select("customer_sk", "customer_id"), "customer_sk")
+    rows = kpis.scoped_fact(s.fact, s.cal, s.customer, CITY, s.product, ["customer_id"])
     d = trends.pareto(rows, by)
     return present(d, ints=["year", "quarter"], longs=["rank"],
                    money=["revenue", "cum_revenue", "revenue_total"], rates=["cum_share"])
