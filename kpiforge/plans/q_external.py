@@ -69,10 +69,10 @@ def holiday_calendar(s: Star) -> DataFrame:
 
 
 @register("weather_clean", O.q(_HOL_CTE + """
-SELECT CAST(date AS TIMESTAMP) AS date, city, temp, rain, is_holiday FROM weather"""))
+SELECT CAST(date AS TIMESTAMP) AS date, city, temp, rain, CAST(is_holiday AS DOUBLE) AS is_holiday FROM weather"""))
 def weather_clean(s: Star) -> DataFrame:
     """O-04 + O-26: daily weather records validated and normalized."""
-    return present(weather_of(s, CITY), dates=["date"])
+    return present(weather_of(s, CITY), dates=["date"], nullable_ints=["is_holiday"])
 
 
 @register("weather_anomalies", O.q(_HOL_CTE + """
@@ -125,7 +125,7 @@ takings AS (
   FROM fact f JOIN dim_calendar USING (calendar_sk) JOIN dim_customer USING (customer_sk)
   JOIN ext e ON e.date = dim_calendar.date AND e.city = customer_city GROUP BY ALL),
 periods AS (SELECT DISTINCT first_day, wet, holiday FROM ext)
-SELECT p.wet AS rain_day, p.holiday AS is_holiday, count(*) AS periods,
+SELECT CAST(CAST(p.wet AS INTEGER) AS DOUBLE) AS rain_day, p.holiday AS is_holiday, count(*) AS periods,
        {O.r6('avg(coalesce(CAST(revenue AS DOUBLE), 0))', 'avg_revenue')},
        {O.r6('avg(coalesce(CAST(orders AS DOUBLE), 0))', 'avg_orders')},
        {O.r6('CAST(sum(revenue) AS DOUBLE) / NULLIF(CAST(sum(orders) AS DOUBLE), 0)', 'revenue_per_order')}
@@ -138,11 +138,11 @@ GROUP BY ALL
 def weather_effect(s: Star) -> DataFrame:
     """O-70: mean daily revenue and orders on rain vs dry days and holidays."""
     d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE))
-    return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"])
+    return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"], nullable_ints=["rain_day"])
 
 
 @register("weather_effect_week", O.q(_HOL_CTE + _effect_sql("x.date - CAST(isodow(x.date) - 1 AS INTEGER)")))
 def weather_effect_week(s: Star) -> DataFrame:
     """O-70 at week grain: mean weekly revenue and orders by rain / holiday."""
     d = E.external_effect(fact_external_of(s, CITY, STATE), dim_external_of(s, CITY, STATE), grain="week")
-    return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"])
+    return present(d, rates=["avg_revenue", "avg_orders", "revenue_per_order"], nullable_ints=["rain_day"])

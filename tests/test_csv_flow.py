@@ -38,8 +38,8 @@ def test_csv_sources_to_kpis(spark):
         with open(os.path.join(d, name[:-4], name), "w") as f:
             f.write(text)
 
-    def load(name, contract, multiline=False):
-        return S.read_source(spark, os.path.join(d, name), contract, multiline)
+    def load(name, contract):
+        return S.read_source(spark, os.path.join(d, name), contract)
 
     products = S.read_products(load("products", C.PRODUCTS), load("translation", C.CATEGORY_TRANSLATION))
     staging = {
@@ -49,7 +49,7 @@ def test_csv_sources_to_kpis(spark):
         "customers_raw": S.with_lineage(load("customers", C.CUSTOMERS), "customers.csv",
                                         C.CUSTOMERS.hash_fields),
         "products_raw": S.with_lineage(products, "products.csv", C.PRODUCTS.hash_fields),
-        "reviews_raw": S.with_lineage(load("reviews", C.REVIEWS, True), "reviews.csv",
+        "reviews_raw": S.with_lineage(load("reviews", C.REVIEWS), "reviews.csv",
                                       C.REVIEWS.hash_fields),
         "sellers_raw": S.with_lineage(load("sellers", C.SELLERS), "sellers.csv", C.SELLERS.hash_fields),
     }

@@ -122,15 +122,12 @@ def test_targets_long_keeps_only_present_kpis(spark):
     assert got == [("lead_time_p90", 2, True), ("revenue_yoy", 1, True), ("revenue_yoy", 2, False)]
 
 
-def test_profiles_approx_switch(spark):
-    fact = spark.createDataFrame([(1, 1, 1, float(i), 1, 1.0) for i in range(1, 101)],
+def test_shipping_profile_percentiles(spark):
+    fact = spark.createDataFrame([(1, 1, 1, float(i), 1, 1.0) for i in range(1, 101)] + [(1, 1, 1, None, None, 1.0)],
                                  "calendar_sk int, customer_sk int, product_sk int, "
                                  "lead_time_days double, on_time_flag int, price double")
     cal = spark.createDataFrame([(1, 2018, 1)], "calendar_sk int, year int, quarter int")
     cust = spark.createDataFrame([(1, "x")], "customer_sk int, customer_city string")
-    prod = spark.createDataFrame([(1, "a")], "product_sk int, product_category_name string")
-    exact = kpis.shipping_profile(fact, cal, cust, "x").first()
-    approx = kpis.shipping_profile(fact, cal, cust, "x", approx=True).first()
-    assert abs(exact["lead_time_p90"] - 90.1) < 1e-9 and abs(approx["lead_time_p90"] - 90.0) <= 1.0
-    kc = kpis.kpi_by_category(fact, cal, cust, prod, "x", approx=True).first()
-    assert abs(kc["lead_time_p50"] - 50.0) <= 1.0
+    r = kpis.shipping_profile(fact, cal, cust, "x").first()
+    assert [round(r[c], 9) for c in ("lead_time_p50", "lead_time_p90", "lead_time_p99")] == [50.5, 90.1, 99.01]
+    assert (r["n_rows"], r["n_with_estimate"]) == (101, 100)

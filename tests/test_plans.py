@@ -6,8 +6,8 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF01
+from kpiforge.plans import registry as E
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
           "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -27,13 +27,20 @@ def test_no_banned_operators(spark, name):
         assert b not in plan, f"{name}: {b}"
 
 
-def test_flagship_scan_is_pruned_and_filtered(spark):
-    plan = _plan(E.queries()["kpi_quarter_sp"](spark, SF01))
+def test_scoped_scans_are_pruned_and_filtered(spark):
+    plan = _plan(E.queries()["on_time_rate_sp"](spark, SF01))
     assert "EqualTo(customer_city,nation_2)" in plan
-    assert "EqualTo(order_status,delivered)" in plan
     fact_schema = [ln for ln in plan.splitlines()
-                   if ln.startswith("ReadSchema:") and "lead_time_days" in ln]
+                   if ln.startswith("ReadSchema:") and "on_time_flag" in ln]
     assert fact_schema and "_row_md5" not in fact_schema[0] and "order_id" not in fact_schema[0]
+    # the review branch of the flagship reads the orders on the fly
+    assert "EqualTo(order_status,delivered)" in _plan(E.queries()["kpi_quarter_sp"](spark, SF01))
+
+
+@pytest.mark.parametrize("name", ["leadtime_p90_sp", "kpi_quarter_sp", "leadtime_yoy", "kpi_targets",
+                                  "shipping_profile", "kpi_by_category", "ab_summary", "ab_winsor"])
+def test_no_percentile_buffer(spark, name):
+    assert "percentile(" not in _plan(E.queries()[name](spark, SF01))
 
 
 def test_top_k_is_take_ordered(spark):
