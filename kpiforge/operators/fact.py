@@ -149,6 +149,7 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
                 for c in value_cols}
     merged = j.select(id_col, *keys, "action", *[
         F.when(from_src[c], F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in value_cols])
+    merged = merged.checkpoint(eager=True)  # batch-sized; the table and the actions read it
     inserts = merged.filter(F.col("action") == "insert").drop(id_col)
     numbered = running_total(inserts, order_by=keys, out="_rank")
     new_rows = numbered.select((F.col("_rank") + F.lit(start)).cast("bigint").alias(id_col),

@@ -10,6 +10,7 @@ master is local (tests, the driver's smoke run).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,6 +28,8 @@ SESSION_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -62,8 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if d:
         return d
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
                            "(HDFS/S3/ABFS) before running key or running-total jobs")
     d = tempfile.mkdtemp(prefix="kpiforge-ckpt-")
