@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .ordered import running
 from .storage import written
 
+BROADCAST_LEAVES = 100_000  # rows of the leaf plan that may be broadcast
 LEVELS = ("domain", "lang", "source")
 
 
@@ -98,7 +99,9 @@ def mix(docs: DataFrame, domain: Column, tokens: Column, weights: Sequence[Colum
     last = last.groupBy("_leaf", "_key").agg(F.sum("_tokens").alias("_tokens"), F.max("_rest").alias("_rest"))
     cut = (running(last, ["_key"], "_tokens", "_leaf", "mix").where("_before < _rest")
            .groupBy("_leaf").agg(F.max("_key").alias("_cut")))
-    plan = plan.join(cut, "_leaf", "left")
+    plan = written(plan.join(cut, "_leaf", "left"), "plan")
+    if plan.count() <= BROADCAST_LEAVES:  # then the texts need no shuffle; beyond it AQE splits hot leaves
+        plan = F.broadcast(plan)
     taken = rows.join(plan, "_leaf").withColumn("_n", F.col("_whole") + F.coalesce(
         (_key(seed, F.col("_whole") + 1) <= F.col("_cut")).cast("bigint"), F.lit(0)))
     taken = taken.where("_n > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
