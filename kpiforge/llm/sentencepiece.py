@@ -17,7 +17,8 @@ pieces, so decoding gives every text back exactly.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -31,7 +32,7 @@ from .texts import per_text, text_bytes
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value: an uncovered character scores this much less than the lowest piece
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 MEMO_CHARS = 64  # longer words are segmented each time
 
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -77,35 +78,57 @@ class Segmenter(dict):
             raise ValueError("the model has no byte pieces to fall back to")
         self.automaton.make_automaton()
         self.unknown = low - UNKNOWN_PENALTY
+        # a piece that a split of itself outscores is in no best segmentation
+        useful = ahocorasick.Automaton()
+        for piece, entry in self.automaton.items():
+            if len(piece) == 1 or self._scores(piece, whole=False)[0][-1] <= entry[1]:
+                useful.add_word(piece, entry)
+        useful.make_automaton()
+        self.automaton = useful
         self.literal = np.array([self.bytes_[b] for b in SPACE.encode()], np.int32).tobytes()
 
-    def best(self, word: str) -> list[int]:
-        """The ids of the best segmentation; of equal scores the one with the longer last piece."""
+    def _scores(self, word: str, whole: bool = True) -> tuple[list[float], list]:
+        """For each position the best score up to it and the piece that ends
+        there; ``whole``: whether the word may be one piece."""
         n = len(word)
         score = [0.0] + [float("-inf")] * n
         back: list = [None] * (n + 1)
-        found = self.automaton.iter(word)
-        at = next(found, None)
-        for i, c in enumerate(word):
-            if c not in self.single:
-                score[i + 1], back[i + 1] = score[i] + self.unknown, (1, -1)
-            while at is not None and at[0] == i:
-                size, gain, piece = at[1]
-                if (s := score[i + 1 - size] + gain) > score[i + 1]:
-                    score[i + 1], back[i + 1] = s, (size, piece)
-                at = next(found, None)
-        out, end = [], n
+        found = self.automaton.iter(word)  # (end, piece), by end, longest first
+        if not self.single.issuperset(word):
+            found = self._with_unknown(word, found)
+        for i, piece in found:
+            size, gain, _ = piece
+            i += 1
+            if (s := score[i - size] + gain) > score[i] and (whole or size < n):
+                score[i], back[i] = s, piece
+        return score, back
+
+    def best(self, word: str) -> list[int]:
+        """The ids of the best segmentation; of equal scores the one with the longer last piece."""
+        back = self._scores(word)[1]
+        out, end = [], len(word)
         while end:
-            size, piece = back[end]
+            size, _, piece = back[end]
             if piece < 0:
                 out += [self.bytes_[b] for b in reversed(word[end - size:end].encode())]
             else:
                 out.append(piece)
             end -= size
-        return out[::-1]
+        out.reverse()
+        return out
+
+    def _with_unknown(self, word: str, found) -> Iterator[tuple[int, tuple]]:
+        """The pieces found, and an unknown piece for each character that is none."""
+        at = next(found, None)
+        for i, c in enumerate(word):
+            if c not in self.single:
+                yield i, (1, self.unknown, -1)
+            while at is not None and at[0] == i:
+                yield at
+                at = next(found, None)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.best(word), np.int32).tobytes()
+        ids = array("i", self.best(word)).tobytes()
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_WORDS:
                 self.clear()

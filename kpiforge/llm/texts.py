@@ -28,8 +28,8 @@ def per_text(setup: Callable[[], Callable[[list], pa.Array]], returns: str) -> C
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         each = setup()
         for batch in batches:
-            # in slices, so that few texts are Python objects at a time
-            parts = [each(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
-            yield pa.concat_arrays(parts) if parts else each([])
+            # in slices, so that few texts are Python objects at a time and results go out in small batches
+            for at in range(0, len(batch), SLICE):
+                yield each(batch.slice(at, SLICE).to_pylist())
 
     return apply
