@@ -133,6 +133,29 @@ def test_lists_that_are_dealt_over_tasks(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_near_copies_of_many_equal_copies(spark, monkeypatch):
+    rnd = random.Random(8)
+    words = [f"u{k}" for k in range(5000)]
+    rows = []
+    for k in range(12):  # many copies are one entry of each list, so an edited copy is the only other one
+        base = rnd.choices(words, k=100)
+        rows += [(len(rows) + j, " ".join(base)) for j in range(40)]
+        rows.append((len(rows), " ".join([*base[:50], f"x{k}", *base[51:]])))
+    whole = J.inverted_lists
+    monkeypatch.setattr(J, "inverted_lists", lambda *a, **k: whole(*a, **k, list_rows=10))
+    check(spark, rows)
+
+
+def test_dealt_lists_keep_all_entries(spark):
+    # 25 sets that share a frequent shingle, dealt over 13 parts: some are alone in theirs
+    heads = spark.createDataFrame([(k, 40, [7, 1000 + k, 2000 + k // 2]) for k in range(25)], "id long, n long, head array<long>")
+    counts = spark.createDataFrame([(7, 500), (1000, 500)], "token long, seen long")
+    entries = [J.inverted_lists(heads, 1, counts, list_rows=r).select("token", "id", "salt").collect() for r in (2, 1000)]
+    assert len({r["salt"] for r in entries[0] if r["token"] == 7}) > 2
+    kept = [sorted((r["token"], r["id"]) for r in part) for part in entries]
+    assert kept[0] == kept[1] == sorted([(7, k) for k in range(25)] + [(2000 + k // 2, k) for k in range(24)])
+
+
 def test_keep_one(spark):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "other text"), (3, None), (3, None), (None, "a b c d e f"), (4, "b")]
     docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
