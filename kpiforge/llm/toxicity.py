@@ -9,8 +9,10 @@ of the text, give a score between 0 and 1.
 that toxic documents use and others don't; it is made as long as it can be
 without losing the documents it was seen in, so inflected forms are caught.  Its
 weight is its log-odds.  It must occur between different neighbours: words that
-merely come along in copies of a toxic text don't get in.  Words and word pairs around a stem that several clean
-documents and no toxic ones use become exception phrases.
+merely come along in copies of a toxic text don't get in.  A stem that passes
+with equal texts counted once stays, however often they are copied.  Words and
+word pairs around a stem that several clean documents and no toxic ones use
+become exception phrases.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fit_sigmoid
+from .storage import written
 from .texts import per_text, text_bytes
 
 # Letters of other scripts that look like Latin ones
@@ -158,18 +161,22 @@ def _stems_of(text: str) -> set[str]:
 
 
 def _count(parts: Iterator[pa.RecordBatch], of, most: int) -> Iterator[pa.RecordBatch]:
-    """(entry, toxic documents, other documents), added up in parts of at most ``most`` entries."""
+    """(entry, toxic documents, other documents, toxic texts, other texts), added up in
+    parts of at most ``most`` entries."""
     got: dict[str, list[int]] = {}
 
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(got), pa.string()), pa.array([v[0] for v in got.values()], pa.int64()),
-             pa.array([v[1] for v in got.values()], pa.int64())], ["entry", "n_bad", "n_other"])
+            [pa.array(list(got), pa.string()), *(pa.array([v[k] for v in got.values()], pa.int64()) for k in range(4))],
+            ["entry", "n_bad", "n_other", "t_bad", "t_other"])
 
     for part in parts:
-        for text, bad in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+        for text, bad, copies in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
+            at = 0 if bad else 1
             for e in of(text.decode("utf-8", "replace")):
-                got.setdefault(e, [0, 0])[0 if bad else 1] += 1
+                v = got.setdefault(e, [0, 0, 0, 0])
+                v[at] += copies
+                v[at + 2] += 1
             if len(got) > most:
                 yield batch()
                 got.clear()
@@ -177,14 +184,21 @@ def _count(parts: Iterator[pa.RecordBatch], of, most: int) -> Iterator[pa.Record
         yield batch()
 
 
-def _entries(rows: DataFrame, of) -> DataFrame:
-    """How many toxic and other documents have each entry, over all rows."""
-    return (rows.select(text_bytes(F.col("text")).alias("t"), (F.col("_y") == 1).alias("b"))
-            .mapInArrow(lambda it: _count(it, of, 200_000), "entry string, n_bad long, n_other long")
-            .groupBy("entry").agg(F.sum("n_bad").alias("n_bad"), F.sum("n_other").alias("n_other")))
+def _distinct(rows: DataFrame) -> DataFrame:
+    """The distinct texts of each label and how many rows have them, written."""
+    return written(rows.groupBy("_y", F.md5(text_bytes(F.col("text"))).alias("h")).agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")).drop("h"), "distinct")
 
 
-def _longest(stems: dict[str, tuple[float, float, float]], keep: float = 0.9) -> list[str]:
+def _entries(once: DataFrame, of) -> DataFrame:
+    """How many toxic and other documents, and distinct texts of them, have each entry."""
+    sums = ("n_bad", "n_other", "t_bad", "t_other")
+    return (once.select(text_bytes(F.col("text")).alias("t"), (F.col("_y") == 1).alias("b"), "copies")
+            .mapInArrow(lambda it: _count(it, of, 200_000), "entry string, n_bad long, n_other long, t_bad long, t_other long")
+            .groupBy("entry").agg(*(F.sum(c).alias(c) for c in sums)))
+
+
+def _longest(stems: dict[str, tuple[list, int]], keep: float = 0.9) -> list[str]:
     """Of each family of word starts, the longest that keeps a share of its documents."""
     kids: dict[str, list[str]] = {}
     for s in stems:
@@ -204,34 +218,41 @@ def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, max
     """The lexicon of ``labelled`` (doc_id, text, label 0 or 1, weight: the
     documents that a row stands for).
 
-    The counts of stems and exception phrases cover all these rows.  The
+    The counts of stems and exception phrases cover all these rows; a stem gets in
+    by its counts over distinct texts or by those over documents.  The
     candidates, at most ``max_stems`` by toxic documents, the exceptions, at most
     ``max_exceptions``, and one number for each row go through the driver, so the
     caller bounds the rows.  Without rows of both labels the lexicon is empty."""
     rows = labelled.withColumnRenamed("label", "_y")
-    n = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
+    once = _distinct(rows)
+    n = {r["_y"]: (r["texts"], r["docs"]) for r in once.groupBy("_y").agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("docs")).collect()}
     if len(n) < 2:
         return Lexicon(())
-    stems = _entries(rows.where("_y = 1"), _stems_of)
+    stems = _entries(once.where("_y = 1"), _stems_of)
     cand = [r["entry"] for r in stems.where(F.col("n_bad") >= min_docs)
             .orderBy(F.desc("n_bad"), "entry").limit(max_stems).collect()]
     wanted = frozenset(cand)
     odds = {}
-    for e, bad, other in _entries(rows, lambda t: _stems_of(t) & wanted).collect():
-        w = math.log((bad + 0.5) / (n[1] + 1)) - math.log((other + 0.5) / (n[0] + 1))
-        if w >= min_log_odds:
-            odds[e] = (w, bad, other)
-    chosen = _longest(odds)
-    lex = Lexicon(tuple((s, round(odds[s][0], 6)) for s in chosen))
+    for e, n_bad, n_other, t_bad, t_other in _entries(once, lambda t: _stems_of(t) & wanted).collect():
+        ways = []  # (log-odds, toxic ones) by distinct texts and by documents
+        for k, (bad, other) in enumerate(((t_bad, t_other), (n_bad, n_other))):
+            w = math.log((bad + 0.5) / (n[1][k] + 1)) - math.log((other + 0.5) / (n[0][k] + 1))
+            if bad >= min_docs and w >= min_log_odds:
+                ways.append((w, bad))
+        if ways:
+            odds[e] = (ways, t_bad)
+    lex = Lexicon(tuple((s, round(odds[s][0][0][0], 6)) for s in _longest(odds)))
 
     def contexts(text: str) -> set[str]:
         folded = fold(text)
         return {f"{folded[s:e]}\n{a}\n{b}" for s, e, _ in hits(lex, folded) for a, b in [_neighbours(folded, s)]}
 
-    seen = (_entries(rows.where("_y = 1"), contexts).groupBy(F.split_part("entry", F.lit("\n"), F.lit(1)).alias("s"))
+    seen = (_entries(once.where("_y = 1"), contexts).groupBy(F.split_part("entry", F.lit("\n"), F.lit(1)).alias("s"))
             .count().where(F.col("count") >= min_docs).collect())
-    speak = {r["s"] for r in seen if r["count"] >= min_variety * odds[r["s"]][1]}
-    lex = Lexicon(tuple(x for x in lex.stems if x[0] in speak))
+    pairs = {r["s"]: r["count"] for r in seen}
+    passed = ((s, [w for w, bad in odds[s][0] if pairs.get(s, 0) >= min_variety * bad]) for s, _ in lex.stems)
+    lex = Lexicon(tuple((s, round(ws[0], 6)) for s, ws in passed if s in pairs and ws))
 
     def phrases(text: str) -> set[str]:
         folded = fold(text)
@@ -244,7 +265,7 @@ def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, max
             out.update([f"{word} {after}"] if after else [])
         return out
 
-    exc = _entries(rows, phrases).where((F.col("n_bad") == 0) & (F.col("n_other") >= min_docs))
+    exc = _entries(once, phrases).where((F.col("n_bad") == 0) & (F.col("n_other") >= min_docs))
     lex = Lexicon(lex.stems, tuple(sorted(r["entry"] for r in exc.orderBy(
         F.desc("n_other"), "entry").limit(max_exceptions).collect())))
     return _fit(rows, lex)

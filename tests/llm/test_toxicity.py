@@ -80,6 +80,27 @@ def test_learning(spark):
     assert X.learn(spark.createDataFrame(rows[:10], "doc_id long, text string, label int, weight double")).stems == ()
 
 
+def words(rnd, n, k=6):
+    return " ".join("".join(rnd.choices("aeioubcdfglmnprst", k=k)) for _ in range(n))
+
+
+def learned(spark, clean, bad):
+    rows = [(k, t, 0, 1.0) for k, t in enumerate(clean)] + [(10_000 + k, t, 1, 1.0) for k, t in enumerate(bad)]
+    return X.learn(spark.createDataFrame(rows, "doc_id long, text string, label int, weight double"))
+
+
+def test_copies_neither_bring_nor_take_a_stem(spark):
+    import random
+    rnd = random.Random(1)
+    clean = [words(rnd, 30) for _ in range(200)]
+    bad = [f"{words(rnd, 10)} grobel {words(rnd, 10)}" for _ in range(30)]
+    copied = f"{words(rnd, 10)} grobel plagueword {words(rnd, 10)}"
+    lex = learned(spark, clean, bad + [copied] * 400)
+    assert {s[:6] for s, _ in lex.stems} == {"grobel"}
+    assert X.score_of(lex, X.density(lex, copied)[1]) >= 0.3
+    assert lex.stems == learned(spark, clean, bad + [copied]).stems
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     got = op7_toxicity(spark, d)
