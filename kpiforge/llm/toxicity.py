@@ -213,28 +213,31 @@ def _longest(stems: dict[str, tuple[list, int]], keep: float = 0.9) -> list[str]
     return sorted(out)
 
 
-def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, max_stems: int = 20_000,
-          max_exceptions: int = 5_000, min_variety: float = 0.5) -> Lexicon:
+def _ways(entries: DataFrame, n: dict[int, tuple[int, int]], min_docs: int, min_log_odds: float) -> DataFrame:
+    """The entries that toxic texts or documents use so much more than others;
+    n: the texts and documents of each label."""
+    def passes(k: int, bad: str, other: str):
+        odds = F.log((F.col(bad) + 0.5) / (n[1][k] + 1)) - F.log((F.col(other) + 0.5) / (n[0][k] + 1))
+        return (F.col(bad) >= min_docs) & (odds >= min_log_odds - 1e-9)
+    return entries.where(passes(0, "t_bad", "t_other") | passes(1, "n_bad", "n_other"))
+
+
+def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, min_variety: float = 0.5) -> Lexicon:
     """The lexicon of ``labelled`` (doc_id, text, label 0 or 1, weight: the
     documents that a row stands for).
 
     The counts of stems and exception phrases cover all these rows; a stem gets in
     by its counts over distinct texts or by those over documents.  The
-    candidates, at most ``max_stems`` by toxic documents, the exceptions, at most
-    ``max_exceptions``, and one number for each row go through the driver, so the
-    caller bounds the rows.  Without rows of both labels the lexicon is empty."""
+    word starts that pass their log-odds, the exceptions and one number for each
+    row go through the driver, so the caller bounds the rows.  Without rows of both labels the lexicon is empty."""
     rows = labelled.withColumnRenamed("label", "_y")
     once = _distinct(rows)
     n = {r["_y"]: (r["texts"], r["docs"]) for r in once.groupBy("_y").agg(
         F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("docs")).collect()}
     if len(n) < 2:
         return Lexicon(())
-    stems = _entries(once.where("_y = 1"), _stems_of)
-    cand = [r["entry"] for r in stems.where(F.col("n_bad") >= min_docs)
-            .orderBy(F.desc("n_bad"), "entry").limit(max_stems).collect()]
-    wanted = frozenset(cand)
     odds = {}
-    for e, n_bad, n_other, t_bad, t_other in _entries(once, lambda t: _stems_of(t) & wanted).collect():
+    for e, n_bad, n_other, t_bad, t_other in _ways(_entries(once, _stems_of), n, min_docs, min_log_odds).collect():
         ways = []  # (log-odds, toxic ones) by distinct texts and by documents
         for k, (bad, other) in enumerate(((t_bad, t_other), (n_bad, n_other))):
             w = math.log((bad + 0.5) / (n[1][k] + 1)) - math.log((other + 0.5) / (n[0][k] + 1))
@@ -266,8 +269,7 @@ def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, max
         return out
 
     exc = _entries(once, phrases).where((F.col("n_bad") == 0) & (F.col("n_other") >= min_docs))
-    lex = Lexicon(lex.stems, tuple(sorted(r["entry"] for r in exc.orderBy(
-        F.desc("n_other"), "entry").limit(max_exceptions).collect())))
+    lex = Lexicon(lex.stems, tuple(sorted(r["entry"] for r in exc.select("entry").collect())))
     return _fit(rows, lex)
 
 

@@ -101,6 +101,28 @@ def test_copies_neither_bring_nor_take_a_stem(spark):
     assert lex.stems == learned(spark, clean, bad + [copied]).stems
 
 
+def test_rare_slur_among_many_ordinary_words(spark):
+    import random
+    rnd = random.Random(2)
+    usual = ["".join(rnd.choices("aeioubcdfglmnprst", k=12)) for _ in range(3000)]  # 9 word starts each
+    texts = [" ".join(rnd.sample(usual, 600)) for _ in range(110)]
+    bad = [f"{t} {words(rnd, 1)} grobel {words(rnd, 1)}" if k < 6 else t for k, t in enumerate(texts[:60])]
+    clean = texts[60:] + [" ".join(usual)] * 60 + [words(rnd, 5) for _ in range(150)]
+    lex = learned(spark, clean, bad)
+    assert [s for s, _ in lex.stems if s.startswith("grob")] == ["grobel"]
+
+
+def test_all_exceptions_stay(spark):
+    import random
+    rnd = random.Random(3)
+    bad = [f"{words(rnd, 10)} grobel {words(rnd, 10)}" for _ in range(300)]
+    forms = ["grobel" + "".join(rnd.choices("abcdefghij", k=5)) for _ in range(2000)]  # each with two neighbours, in 4 documents
+    clean = [" ".join(f"{f[6:]}x {f} {f[6:]}y" for f in forms)] * 4 + [words(rnd, 30) for _ in range(3000)]
+    lex = learned(spark, clean, bad)
+    assert "grobel" in {s for s, _ in lex.stems}
+    assert len(lex.exceptions) > 5000 and set(forms) <= set(lex.exceptions)
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     got = op7_toxicity(spark, d)
