@@ -71,7 +71,8 @@ def fold(text: str) -> str:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """stems: (folded word start, weight); exceptions: folded phrases; the
+    """stems: (folded word start, weight), one that ends in a space is a whole
+    word; exceptions: folded phrases; the
     score is sigmoid(slope * log1p(density) + offset)."""
 
     stems: tuple[tuple[str, float], ...]
@@ -86,11 +87,12 @@ class Lexicon:
     def machine(self):
         if not self.automaton:
             a = ahocorasick.Automaton()
-            entries: dict[str, list] = {}
+            entries: dict[str, list] = {}  # size, weight as a word start, weight as a whole word, exception
             for s, w in self.stems:
-                entries.setdefault(s, [len(s), 0.0, False])[1] = w
+                word = s.rstrip(" ")
+                entries.setdefault(word, [len(word), 0.0, 0.0, False])[1 if word == s else 2] = w
             for p in self.exceptions:
-                entries.setdefault(p, [len(p), 0.0, False])[2] = True
+                entries.setdefault(p, [len(p), 0.0, 0.0, False])[3] = True
             for s, e in entries.items():
                 a.add_word(s, tuple(e))
             if entries:
@@ -106,12 +108,14 @@ def hits(lex: Lexicon, folded: str) -> list[tuple[int, int, float]]:
     if a is None or not folded:
         return []
     found, spans, n = {}, [], len(folded)
-    for last, (size, weight, exception) in a.iter(folded):
+    for last, (size, weight, whole, exception) in a.iter(folded):
         start, end = last - size + 1, last + 1
         if start and folded[start - 1].isalpha():
             continue
-        if exception and (end == n or not folded[end].isalpha()):
-            spans.append((start, end))
+        if (exception or whole) and (end == n or not folded[end].isalpha()):
+            weight = max(weight, whole)
+            if exception:
+                spans.append((start, end))
         if weight and weight > found.get(start, (0, 0.0))[1]:
             found[start] = (end, weight)
     return [(s, e, w) for s, (e, w) in sorted(found.items())
@@ -154,8 +158,11 @@ def _neighbours(folded: str, start: int) -> tuple[str, str]:
 
 
 def _stems_of(text: str) -> set[str]:
+    """The starts of a text's words, and its words that are too short for one, with a space after them."""
     out = set()
     for w in set(_LETTERS.findall(fold(text))):
+        if len(w) < MIN_STEM:
+            out.add(w + " ")
         out.update(w[:k] for k in range(MIN_STEM, min(len(w), MAX_STEM) + 1))
     return out
 
@@ -249,7 +256,8 @@ def learn(labelled: DataFrame, min_docs: int = 4, min_log_odds: float = 3.0, min
 
     def contexts(text: str) -> set[str]:
         folded = fold(text)
-        return {f"{folded[s:e]}\n{a}\n{b}" for s, e, _ in hits(lex, folded) for a, b in [_neighbours(folded, s)]}
+        return {f"{folded[s:e]}{' ' * (e - s < MIN_STEM)}\n{a}\n{b}"
+                for s, e, _ in hits(lex, folded) for a, b in [_neighbours(folded, s)]}
 
     seen = (_entries(once.where("_y = 1"), contexts).groupBy(F.split_part("entry", F.lit("\n"), F.lit(1)).alias("s"))
             .count().where(F.col("count") >= min_docs).collect())

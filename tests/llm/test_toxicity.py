@@ -123,6 +123,15 @@ def test_all_exceptions_stay(spark):
     assert len(lex.exceptions) > 5000 and set(forms) <= set(lex.exceptions)
 
 
+def test_short_words_match_whole(spark):
+    import random
+    rnd = random.Random(4)
+    bad = [f"{words(rnd, 10)} {rnd.choice(['vog', 'VOG', 'v0g', 'xu'])} {words(rnd, 10)}" for _ in range(60)]
+    lex = learned(spark, [words(rnd, 30) + " vogabel" for _ in range(300)], bad)
+    assert {s for s, _ in lex.stems} == {"vog ", "xu "}
+    assert found("a vog, vogabel, XU", lex) == [("vog", dict(lex.stems)["vog "]), ("xu", dict(lex.stems)["xu "])]
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     got = op7_toxicity(spark, d)
