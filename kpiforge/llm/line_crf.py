@@ -29,6 +29,7 @@ N_LINE = 13  # features of a line
 N_NODE = 3 * N_LINE  # those of the line, of the one before and of the one after
 BLOCK = 256  # texts whose lines are laid side by side
 MAX_FIT_LINES = 256
+FIT_RUN = 64  # lines that are taken together from a longer text
 
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 
@@ -179,25 +180,31 @@ def fit_field(features: list[np.ndarray], labels: list[np.ndarray], rounds: int
     return Field(tuple(theta[:N_NODE].tolist()), (tuple(e[0]), tuple(e[1])))
 
 
+def _fit_lines(lines: int) -> np.ndarray:
+    """The lines of a text to learn from: all, or of more than MAX_FIT_LINES
+    that many in runs of FIT_RUN, spread evenly from the first line to the last."""
+    if lines <= MAX_FIT_LINES:
+        return np.arange(lines)
+    starts = np.linspace(0, lines - FIT_RUN, MAX_FIT_LINES // FIT_RUN).astype(int)
+    return (starts[:, None] + np.arange(FIT_RUN)).ravel()
+
+
 def learn(labelled: DataFrame, rounds: int = 120) -> Field | None:
     """The field learned from ``labelled`` (text, label 0 or 1, weight: the
     documents that a row stands for); nothing if one label is missing.
 
-    Texts of more than MAX_FIT_LINES lines are not learned from.  The line
-    features of the others go through the driver, so the caller bounds the rows."""
-    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
-    picked = labelled.where(lines <= MAX_FIT_LINES)
-
+    The features of at most MAX_FIT_LINES lines of each text, taken over the
+    whole of it, go through the driver, so the caller bounds the rows."""
     def setup():
         def each(texts):
-            got = [line_features(t) for t in texts]
+            got = [(f[at], s[at]) for f, s in map(line_features, texts) for at in [_fit_lines(len(f))]]
             return pa.StructArray.from_arrays(
                 [pa.array([f.tobytes() for f, _ in got], pa.binary()), pa.array([s.tobytes() for _, s in got], pa.binary())],
                 ["f", "s"])
         return each
 
     feats = per_text(setup, "f binary, s binary")(text_bytes(F.col("text")))
-    got = picked.select("label", "weight", feats.alias("x")).select("label", "weight", "x.f", "x.s").toArrow().to_pylist()
+    got = labelled.where("text is not null").select("label", "weight", feats.alias("x")).select("label", "weight", "x.f", "x.s").toArrow().to_pylist()
     texts = [(np.frombuffer(r["f"], np.float32).reshape(-1, N_LINE), np.frombuffer(r["s"])) for r in got]
     y, weight = (np.array([r[c] for r in got]) for c in ("label", "weight"))
     if len(set(y.tolist())) < 2:

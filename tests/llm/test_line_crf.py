@@ -79,3 +79,15 @@ def test_held_out_accuracy(spark):
         assert sum(r["predicted"] == y for r in own) >= 0.95 * len(own)
     bad, good = ([r["score"] for r in both if r["quality"] == y] for y in (0, 1))
     assert np.mean([a < b for a in bad for b in good]) > 0.99  # area under the curve
+
+
+def test_long_documents_are_learned_from(spark):
+    at = C._fit_lines(1000)
+    assert len(set(at.tolist())) == C.MAX_FIT_LINES and at[0] == 0 and at[-1] == 999 and C._fit_lines(256).tolist() == list(range(256))
+    prose, junk = "Some plain words stand in this line of text and end here.", "BUY!! NOW!! BUY!! NOW!! BUY!! NOW!!"
+    rows = [("\n".join([prose] * (2 + k)), 1, 1.0) for k in range(20)] + [("\n".join([junk] * (300 + k)), 0, 1.0) for k in range(20)]
+    field = C.learn(spark.createDataFrame(rows, "text string, label int, weight double"))
+    assert field is not None  # the bad ones are all over MAX_FIT_LINES
+    docs = spark.createDataFrame([(1, prose), (0, junk), (2, "\n".join([junk] * 400))], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in C.score(docs, field).collect()}
+    assert score[1] > 0.5 > max(score[0], score[2])
