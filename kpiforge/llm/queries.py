@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_hmm, compression_rules, jaccard_join, kmeans_tree, line_crf, mixing, sentencepiece, sharding, token_rollup, toxicity
+from . import (alignment, byte_bpe, chat_hmm, compression_rules, jaccard_join, kmeans_tree, line_crf, merkle, mixing, packing, sentencepiece,
+               sharding, token_rollup, toxicity)
 from ..session import scratch_path
 from .labelled import labelled_texts
 from .storage import table, visible, written
@@ -220,6 +221,68 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+BYTE_FILE = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str, bpe_path: str = BYTE_FILE, model_path: str = PIECE_MODEL) -> DataFrame:
+    """Groups and links between two tokenizers' tokens in every document."""
+    return alignment.align(table(spark, sf_dir, "documents"), byte_bpe.load(bpe_path), alignment.load(model_path))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and whether it still verifies
+    after the line ends of every other document (by the CRC-32 of its id) were lost."""
+    lost = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.seal(table(spark, sf_dir, "documents"), lost).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _forest_sql(name: str, leaves: str) -> str:
+    """The levels of a forest over ``leaves`` (grp, idx, digest, folded), and its leaves followed up to the trees' roots."""
+    run = f"partition by grp, level, idx // {merkle.FAN} order by idx rows between"
+    return f"""{name}_nodes(grp, level, idx, digest, n) as (select grp, 0, idx, digest, count(*) over (partition by grp) from {leaves}
+    union all select grp, level + 1, idx // {merkle.FAN}, sha256(string_agg(digest, '' order by idx)), any_value((n + {merkle.FAN - 1}) // {merkle.FAN})
+    from {name}_nodes where n > 1 group by grp, level, idx // {merkle.FAN}),
+{name}_runs as (select grp, level, idx, coalesce(string_agg(digest, '') over ({run} unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(digest, '') over ({run} 1 following and unbounded following), '') as r from {name}_nodes where n > 1),
+{name}_up(grp, leaf, level, idx, folded, proof) as (select grp, idx, 0, idx, folded, '' from {leaves}
+    union all select u.grp, u.leaf, u.level + 1, u.idx // {merkle.FAN}, sha256(l || folded || r), proof || l || r
+    from {name}_up u join {name}_runs s on u.grp = s.grp and u.level = s.level and u.idx = s.idx),
+{name}_tops as (select grp, level, digest from {name}_nodes where n = 1),
+{name} as (select u.grp, u.leaf as idx, t.digest as top, folded, proof from {name}_up u join {name}_tops t on u.grp = t.grp and u.level = t.level)"""
+
+
+def _op12_sql() -> str:
+    def leaf(text: str) -> str:
+        fields = [f"case when {c} is null then '-' else strlen({c}::varchar) || ':' || {c}::varchar end" for c in (*merkle.FIELDS[:-1], text)]
+        return f"sha256({' || '.join(fields)})"
+
+    return f"""with recursive bits(n, c, k) as (select range, range, 0 from range(256) union all
+    select n, case when c % 2 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, k + 1 from bits where k < 8),
+crc as (select list(c order by n) as t from bits where k = 8),
+docs as (select coalesce('s' || source, '') as grp, doc_id, {leaf("text")} as digest, case when coalesce(list_reduce(
+    [4294967295::bigint] || [ascii(c)::bigint for c in string_split(doc_id::varchar, '')],
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])) % 2 = 1, false) then {leaf("replace(text, chr(10), '')")} else {leaf("text")} end as folded
+    from documents, crc),
+leaves as (select *, row_number() over (partition by grp order by doc_id nulls first, digest) - 1 as idx from docs),
+{_forest_sql("trees", "leaves")},
+subroots as (select '' as grp, grp as source, digest, digest as folded, row_number() over (order by grp) - 1 as idx from trees_tops),
+{_forest_sql("roots", "subroots")},
+climb(source, leaf, level, idx, folded) as (select t.grp, t.idx, 0, s.idx, t.folded from trees t join subroots s on t.grp = s.source
+    union all select c.source, c.leaf, c.level + 1, c.idx // {merkle.FAN}, sha256(l || folded || r)
+    from climb c join roots_runs s on c.level = s.level and c.idx = s.idx)
+select l.doc_id, l.digest as leaf, t.top as subroot, r.top as root, sha256(t.proof || r.proof) as proof_sha256, c.folded as folded_root,
+    c.folded = r.top as verified
+from leaves l join trees t on l.grp = t.grp and l.idx = t.idx join subroots s on s.source = l.grp join roots r on r.idx = s.idx
+join climb c on c.source = l.grp and c.leaf = l.idx join roots_tops o on o.level = c.level"""
+
+
+def op13_packing(spark: SparkSession, sf_dir: str, bpe_path: str = BYTE_FILE) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe.load(bpe_path))
+
+
 def _ready(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,8 +292,10 @@ def _ready(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _ready(f) for f in (op1_kmeans_tree, op2_sentencepiece, op3_mixing, op4_token_rollup, op5_quality_crf, op6_chat_hmm, op7_toxicity, op8_jaccard_join, op9_quality_rules, op10_sharding)}
+    every = (op1_kmeans_tree, op2_sentencepiece, op3_mixing, op4_token_rollup, op5_quality_crf, op6_chat_hmm, op7_toxicity,
+             op8_jaccard_join, op9_quality_rules, op10_sharding, op11_alignment, op12_merkle, op13_packing)
+    return {f.__name__: _ready(f) for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": _op3_sql()}
+    return {"op3_mixing": _op3_sql(), "op12_merkle": _op12_sql()}
