@@ -44,11 +44,9 @@ def ab_summary(ab: DataFrame, value: str = "order_revenue") -> DataFrame:
     """count, mean, std (n-1), exact median, min, max per quarter and group."""
     by = [*YQ, "group_id"]
     ab = ab.select(*by, F.col(value).cast("double").alias("_x")).checkpoint(eager=True)
-    g = ab.groupBy(*by).agg(
-        F.count("_x").alias("n"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
-        F.min("_x").alias("min"), F.max("_x").alias("max"))
-    med = percentiles(ab, by, "_x", {"median": 0.5})
-    return null_safe_join(g, med, by, "left").select(*by, "n", "mean", "std", "median", "min", "max")
+    return percentiles(ab, by, "_x", {"median": 0.5}, also={
+        "n": F.count("_x"), "mean": F.avg("_x"), "std": F.stddev_samp("_x"), "min": F.min("_x"),
+        "max": F.max("_x")}).select(*by, "n", "mean", "std", "median", "min", "max")
 
 
 def _moments(ab: DataFrame, x: Column) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import share
 from .fact import delivered, scope
-from .percentiles import null_safe_join, percentiles, percentiles_of_counts
+from .percentiles import percentiles, percentiles_approx
 
 YQ = ["year", "quarter"]
 
@@ -56,17 +56,6 @@ def late_value() -> Column:
     return F.when(F.col("on_time_flag") == 1, F.lit(0.0)).otherwise(F.lit(1.0))
 
 
-def by_lead_time(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Scoped fact rows summed up by (``by``, lead time), written once: rates,
-    sums and exact percentiles of a group all come from it, so the fact is
-    read once and the groups stay spread over the lead times."""
-    v = on_time_value()
-    return rows.groupBy(*by, "lead_time_days").agg(
-        F.sum("price").alias("revenue"), F.sum(v).alias("on_time"), F.count(v).alias("n_flag"),
-        F.count("on_time_flag").alias("n_with_estimate"),
-        F.count(F.lit(1)).alias("n_rows")).checkpoint(eager=True)
-
-
 # ---------------------------------------------------------------------------
 # O-38 / O-39 revenue
 # ---------------------------------------------------------------------------
@@ -116,9 +105,11 @@ def on_time_rate(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str) ->
 
 
 def lead_time_pctl(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str,
-                   p: float = 0.9, out: str = "lead_time_p90") -> DataFrame:
-    """Exact P90 per quarter, from the counts of the distinct lead times."""
-    return percentiles(scoped_fact(fact, cal, cust, city), YQ, "lead_time_days", {out: p})
+                   p: float = 0.9, out: str = "lead_time_p90", approx: bool = False) -> DataFrame:
+    """P90 per quarter: exact, or with ``approx`` by a mergeable sketch, which
+    reads the fact once and adds the number of lead times, ``n_rows``."""
+    rows = scoped_fact(fact, cal, cust, city)
+    return (percentiles_approx if approx else percentiles)(rows, YQ, "lead_time_days", {out: p})
 
 
 # ---------------------------------------------------------------------------
@@ -158,13 +149,10 @@ def category_share(fact: DataFrame, cal: DataFrame, cust: DataFrame, prod: DataF
 # ---------------------------------------------------------------------------
 def fact_kpis(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str,
               p: float = 0.9) -> DataFrame:
-    """Revenue, P90 and on-time rate from ONE scan of the scoped fact (the
-    reference scans it once per view)."""
-    pre = by_lead_time(scoped_fact(fact, cal, cust, city), YQ)
-    g = pre.groupBy(*YQ).agg(F.sum("revenue").alias("revenue_sp"),
-                             (F.sum("on_time") / F.sum("n_flag")).alias("on_time_rate"))
-    pct = percentiles_of_counts(pre, YQ, "lead_time_days", "n_rows", {"lead_time_p90": p})
-    return null_safe_join(g, pct, YQ, "left").select(*YQ, "revenue_sp", "lead_time_p90", "on_time_rate")
+    """Revenue, P90 and on-time rate of the scoped fact; the sums and the
+    percentile's sketch come from one scan."""
+    return percentiles(scoped_fact(fact, cal, cust, city), YQ, "lead_time_days", {"lead_time_p90": p},
+                       also={"revenue_sp": F.sum("price"), "on_time_rate": F.avg(on_time_value())})
 
 
 def kpi_quarter(fact: DataFrame, cal: DataFrame, cust: DataFrame, orders: DataFrame,
@@ -221,27 +209,48 @@ def avg_lateness(fact_dates: DataFrame) -> DataFrame:
 
 def shipping_profile(fact: DataFrame, cal: DataFrame, cust: DataFrame, city: str) -> DataFrame:
     """P50 / P90 / P99 lead time and coverage (rows with a flag, i.e. with
-    both delivery and estimate) per quarter, from one scan."""
-    pre = by_lead_time(scoped_fact(fact, cal, cust, city), YQ)
-    g = pre.groupBy(*YQ).agg(F.sum("n_rows").alias("n_rows"),
-                             F.sum("n_with_estimate").alias("n_with_estimate"))
+    both delivery and estimate) per quarter."""
     ps = {"lead_time_p50": 0.5, "lead_time_p90": 0.9, "lead_time_p99": 0.99}
-    pct = percentiles_of_counts(pre, YQ, "lead_time_days", "n_rows", ps)
-    return null_safe_join(g, pct, YQ, "left").select(
-        *YQ, *ps, "n_rows", "n_with_estimate", share("n_with_estimate", "n_rows").alias("coverage"))
+    g = percentiles(scoped_fact(fact, cal, cust, city), YQ, "lead_time_days", ps,
+                    also={"n_rows": F.count(F.lit(1)), "n_with_estimate": F.count("on_time_flag")})
+    return g.select(*YQ, *ps, "n_rows", "n_with_estimate", share("n_with_estimate", "n_rows").alias("coverage"))
 
 
 # ---------------------------------------------------------------------------
 # O-52 KPIs by quarter x category
 # ---------------------------------------------------------------------------
+MEASURES = ["revenue", "on_time_rate", "n_on_time_base", "lead_time_p50", "lead_time_p90"]
+
+
 def kpi_by_category(fact: DataFrame, cal: DataFrame, cust: DataFrame, prod: DataFrame,
-                    city: str) -> DataFrame:
-    """Revenue, on-time rate, P50/P90 lead time per (quarter, category)."""
-    by = [*YQ, "category"]
-    pre = by_lead_time(scoped_fact(fact, cal, cust, city, prod), by)
-    g = pre.groupBy(*by).agg(F.sum("revenue").alias("revenue"),
-                             (F.sum("on_time") / F.sum("n_flag")).alias("on_time_rate"),
-                             F.sum("n_with_estimate").alias("n_on_time_base"))
-    ps = {"lead_time_p50": 0.5, "lead_time_p90": 0.9}
-    pct = percentiles_of_counts(pre, by, "lead_time_days", "n_rows", ps)
-    return null_safe_join(g, pct, by, "left").select(*by, "revenue", "on_time_rate", "n_on_time_base", *ps)
+                    city: str, by: Sequence[str] = (*YQ, "category")) -> DataFrame:
+    """Revenue, on-time rate, P50/P90 lead time per group of ``by``: any of
+    year, quarter, category, and day (the delivery day's key)."""
+    rows = scoped_fact(fact, cal, cust, city, prod).withColumnRenamed("calendar_sk", "day")
+    return percentiles(rows, by, "lead_time_days", {"lead_time_p50": 0.5, "lead_time_p90": 0.9},
+                       also={"revenue": F.sum("price"), "on_time_rate": F.avg(on_time_value()),
+                             "n_on_time_base": F.count("on_time_flag")}).select(*by, *MEASURES)
+
+
+def slug(name: str) -> str:
+    """A column name from a group value: its words joined by underscores."""
+    return "_".join(name.lower().split())
+
+
+def pivoted(long: DataFrame, index: Sequence[str], on: str, values: Sequence[str],
+            measures: Sequence[str]) -> DataFrame:
+    """One row per ``index`` with a column ``<value>_<measure>`` for each of the
+    fixed ``values`` of ``on``: no pass to find the values, the columns are known
+    up front.  ``long`` has one row per (index, on); a missing one leaves NULLs;
+    other values of ``on`` are left out."""
+    got = long.groupBy(*index).pivot(on, list(values)).agg(*[F.first(m).alias(m) for m in measures])
+    return got.select(*index, *[F.col(f"`{v}_{m}`").alias(f"{slug(v)}_{m}") for v in values for m in measures])
+
+
+def unpivoted(wide: DataFrame, index: Sequence[str], on: str, values: Sequence[str],
+              measures: Sequence[str]) -> DataFrame:
+    """The rows that ``pivoted`` was made of; those with NULL measures only are
+    no rows."""
+    entries = F.array(*[F.struct(F.lit(v).alias(on), *[F.col(f"{slug(v)}_{m}").alias(m) for m in measures]) for v in values])
+    rows = wide.select(*index, F.inline(entries))
+    return rows.where(F.coalesce(*[F.col(m).cast("string") for m in measures]).isNotNull())
