@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import business_md5, is_distinct, lead_time_days, on_time_flag, to_day
@@ -96,6 +96,22 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"source repeats key {dup[0].asDict()}")
 
 
+def merge_action(change_cols: Sequence[str]) -> Column:
+    """insert / update / unchanged of a source row joined to its target row
+    (columns ``_t_*`` and ``_in_target``)."""
+    changed = F.lit(False)
+    for c in change_cols:
+        changed = changed | is_distinct(f"_t_{c}", c)
+    return (F.when(F.col("_in_target").isNull(), F.lit("insert"))
+            .when(changed, F.lit("update")).otherwise(F.lit("unchanged")))
+
+
+def merged_values(value_cols: Sequence[str], update_cols: Sequence[str]) -> list[Column]:
+    """The value columns after the row's ``action``; other actions keep the target's."""
+    sets = {c: ["insert", "update"] if c in update_cols else ["insert"] for c in value_cols}
+    return [F.when(F.col("action").isin(*sets[c]), F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in value_cols]
+
+
 def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_KEYS,
            change_cols: Sequence[str] = FACT_CHANGE_COLS, id_col: str = "event_id",
            check_unique: bool = True,
@@ -135,20 +151,10 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
     t = touched.select(id_col, *keys, *[F.col(c).alias(f"_t_{c}") for c in value_cols],
                        F.lit(True).alias("_in_target"))
     j = src.join(t, keys, "left")
-    changed = None
-    for c in change_cols:
-        d = is_distinct(f"_t_{c}", c)
-        changed = d if changed is None else (changed | d)
-    action = (F.when(F.col("_in_target").isNull(), F.lit("insert"))
-              .when(changed, F.lit("update"))
-              .otherwise(F.lit("unchanged")))
-    j = j.withColumn("action", action)
+    j = j.withColumn("action", merge_action(change_cols))
     if update_cols is None:
         update_cols = [c for c in value_cols if c not in LOOKUP_COLS]
-    from_src = {c: F.col("action").isin("insert", "update") if c in update_cols else F.col("action") == "insert"
-                for c in value_cols}
-    merged = j.select(id_col, *keys, "action", *[
-        F.when(from_src[c], F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in value_cols])
+    merged = j.select(id_col, *keys, "action", *merged_values(value_cols, update_cols))
     merged = merged.checkpoint(eager=True)  # batch-sized; the table and the actions read it
     inserts = merged.filter(F.col("action") == "insert").drop(id_col)
     numbered = running_total(inserts, order_by=keys, out="_rank")
@@ -178,17 +184,19 @@ def build_fact(orders: DataFrame, items: DataFrame, dim_customer: DataFrame,
 # ---------------------------------------------------------------------------
 def enrich_fact(fact: DataFrame, items: DataFrame, dim_seller: DataFrame,
                 dim_external: DataFrame, dim_customer: DataFrame,
-                dim_calendar: DataFrame) -> DataFrame:
+                dim_calendar: DataFrame, check_unique: bool = True) -> DataFrame:
     """Fill ``seller_sk`` (the item's seller) and ``external_sk`` (delivery day
     x customer city) with left lookups; misses stay NULL.
 
     One chain of joins on the fact rows: the item lookup is the only join on
     the fact's own keys (``items`` must hold one row per key, e.g. the latest
-    versions; a repeated key is an error); the dimension lookups are left to AQE (broadcast by measured
+    versions; a repeated key is an error, unless ``check_unique`` is off for items that are known
+    to be deduplicated); the dimension lookups are left to AQE (broadcast by measured
     size, shuffle otherwise)."""
     cols = fact.columns
     seller_of = items.select(*FACT_KEYS, "seller_id")
-    assert_unique(seller_of, FACT_KEYS)
+    if check_unique:
+        assert_unique(seller_of, FACT_KEYS)
     j = (fact.drop("seller_sk", "external_sk")
          .join(seller_of, FACT_KEYS, "left")
          .join(dim_seller.select("seller_id", "seller_sk"), "seller_id", "left")

@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import norm_lower
+from ..sources.publish import NULL_PARTITION, folder_name, folders, move, publish, remove, replace_files, stage
 
 # ---------------------------------------------------------------------------
 # Thresholds and actions (the specs leave "x%" open; these are
@@ -123,18 +124,82 @@ class QuarantineAbort(ValueError):
     pass
 
 
+def _observed(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with each row's ``reason``, and counts per reason taken while it is written."""
+    seen = Observation()
+    tagged = df.withColumn("reason", quarantine_reason(rules))
+    counts = [F.count_if(F.col("reason") == F.lit(name)).alias(name) for name in rules]
+    return tagged.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts), seen
+
+
+def _limits(seen: Observation, rules: Mapping[str, Column], threshold: float | Mapping[str, float]) -> dict[str, int]:
+    """Rows per rule; raises where a rule's share of all rows is over its threshold."""
+    got = seen.get
+    for name in rules:
+        limit = threshold if isinstance(threshold, float) else threshold.get(name, 0.0)
+        if got["_rows"] and got[name] / got["_rows"] > limit:
+            raise QuarantineAbort(f"{name}: {got[name]} of {got['_rows']} rows, limit {limit:.2%}")
+    return got
+
+
 def quarantine(df: DataFrame, rules: Mapping[str, Column], sink: str,
-               threshold: float | Mapping[str, float] = 0.01) -> Split:
-    """Append the rows that break a rule to the quarantine table at ``sink``
-    (with their reason) and return the split.  Where a rule's share of all
-    rows is over its ``threshold`` nothing is written and the load aborts."""
+               threshold: float | Mapping[str, float] = 0.01, load_col: str = "_source_file") -> Split:
+    """Put the rows that break a rule, with their reason, into the quarantine
+    table at ``sink`` and return the split.
+
+    ``df`` is read once: the counts are observed while the rows are staged.
+    Where a rule's share of all rows is over its ``threshold`` nothing is published and
+    the load aborts.  The rows replace what the same loads (values of
+    ``load_col``, by which the sink is partitioned) had put there, also where a load
+    breaks no rule any more; without that column they replace the whole sink."""
+    spark = df.sparkSession
+    parts = [load_col] if load_col in df.columns else []
+    rows, seen = _observed(df, rules)
+    loads = Observation()
+    if parts:  # the loads of this call, bounded by the files of one load
+        rows = rows.observe(loads, F.collect_set(F.coalesce(load_col, F.lit(""))).alias("loads"))
+    staged = stage(rows.where(F.col("reason").isNotNull()), sink, parts)
+    try:
+        got = _limits(seen, rules, threshold)
+    except QuarantineAbort:
+        remove(spark, staged)
+        raise
+    if parts:
+        mine = [folder_name(spark, load_col, v) for v in loads.get["loads"]]
+        publish(spark, staged, sink, [f for f in mine if f not in folders(spark, staged)])
+    else:
+        replace_files(spark, staged, sink)
+    counts = spark.createDataFrame([(name, got[name], got["_rows"]) for name in rules], CHECK_SCHEMA)
     split = split_quarantine(df, rules)
-    for c in split.counts.collect():  # one row per rule
-        limit = threshold if isinstance(threshold, float) else threshold.get(c["check"], 0.0)
-        if c["n_rows"] and c["violations"] / c["n_rows"] > limit:
-            raise QuarantineAbort(f"{c['check']}: {c['violations']} of {c['n_rows']} rows, limit {limit:.2%}")
-    split.quarantine.write.mode("append").parquet(sink)
-    return split
+    return Split(split.good, split.quarantine, counts)
+
+
+def load_checked(df: DataFrame, rules: Mapping[str, Column], table: str, sink: str,
+                 threshold: float | Mapping[str, float] = 0.01, load_col: str = "_source_file") -> dict[str, int]:
+    """Load rows into ``table`` and the ones that break a rule into the
+    quarantine at ``sink``, from one scan and one write of ``df``.
+
+    Both are partitioned by load, the quarantine by reason as well.  Counts are observed on
+    the write; over a threshold nothing is published.  Running a load again
+    replaces its rows in both.  Returns the rows in all (``_rows``) and by rule."""
+    spark = df.sparkSession
+    rows, seen = _observed(df, rules)
+    staged = stage(rows, table, [load_col, "reason"])
+    try:
+        got = _limits(seen, rules, threshold)
+    except QuarantineAbort:
+        remove(spark, staged)
+        raise
+    good = f"reason={NULL_PARTITION}"
+    for load in folders(spark, staged):
+        remove(spark, f"{sink}/{load}")
+        reasons = folders(spark, f"{staged}/{load}")
+        for reason in reasons:
+            move(spark, f"{staged}/{load}/{reason}", f"{table}/{load}" if reason == good else f"{sink}/{load}/{reason}")
+        if good not in reasons:
+            remove(spark, f"{table}/{load}")
+    remove(spark, staged)
+    return got
 
 
 def order_date_rules() -> dict[str, Column]:
@@ -144,20 +209,56 @@ def order_date_rules() -> dict[str, Column]:
 # ---------------------------------------------------------------------------
 # O-82 orphans
 # ---------------------------------------------------------------------------
-def dq_orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Per SK column, fact rows whose non-NULL key has no dim row (left anti)."""
-    parts = []
+#: Keys of one bitmap, and bitmaps (4 KB each) that are broadcast at most: 2^29 keys, 64 MB
+BITMAP_KEYS, BROADCAST_BITMAPS = 32_768, 16_384
+
+
+def key_bitmaps(dim: DataFrame, sk: str) -> DataFrame:
+    """A dimension's surrogate keys as bitmaps: one row of 512 words per 32,768
+    keys (dense keys fill them; each dimension row is one bit)."""
+    bits = dim.where(F.col(sk).isNotNull()).groupBy(F.bitmap_bucket_number(sk).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(sk)).alias("_bits"))
+    # bytes to words once for each bitmap, so that a test is one array access
+    word = lambda i: F.conv(F.hex(F.substring(F.col("_bits"), i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+    return bits.select("_bucket", F.transform(F.sequence(F.lit(0), F.lit(BITMAP_KEYS // 64 - 1)), word).alias("_words"))
+
+
+def _has_key(sk: str, words: str) -> Column:
+    """Whether the key's bit is set in its bitmap: bit ``p`` of a bitmap is bit
+    p % 8 of byte p / 8, and a word's first byte is its highest."""
+    at = F.bitmap_bit_position(sk)
+    bit = (F.lit(7) - F.expr(f"bitmap_bit_position({sk}) div 8 % 8")) * 8 + at % 8
+    return F.getbit(F.get(F.col(words), F.expr(f"bitmap_bit_position({sk}) div 64").cast("int")), bit.cast("int")) == 1
+
+
+def with_orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """``fact`` with a flag ``orphan_<sk>`` for each key column: a non-NULL key
+    that its dimension lacks.  The dimensions' bitmaps are broadcast, so the
+    fact rows stay where they are; a dimension of more than BROADCAST_BITMAPS
+    bitmaps is joined by its keys instead."""
+    out = fact
     for sk, dim in dims.items():
-        orphans = fact.select(sk).filter(F.col(sk).isNotNull()).join(
-            dim.select(sk), sk, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations"))
-                     .select(F.lit(sk).alias("sk_column"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        maps = key_bitmaps(dim, sk).checkpoint(eager=True)
+        if maps.count() <= BROADCAST_BITMAPS:
+            maps = F.broadcast(maps.withColumnsRenamed({"_bucket": f"_b_{sk}", "_words": f"_w_{sk}"}))
+            out = out.join(maps, F.bitmap_bucket_number(sk) == F.col(f"_b_{sk}"), "left")
+            known = F.coalesce(_has_key(sk, f"_w_{sk}"), F.lit(False))
+        else:
+            keys = dim.select(F.col(sk).alias(f"_b_{sk}")).distinct().withColumn(f"_w_{sk}", F.lit(True))
+            out = out.join(keys, F.col(sk) == F.col(f"_b_{sk}"), "left")
+            known = F.coalesce(F.col(f"_w_{sk}"), F.lit(False))
+        out = out.withColumn(f"orphan_{sk}", F.col(sk).isNotNull() & ~known).drop(f"_b_{sk}", f"_w_{sk}")
     return out
 
 
+def dq_orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Per SK column, fact rows whose non-NULL key has no dimension row: all
+    columns in one pass over the fact."""
+    one = with_orphans(fact.select(*dims), dims).agg(*[F.count_if(F.col(f"orphan_{sk}")).alias(sk) for sk in dims])
+    entries = F.array(*[F.struct(F.lit(sk).alias("sk_column"), F.col(sk).alias("violations")) for sk in dims])
+    return one.select(F.inline(entries))
+
+
 # ---------------------------------------------------------------------------
 # O-83 reconciliation
 # ---------------------------------------------------------------------------

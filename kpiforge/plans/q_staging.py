@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from ..operators import dims, kpis
 from ..operators.fact import fact_rows, latest_items, upsert, upsert_counts
+from ..operators.merge import BucketedFact
+from ..operators.refresh import KpiTables
 from ..session import scratch_path
 from ..sources import staging as S
 from ..sources import testdata
 from ..sources.contracts import ORDERS
 from . import oracle as O
-from .catalog import present, register, register_raw
+from .catalog import CITY, present, register, register_raw
 from .star import Star, dim_seller_of, latest_items_of, star_for
 
 TS_FMT = "'%Y-%m-%dT%H:%M:%S'"
@@ -76,11 +78,12 @@ def dedup_items(s: Star) -> DataFrame:
 
 @register("load_manifest", O.q(f"""
 SELECT 'lineitem.parquet' AS source_file, count(*) AS n_rows,
-       bit_xor(CAST(('0x' || substr({_ITEMS_MD5}, 1, 15)) AS BIGINT)) AS checksum
+       bit_xor(CAST(('0x' || substr({_ITEMS_MD5}, 1, 15)) AS BIGINT)) AS checksum,
+       CAST(sum(CAST(('0x' || substr({_ITEMS_MD5}, 1, 15)) AS HUGEINT)) % 1152921504606846976 AS BIGINT) AS hash_sum
 FROM items_raw
 """))
 def load_manifest(s: Star) -> DataFrame:
-    """O-08: rows and order-free checksum per loaded file."""
+    """O-08: rows and order-free checksums per loaded file."""
     return S.manifest(s.items)
 
 
@@ -104,6 +107,18 @@ def row_counts(s: Star) -> DataFrame:
                          "fact_events": s.fact})
 
 
+@register("row_counts_footers", O.q("""
+SELECT 'order_items_raw' AS table_name, count(*) AS n_rows FROM items_raw
+UNION ALL SELECT 'fact_events', count(*) FROM fact
+"""))
+def row_counts_footers(s: Star) -> DataFrame:
+    """O-09: row counts of the two largest tables from their files' footers,
+    after being saved (O-11); no column chunk is read."""
+    spark, base = s.fact.sparkSession, scratch_path(s.fact.sparkSession, "counted")
+    return S.footer_counts(spark, {name: S.save(df, base, "core", name, 1, view=False)
+                                   for name, df in (("order_items_raw", s.items), ("fact_events", s.fact))})
+
+
 _TS_COLS = ["order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"]
 
 
@@ -151,6 +166,45 @@ def scan_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_source(spark, path, ORDERS)
 
 
+# planted faults in the lines of the orders: a text that is no date, a field too many, two too few
+_FAULT = """CASE WHEN CAST(customer_id AS BIGINT) % 7 = 0 THEN 'bad order_approved_at'
+     WHEN CAST(customer_id AS BIGINT) % 11 = 0 OR CAST(customer_id AS BIGINT) % 13 = 0 THEN 'field count' END"""
+
+
+def _order_lines(orders: DataFrame) -> DataFrame:
+    """The orders as CSV lines, dealt to four files by ``f``, each with a header line."""
+    fault = F.expr(_FAULT)
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ORDERS.names}
+    cells["order_approved_at"] = F.when(fault.startswith("bad"), F.lit("soon")).otherwise(cells["order_approved_at"])
+    whole = F.concat_ws(",", *cells.values())
+    line = (F.when(~(fault == "field count"), whole).when(F.expr("CAST(customer_id AS BIGINT) % 11 = 0"), F.concat(whole, F.lit(",more")))
+            .when(fault == "field count", F.concat_ws(",", *list(cells.values())[:-2])).otherwise(whole))
+    rows = orders.select(F.expr("CAST(CAST(customer_id AS BIGINT) % 4 AS INT)").alias("f"), F.lit(1).alias("at"), line.alias("line"))
+    heads = orders.sparkSession.range(4).select(F.col("id").cast("int").alias("f"), F.lit(0), F.lit(",".join(ORDERS.names)))
+    return rows.unionAll(heads).repartitionByRange(4, "f").sortWithinPartitions("f", "at").select("f", "line")
+
+
+@register_raw("scan_rejects", O.q(f"""
+SELECT coalesce({_FAULT}, 'kept') AS outcome, count(*) AS n_rows,
+       count(DISTINCT order_id) FILTER (WHERE {_FAULT} IS NULL) AS n_orders,
+       count(DISTINCT CAST(customer_id AS BIGINT) % 4) AS n_files
+FROM orders_raw GROUP BY 1
+"""))
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-01: lines with planted faults, read through the orders contract; each is
+    kept or in the reject table with its reason."""
+    s = star_for(spark, sf_dir)
+    path = scratch_path(spark, "orders-lines")
+    _order_lines(s.orders).write.partitionBy("f").text(path)
+    got = S.read_checked(spark, f"{path}/*", ORDERS)
+    rejects = scratch_path(spark, "rejects")
+    got.rejected.write.partitionBy("_source_file").parquet(rejects)
+    rejected = spark.read.parquet(rejects).select("reason", F.lit(None).cast("string").alias("order_id"), "_source_file")
+    both = got.kept.select(F.lit("kept").alias("reason"), "order_id", "_source_file").unionAll(rejected)
+    return both.groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_orders"), F.count_distinct("_source_file").alias("n_files"))
+
+
 @register_raw("reload_idempotent", O.q("""
 SELECT 'orders_a.csv' AS source_file, count(*) AS n_rows FROM orders_raw
 UNION ALL SELECT 'orders_b.csv', count(*) FROM orders_raw
@@ -317,6 +371,55 @@ def fact_upsert_table(s: Star) -> DataFrame:
                    nullable_ints=["calendar_sk", "customer_sk", "product_sk", "seller_sk"])
 
 
+def _first_load(s: Star) -> tuple[DataFrame, DataFrame]:
+    """The two loads with the planted NULL customers and filled sellers of the first."""
+    old, new_rows = _two_loads(s)
+    old = old.withColumn("customer_sk", F.when(F.col("order_item_id") != 7, F.col("customer_sk"))).withColumn(
+        "seller_sk", F.col("product_sk"))
+    return old, new_rows
+
+
+def _bucketed(s: Star, rows: DataFrame) -> BucketedFact:
+    spark = s.fact.sparkSession
+    path = scratch_path(spark, "warehouse/fact_bucketed")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return BucketedFact(spark, "kf_fact_" + path.rsplit("-", 1)[1], path, n).create(rows)
+
+
+@register("fact_merge_bucketed", _UPSERT_TABLE_SQL)
+def fact_merge_bucketed(s: Star) -> DataFrame:
+    """O-35 in place: the same two loads merged into a bucketed table; the
+    table's rows are never shuffled, untouched buckets never read."""
+    old, new_rows = _first_load(s)
+    fact = _bucketed(s, old)
+    fact.merge(new_rows)
+    d = fact.read().select("event_id", "order_id", "order_item_id", "price", "lead_time_days", "calendar_sk",
+                           "customer_sk", "product_sk", "seller_sk", "_row_md5")
+    return present(d, money=["price"], rates=["lead_time_days"],
+                   nullable_ints=["calendar_sk", "customer_sk", "product_sk", "seller_sk"])
+
+
+_REFRESH_SQL = _UPSERT_TABLE_SQL[:_UPSERT_TABLE_SQL.index("merged AS (")] + f"""
+merged AS (SELECT price, lead_time_days, on_time_flag, calendar_sk, customer_sk FROM sold
+  UNION ALL SELECT price, lead_time_days, on_time_flag, calendar_sk, customer_sk FROM first_load ANTI JOIN sold USING (order_id, order_item_id))
+SELECT {O.yq()}, {O.money('sum(price)', 'revenue_sp')}, {O.r6('quantile_cont(lead_time_days, 0.9)', 'lead_time_p90')},
+       {O.r6('avg(CAST(on_time_flag AS DOUBLE))', 'on_time_rate')}
+FROM merged JOIN dim_calendar USING (calendar_sk) JOIN dim_customer USING (customer_sk) WHERE customer_city = '{CITY}'
+GROUP BY year, quarter
+"""
+
+
+@register("kpi_refresh", _REFRESH_SQL)
+def kpi_refresh(s: Star) -> DataFrame:
+    """O-46 + O-11: the quarterly KPI tables of a first load, refreshed by the
+    changes of a second one; equal to the KPIs computed from the whole merged fact."""
+    old, new_rows = _first_load(s)
+    fact = _bucketed(s, old)
+    tables = KpiTables(s.fact.sparkSession, scratch_path(s.fact.sparkSession, "kpi-tables"), s.cal, s.customer, CITY).build(fact.read())
+    tables.refresh(fact.merge(new_rows))
+    return present(tables.kpis(), ints=["year", "quarter"], money=["revenue_sp"], rates=["lead_time_p90", "on_time_rate"])
+
+
 @register("saved_versions", O.q("""
 SELECT v AS version, year, quarter, CAST(sum(price * v) AS DOUBLE) AS revenue
 FROM fact JOIN dim_calendar USING (calendar_sk), (VALUES (1), (2)) t(v) GROUP BY v, year, quarter

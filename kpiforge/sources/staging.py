@@ -7,14 +7,17 @@ O-11 save, O-16 coerce_dates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import scratch_path
 from ..functions.columns import coerce_ts, row_md5
 from .contracts import CATEGORY_TRANSLATION, NA_TOKENS, PRODUCTS, Contract
+from .publish import folder_name, folders, publish, remove, stage
 
 
 class ContractError(ValueError):
@@ -53,6 +56,48 @@ def read_source(spark: SparkSession, path: str, contract: Contract) -> DataFrame
     return raw.select(*[_typed(c, t) for c, t in contract.columns])
 
 
+@dataclass
+class Checked:
+    """A scan split by what the contract says of each record."""
+    rows: DataFrame       # contract columns, _source_file, _reason (NULL: kept), _record (rejected ones' text)
+
+    @property
+    def kept(self) -> DataFrame:
+        return self.rows.where(F.col("_reason").isNull()).drop("_reason", "_record")
+
+    @property
+    def rejected(self) -> DataFrame:
+        """_source_file, reason, record of each rejected line."""
+        return self.rows.where(F.col("_reason").isNotNull()).select(
+            "_source_file", F.col("_reason").alias("reason"), F.col("_record").alias("record"))
+
+
+def read_checked(spark: SparkSession, path: str, contract: Contract) -> Checked:
+    """``read_source`` that drops and hides nothing: every record is either kept,
+    all of it typed, or rejected with its text and the first reason:
+
+    * ``field count``: more or fewer fields than the header names, or broken quotes;
+    * ``bad <column>``: a text that isn't missing and can't be read as the column's type.
+
+    Records of a file are its lines but for the header and blank ones; kept and
+    rejected ones add up to them.  All files must have the same header."""
+    options = {"header": "true", "mode": "PERMISSIVE", "escape": '"', "multiLine": str(contract.multiline).lower(),
+               "columnNameOfCorruptRecord": "_corrupt", "enforceSchema": "false", "columnPruning": "false"}
+    names = spark.read.option("header", "true").option("escape", '"').csv(path).columns
+    if missing := [c for c in contract.names if c not in names]:
+        raise ContractError(f"{path}: missing columns {missing} for {contract.table}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_corrupt"]])
+    raw = spark.read.options(**options).schema(schema).csv(path)
+    reason = F.lit(None).cast("string")
+    for c, t in reversed(contract.columns):
+        there = F.col(c).isNotNull() & ~F.col(c).isin(*NA_TOKENS)
+        reason = F.when(there & _typed(c, t).isNull(), F.lit(f"bad {c}")).otherwise(reason)
+    reason = F.when(F.col("_corrupt").isNotNull(), F.lit("field count")).otherwise(reason)
+    record = F.coalesce("_corrupt", F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names])))
+    return Checked(raw.select(*[_typed(c, t) for c, t in contract.columns], F.col("_metadata.file_name").alias("_source_file"),
+                              reason.alias("_reason"), F.when(reason.isNotNull(), record).alias("_record")))
+
+
 def read_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """O-02: products inner-joined to the category translation.
 
@@ -91,40 +136,25 @@ def coerce_dates(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # O-06 idempotent per-file load
 # ---------------------------------------------------------------------------
-def _drop_partition(spark: SparkSession, table_path: str, column: str, value: str) -> None:
-    jvm = spark.sparkContext._jvm
-    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
-    p = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{column}={escaped}")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def replace_by_source(df: DataFrame, table_path: str, source_files: Iterable[str] | None = None,
                       partition_col: str = "_source_file") -> None:
     """Replace exactly the rows of the given source file(s) in a staging table.
 
-    ``df`` is evaluated once, into a scratch table.  Rows of a file that isn't
-    listed in ``source_files`` are an error, before anything changes.  The
-    listed files' partitions are then swapped by a dynamic partition overwrite,
-    and last the partitions of listed files without rows are dropped."""
+    ``df`` is evaluated and written once, beside the table.  Rows of a file that
+    isn't listed in ``source_files`` are an error, before anything changes; then the
+    written partitions take the place of the old ones, and those of listed
+    files without rows go."""
     spark = df.sparkSession
-    scratch = scratch_path(spark, "replace")
-    df.write.parquet(scratch)
-    rows = spark.read.schema(df.schema).parquet(scratch)
-    empty = []
+    staged = stage(df, table_path, [partition_col])
+    drop = []
     if source_files is not None:
-        wanted = list(source_files)
-        # one row per listed file, and the first other one if there is any
-        found = [r[0] for r in rows.select(partition_col).distinct()
-                 .orderBy(F.col(partition_col).isin(*wanted)).limit(len(wanted) + 1).collect()]
+        wanted = [folder_name(spark, partition_col, f) for f in source_files]
+        found = folders(spark, staged)
         if other := [f for f in found if f not in wanted]:
+            remove(spark, staged)
             raise ValueError(f"rows of files that are not replaced: {other}")
-        empty = [f for f in wanted if f not in found]
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(table_path))
-    for f in empty:
-        _drop_partition(spark, table_path, partition_col, f)
+        drop = [f for f in wanted if f not in found]
+    publish(spark, staged, table_path, drop)
 
 
 # ---------------------------------------------------------------------------
@@ -151,11 +181,13 @@ def dedup_latest(df: DataFrame, keys: list[str], by: list[str], latest: bool = T
 # O-08 load manifest
 # ---------------------------------------------------------------------------
 def manifest(df: DataFrame, source_col: str = "_source_file", hash_col: str = "_row_md5") -> DataFrame:
-    """Rows and an order-free checksum (XOR of the first 60 bits of each row
-    fingerprint) per source file."""
+    """Rows and two order-free checksums over the first 60 bits of each row
+    fingerprint per source file: their XOR, in which a pair of equal rows
+    cancels out, and their sum modulo 2^60, in which it doesn't."""
     h = F.conv(F.substring(F.col(hash_col), 1, 15), 16, 10).cast("bigint")
+    total = F.sum(h.cast("decimal(38,0)")) % F.lit(1 << 60).cast("decimal(38,0)")
     return (df.groupBy(F.col(source_col).alias("source_file"))
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("checksum")))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("checksum"), total.cast("bigint").alias("hash_sum")))
 
 
 # ---------------------------------------------------------------------------
@@ -171,6 +203,42 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Reads Parquet by the v2 reader, which can answer counts, minima and maxima from file footers.
+FOOTER_SETTINGS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+                   "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def from_footers(spark: SparkSession, path: str, *aggs: Column) -> Row:
+    """Whole-table COUNT(*), COUNT, MIN and MAX of a Parquet table, answered
+    from its file footers: no column chunk is read."""
+    with _settings(spark, FOOTER_SETTINGS):
+        return spark.read.parquet(path).agg(*aggs).first()
+
+
+def footer_plan(spark: SparkSession, path: str, *aggs: Column) -> str:
+    """The plan of ``from_footers``, for tests and explanations."""
+    with _settings(spark, FOOTER_SETTINGS):
+        return spark.read.parquet(path).agg(*aggs)._jdf.queryExecution().executedPlan().toString()
+
+
+def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """O-09 for Parquet tables: (table_name, n_rows) from the footers; a row per table."""
+    rows = [(name, from_footers(spark, path, F.count(F.lit(1)))[0]) for name, path in paths.items()]
+    return spark.createDataFrame(rows, "table_name string, n_rows bigint")
+
+
 # ---------------------------------------------------------------------------
 # O-11 persist
 # ---------------------------------------------------------------------------
