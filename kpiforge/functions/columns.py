@@ -46,6 +46,13 @@ def norm_upper(c: ColumnOrName) -> Column:
     return F.trim(F.upper(_c(c)))
 
 
+def accent_blind(c: ColumnOrName) -> Column:
+    """O-18: the trimmed text under a collation for which case and accents don't
+    matter: ``==``, joins, grouping and ordering of it see `` São Paulo`` and
+    ``SAO PAULO`` as one.  The text itself stays as it is."""
+    return F.collate(F.trim(_c(c)), "UNICODE_CI_AI")
+
+
 # ---------------------------------------------------------------------------
 # O-15 / O-16 / O-17 dates
 # ---------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import business_md5, is_distinct, lead_time_days, on_time_flag, to_day
+from ..functions.columns import accent_blind, business_md5, is_distinct, lead_time_days, on_time_flag, to_day
 from ..sources.staging import dedup_latest
 from .keys import running_total
 
@@ -33,8 +33,12 @@ def delivered(df: DataFrame, status_col: str = "order_status") -> DataFrame:
     return df.filter(F.col(status_col) == F.lit("delivered"))
 
 
-def scope(df: DataFrame, city: str, city_col: str = "customer_city") -> DataFrame:
-    """Rows of one normalized city (the city text is compared as given)."""
+def scope(df: DataFrame, city: str, city_col: str = "customer_city", blind: bool = False) -> DataFrame:
+    """Rows of one normalized city.  The city text is compared as given, so the
+    filter reaches the scan; or, ``blind``, without regard to case, accents and blanks
+    around it, for texts that aren't normalized."""
+    if blind:
+        return df.filter(accent_blind(city_col) == accent_blind(F.lit(city)))
     return df.filter(F.col(city_col) == F.lit(city))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import accent_blind
 from ..operators import kpis, mix
 from ..sources.contracts import ORDERS
 from . import oracle as O
@@ -77,6 +78,29 @@ def customers_by_city(s: Star) -> DataFrame:
     return mix.customers_by_city(s.customer, STATE)
 
 
+# The customers' cities as people write them: as they are, in capitals with accents, or in small letters with one
+_SPELT = """CASE CAST(customer_id AS BIGINT) % 3 WHEN 0 THEN customer_city
+     WHEN 1 THEN replace(replace(upper(customer_city), 'A', 'Á'), 'O', 'Õ') ELSE replace(lower(customer_city), 'n', 'ñ') END"""
+
+
+@register("city_accent_blind", O.q(f"""
+SELECT u.customer_city AS city, count(*) AS customers, count(DISTINCT r.spelt) AS spellings,
+       count(*) FILTER (WHERE u.customer_city = '{CITY}') AS in_scope
+FROM (SELECT {_SPELT} AS spelt FROM customers_raw) r
+JOIN (SELECT DISTINCT customer_city FROM dim_customer) u ON strip_accents(lower(trim(r.spelt))) = strip_accents(u.customer_city)
+GROUP BY u.customer_city
+"""))
+def city_accent_blind(s: Star) -> DataFrame:
+    """O-18 by collation: city texts in several spellings joined to the cities of
+    the customer dimension without regard to case, accents and blanks."""
+    spelt = s.customers.select(F.expr(_SPELT).alias("spelt"))
+    cities = s.customer.select(F.col("customer_city").alias("city")).distinct()
+    both = spelt.join(cities, accent_blind("spelt") == accent_blind("city"))
+    here = accent_blind("spelt") == accent_blind(F.lit(CITY))
+    return both.groupBy("city").agg(F.count(F.lit(1)).alias("customers"), F.count_distinct("spelt").alias("spellings"),
+                                    F.count_if(here).alias("in_scope"))
+
+
 def _profile_sql() -> str:
     cols = [(c, t) for c, t in ORDERS.columns] + [
         ("_ingested_at", "timestamp_ntz"), ("_source_file", "string"), ("_row_md5", "string")]

@@ -48,7 +48,8 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     """``source`` in the place of ``target``, whose old content goes."""
     remove(spark, target)
     t, fs = _path(spark, target)
-    fs.mkdirs(t.getParent())
+    if not fs.exists(t.getParent()):
+        fs.mkdirs(t.getParent())
     if not fs.rename(_path(spark, source)[0], t):
         raise OSError(f"could not move {source} to {target}")
 

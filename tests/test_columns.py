@@ -84,3 +84,16 @@ def test_share_and_label(spark):
     got = df.select(C.share("x", "t").alias("s"), C.period_label().alias("p")).collect()
     assert (got[0]["s"], got[0]["p"]) == (0.25, "2018 Q2")
     assert got[1]["s"] is None
+
+
+def test_accent_blind_matching(spark):
+    from kpiforge.functions.columns import accent_blind
+    from kpiforge.operators.fact import scope
+    rows = [" São Paulo ", "SAO PAULO", "sao paulo", "sào pàulo", "saopaulo", "Santos", None]
+    df = spark.createDataFrame([(r,) for r in rows], "customer_city string")
+    assert sorted(r[0] for r in scope(df, "São Paulo", blind=True).collect()) == sorted(rows[:4])
+    assert [r[0] for r in scope(df, "sao paulo").collect()] == ["sao paulo"]
+    city = spark.createDataFrame([("sao paulo", 1), ("santos", 2)], "city string, k int")
+    got = df.join(city, accent_blind("customer_city") == accent_blind("city")).groupBy("k").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 4), (2, 1)]
+    assert df.groupBy(accent_blind("customer_city")).count().count() == 4

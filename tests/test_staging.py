@@ -121,3 +121,63 @@ def test_save_writes_a_new_version_and_view(spark):
     assert spark.table("analytics_kpi").first()["revenue"] == 6.0
     with pytest.raises(Exception):
         S.save(df, base, "analytics", "kpi", 2)                 # never overwrite a version
+
+
+def test_manifest_sees_a_replaced_pair_of_equal_rows(spark):
+    def sums(md5s):
+        r = S.manifest(spark.createDataFrame([("f", m) for m in md5s], "_source_file string, _row_md5 string")).first()
+        return r["n_rows"], r["checksum"], r["hash_sum"]
+    a, b = "f" * 32, "0123456789abcdef" * 2
+    assert sums([a, a])[:2] == sums([b, b])[:2] and sums([a, a])[2] != sums([b, b])[2]
+    assert sums([a] * 40)[2] == int("f" * 15, 16) * 40 % (1 << 60)
+
+
+def test_a_load_is_written_once(spark, tmp_path):
+    seen = []
+    real = spark.range(6).select("id", F.concat(F.lit("a/b="), (F.col("id") % 2).cast("string")).alias("_source_file"))
+    table = str(tmp_path / "t")
+    acc = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame(real.rdd.map(lambda r: acc.add(1) or r), real.schema)
+    S.replace_by_source(rows, table, ["a/b=0", "a/b=1"])
+    assert acc.value == 6 and not seen
+    S.replace_by_source(real.where("_source_file = 'a/b=1' and id > 1"), table, ["a/b=1"])
+    got = sorted(map(tuple, spark.read.parquet(table).collect()))
+    assert got == [(0, "a/b=0"), (2, "a/b=0"), (3, "a/b=1"), (4, "a/b=0"), (5, "a/b=1")]
+    assert [p for p in os.listdir(table) if p.startswith("_staged")] == []
+
+
+REJECT = """order_id,customer_id,order_status,order_approved_at,order_delivered_customer_date,order_estimated_delivery_date,note
+o1,c1,delivered,2018-01-01 10:00:00,2018-01-03 00:00:00,2018-01-10 00:00:00,"fine, quoted"
+o2,c1,delivered,soon,2018-01-03 00:00:00,2018-01-10 00:00:00,x
+o3,c1,delivered,N/A,,2018-01-10 00:00:00,missing ones are no fault
+o4,c1,delivered
+
+o5,c1,delivered,2018-01-01 10:00:00,2018-01-03 00:00:00,2018-01-10 00:00:00,x,one,two
+o6,c1,delivered,2018-02-30 10:00:00,never,2018-01-10 00:00:00,first fault counts
+"""
+
+
+def test_rejected_records_are_kept_with_their_reason(spark):
+    got = S.read_checked(spark, _csv(REJECT), ORDERS)
+    assert [r["order_id"] for r in got.kept.orderBy("order_id").collect()] == ["o1", "o3"]
+    assert got.kept.columns == [*ORDERS.names, "_source_file"]
+    rejected = {r["record"][:2]: r for r in got.rejected.collect()}
+    assert {k: r["reason"] for k, r in rejected.items()} == {
+        "o2": "bad order_approved_at", "o4": "field count", "o5": "field count", "o6": "bad order_approved_at"}
+    assert rejected["o5"]["record"].endswith(",x,one,two") and rejected["o4"]["record"] == "o4,c1,delivered"
+    lines = [line for line in REJECT.splitlines()[1:] if line]
+    assert got.kept.count() + got.rejected.count() == len(lines)
+    assert got.rows.groupBy("_reason").count().count() == 3  # few columns asked for: the same verdicts
+    assert {r["_source_file"] for r in got.rows.collect()} == {"f.csv"}
+    with pytest.raises(S.ContractError):
+        S.read_checked(spark, _csv("a,b\n1,2\n"), ORDERS)
+
+
+def test_counts_from_footers(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.range(1000).select("id", F.when(F.col("id") > 9, F.col("id")).alias("x")).repartition(3).write.parquet(p)
+    assert S.footer_counts(spark, {"t": p}).collect() == [("t", 1000)]
+    assert S.from_footers(spark, p, F.count(F.lit(1)), F.count("x"), F.min("x"), F.max("id"))[:] == (1000, 990, 10, 999)
+    plan = S.footer_plan(spark, p, F.count(F.lit(1)))
+    assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<count(*):bigint>" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the setting is put back
