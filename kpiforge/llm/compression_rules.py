@@ -5,11 +5,17 @@ through two zstandard ratios (compressed over plain bytes): that of the whole
 text and that of each fixed chunk.  A ratio under its band means repetition,
 one over it means noise that does not compress; the bands depend on the length,
 since short inputs compress less.
+
+The bands come from the corpus itself, without labels: for each half octave of
+length the quartiles of the ratio over all distinct texts, and fences at some
+interquartile ranges outside them.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Sequence
 
 import numpy as np
@@ -20,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .texts import per_text, text_bytes
 
-# (from this many bytes, lowest ratio, highest ratio); shorter inputs are not judged
+# (from this many bytes, lowest ratio, highest ratio); shorter inputs are not judged.  Wide
+# bands for length classes of which a corpus has too few texts.
 BANDS = (
     (128, 0.36, 1.05),
     (256, 0.34, 0.90),
@@ -30,7 +37,11 @@ BANDS = (
     (4096, 0.23, 0.68),
     (16384, 0.20, 0.66),
 )
-CHUNK_BYTES = 2048
+CHUNK_BYTES = 1024
+# Fences: interquartile ranges below the first and above the third quartile (text that compresses
+# less than its fellows is rarer and less suspect); a range counts as LEAST_SPREAD of the median at least
+BELOW, ABOVE, LEAST_SPREAD = 1.5, 3.0, 0.03
+LEAST_TEXTS = 50  # distinct texts of a length class from which its band is learned
 MAX_BAD_CHUNKS = 0.5  # share of the judged chunk bytes that may lie outside their band
 LEVEL = 3
 MIN_WORDS = 50
@@ -118,6 +129,53 @@ def _setup(bands: Sequence[tuple[int, float, float]], chunk: int, max_bad: float
     return each
 
 
+def length_class(n: int) -> int:
+    """The half octave of a byte length."""
+    return math.floor(2 * math.log2(n))
+
+
+def _ratio_setup(level: int):
+    zip_ = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
+
+    def each(texts: list[bytes]) -> pa.Array:
+        got = [{"length_class": length_class(len(t)), "permille": round(1000 * len(zip_.compress(t)) / len(t))}
+               if len(t) >= BANDS[0][0] else None for t in texts]
+        return pa.array(got, pa.struct([("length_class", pa.int32()), ("permille", pa.int32())]))
+
+    return each
+
+
+def fences(counts: dict[int, int]) -> tuple[float, float] | None:
+    """Lowest and highest ratio of a class, from its counts by thousandths;
+    none for a class of few texts."""
+    n = sum(counts.values())
+    if n < LEAST_TEXTS:
+        return None
+    values = np.array(sorted(counts))
+    upto = np.cumsum([counts[v] for v in values.tolist()])
+    first, middle, third = (int(values[np.searchsorted(upto, q * n / 4)]) for q in (1, 2, 3))
+    spread = max(third - first, LEAST_SPREAD * middle)
+    return (first - BELOW * spread) / 1000, (third + ABOVE * spread) / 1000
+
+
+def learn_bands(docs: DataFrame, level: int = LEVEL) -> tuple[tuple[int, float, float], ...]:
+    """Bands from all texts of ``docs``, each distinct one (by its 64-bit hash)
+    once, so copies don't pull a band to themselves.  The counts that reach
+    the driver are bounded: at most 60 length classes by some thousand ratios."""
+    text = text_bytes(F.col("text"))
+    rows = docs.select(F.xxhash64(text).alias("h"), per_text(lambda: _ratio_setup(level), "struct<length_class:int,permille:int>")(text).alias("r"))
+    rows = rows.where(F.col("r").isNotNull()).groupBy("h").agg(F.first("r").alias("r"))
+    classes = defaultdict(dict)
+    for r in rows.groupBy("r.length_class", "r.permille").count().collect():
+        classes[r["length_class"]][r["permille"]] = r["count"]
+    starts, out = [b[0] for b in BANDS], []
+    for c in range(length_class(starts[0]), 2 + max([*classes, length_class(starts[-1])])):
+        start = math.ceil(2 ** (c / 2))
+        found = fences(classes[c]) if c in classes else None
+        out.append((start, *(found or BANDS[bisect_right(starts, start) - 1][1:])))
+    return tuple(out)
+
+
 def rules(text: Column, bands: Sequence[tuple[int, float, float]] = BANDS, chunk_bytes: int = CHUNK_BYTES,
           max_bad_chunks: float = MAX_BAD_CHUNKS, level: int = LEVEL) -> Column:
     """Struct ``FEATURES`` of a text.  Null and empty texts have no words,
@@ -126,12 +184,15 @@ def rules(text: Column, bands: Sequence[tuple[int, float, float]] = BANDS, chunk
     return per_text(lambda: _setup(tuple(bands), chunk_bytes, max_bad_chunks, level), FEATURES)(text_bytes(text))
 
 
-def judge(docs: DataFrame, **params) -> DataFrame:
+def judge(docs: DataFrame, bands: Sequence[tuple[int, float, float]] | None = None, **params) -> DataFrame:
     """doc_id and the ``FEATURES`` of every document, one row per input row
-    (repeated rows stay, other columns are ignored, no rows for no rows)."""
+    (repeated rows stay, other columns are ignored, no rows for no rows).  The
+    bands are learned from ``docs`` unless they are given."""
+    params["bands"] = learn_bands(docs) if bands is None else bands
     return docs.select("doc_id", rules(F.col("text"), **params).alias("_f")).select("doc_id", "_f.*")
 
 
-def keep_good(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns."""
+def keep_good(docs: DataFrame, bands: Sequence[tuple[int, float, float]] | None = None, **params) -> DataFrame:
+    """The rows of ``docs`` that pass, with their columns; bands as for ``judge``."""
+    params["bands"] = learn_bands(docs) if bands is None else bands
     return docs.where(rules(F.col("text"), **params)["kept"])
