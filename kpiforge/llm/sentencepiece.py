@@ -9,8 +9,9 @@ to byte pieces.
 
 Spaces become U+2581 and one is put before the text.  No piece has that sign
 after another character (checked when a model is loaded), so a segmentation
-never crosses a word start: words are segmented one by one, and those met before
-come from a bounded memo.  A U+2581 that the text itself holds is written in byte
+never crosses a word start, nor any edge between letters and other characters
+that no useful piece crosses.  The stretches between are segmented one by one,
+and those met before come from a bounded memo.  A U+2581 that the text itself holds is written in byte
 pieces, so decoding gives every text back exactly.
 """
 
@@ -18,8 +19,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -35,7 +37,21 @@ UNKNOWN_PENALTY = 10.0  # fixed value: an uncovered character scores this much l
 MEMO_WORDS = 150_000
 MEMO_CHARS = 64  # longer words are segmented each time
 
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+
+def _stretches(pieces: Iterable[str]) -> re.Pattern:
+    """Cuts words at the edges between letters or digits and other characters,
+    where no piece lies across: a character that a piece joins to one of the
+    other kind is taken as of that kind, until no piece joins two kinds."""
+    pairs = {p[i:i + 2] for p in pieces for i in range(len(p) - 1) if p[i] != SPACE}
+    other = {"_"}
+    while more := {c for a, b in pairs for c in (a, b) if (_is_word(a, other) != _is_word(b, other)) and _is_word(c, other)}:
+        other |= more
+    others = re.escape("".join(sorted(other)))
+    return re.compile(rf"{SPACE}*[^\W{others}]+|{SPACE}*(?:[^\w{SPACE}]|[{others}])+|{SPACE}+")
+
+
+def _is_word(c: str, other: set[str]) -> bool:
+    return c not in other and re.match(r"\w", c) is not None
 
 
 @dataclass(frozen=True)
@@ -85,6 +101,7 @@ class Segmenter(dict):
                 useful.add_word(piece, entry)
         useful.make_automaton()
         self.automaton = useful
+        self.words = _stretches(piece for piece, _ in useful.items())
         self.literal = np.array([self.bytes_[b] for b in SPACE.encode()], np.int32).tobytes()
 
     def _scores(self, word: str, whole: bool = True) -> tuple[list[float], list]:
@@ -97,10 +114,10 @@ class Segmenter(dict):
         if not self.single.issuperset(word):
             found = self._with_unknown(word, found)
         for i, piece in found:
-            size, gain, _ = piece
             i += 1
-            if (s := score[i - size] + gain) > score[i] and (whole or size < n):
-                score[i], back[i] = s, piece
+            if (s := score[i - piece[0]] + piece[1]) > score[i] and (whole or piece[0] < n):
+                score[i] = s
+                back[i] = piece
         return score, back
 
     def best(self, word: str) -> list[int]:
@@ -130,8 +147,9 @@ class Segmenter(dict):
     def __missing__(self, word: str) -> bytes:
         ids = array("i", self.best(word)).tobytes()
         if len(word) <= MEMO_CHARS:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
+            if len(self) >= MEMO_WORDS:  # the older half goes
+                for old in list(islice(self, MEMO_WORDS // 2)):
+                    del self[old]
             self[word] = ids
         return ids
 
@@ -139,7 +157,7 @@ class Segmenter(dict):
         """The ids of a text; none for the empty text."""
         if not text:
             return np.zeros(0, np.int32)
-        parts = [b"".join(map(self.__getitem__, _WORDS.findall(p.replace(" ", SPACE))))
+        parts = [b"".join(map(self.__getitem__, self.words.findall(p.replace(" ", SPACE))))
                  for p in (" " + text).split(SPACE)]
         return np.frombuffer(self.literal.join(parts), np.int32)
 
