@@ -138,9 +138,9 @@ def _ratio_setup(level: int):
     zip_ = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
 
     def each(texts: list[bytes]) -> pa.Array:
-        got = [{"length_class": length_class(len(t)), "permille": round(1000 * len(zip_.compress(t)) / len(t))}
-               if len(t) >= BANDS[0][0] else None for t in texts]
-        return pa.array(got, pa.struct([("length_class", pa.int32()), ("permille", pa.int32())]))
+        got = [[{"length_class": length_class(len(t)), "permille": round(1000 * len(zip_.compress(t)) / len(t))}]
+               if len(t) >= BANDS[0][0] else [] for t in texts]
+        return pa.array(got, pa.list_(pa.struct([("length_class", pa.int32()), ("permille", pa.int32())])))
 
     return each
 
@@ -163,10 +163,12 @@ def learn_bands(docs: DataFrame, level: int = LEVEL) -> tuple[tuple[int, float,
     once, so copies don't pull a band to themselves.  The counts that reach
     the driver are bounded: at most 60 length classes by some thousand ratios."""
     text = text_bytes(F.col("text"))
-    rows = docs.select(F.xxhash64(text).alias("h"), per_text(lambda: _ratio_setup(level), "struct<length_class:int,permille:int>")(text).alias("r"))
-    rows = rows.where(F.col("r").isNotNull()).groupBy("h").agg(F.first("r").alias("r"))
+    # no or one entry a text: a filter on a nullable result would be evaluated by a second Python worker
+    ratios = per_text(lambda: _ratio_setup(level), "array<struct<length_class:int,permille:int>>")(text)
+    rows = docs.select(F.xxhash64(text).alias("h"), F.inline(ratios)).groupBy("h").agg(
+        F.first("length_class").alias("length_class"), F.first("permille").alias("permille"))
     classes = defaultdict(dict)
-    for r in rows.groupBy("r.length_class", "r.permille").count().collect():
+    for r in rows.groupBy("length_class", "permille").count().collect():
         classes[r["length_class"]][r["permille"]] = r["count"]
     starts, out = [b[0] for b in BANDS], []
     for c in range(length_class(starts[0]), 2 + max([*classes, length_class(starts[-1])])):

@@ -22,9 +22,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows and bytes of an Arrow batch at most: texts are up to megabytes, and each task
+# holds a batch on both sides of its Python worker
+ARROW_ROWS, ARROW_BYTES = 1_000, 4 << 20
+
+
 def visible(spark: SparkSession) -> None:
-    """Let the Python workers find this package where the driver found it, for
-    runs whose PYTHONPATH doesn't name it (a cluster is given it by --py-files)."""
+    """Prepare a session for the operators: let the Python workers find this
+    package where the driver found it, for runs whose PYTHONPATH doesn't name it
+    (a cluster is given it by --py-files), and bound Arrow batches, unless
+    the session has smaller bounds."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = spark.conf.get(name).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]

@@ -118,8 +118,15 @@ def hits(lex: Lexicon, folded: str) -> list[tuple[int, int, float]]:
                 spans.append((start, end))
         if weight and weight > found.get(start, (0, 0.0))[1]:
             found[start] = (end, weight)
-    return [(s, e, w) for s, (e, w) in sorted(found.items())
-            if not any(x <= s and e <= y for x, y in spans)]
+    # in order of their starts, a hit is covered if an exception that starts no later ends no earlier
+    out, at, reach = [], 0, 0
+    spans.sort()
+    for s, (e, w) in sorted(found.items()):
+        while at < len(spans) and spans[at][0] <= s:
+            reach, at = max(reach, spans[at][1]), at + 1
+        if e > reach:
+            out.append((s, e, w))
+    return out
 
 
 def density(lex: Lexicon, text: str) -> tuple[int, float]:

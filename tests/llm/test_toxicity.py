@@ -141,3 +141,30 @@ def test_held_out_accuracy(spark):
     right = {y: [r for r in both if r["toxic"] == y and r["predicted"] == y] for y in (0, 1)}
     assert len(right[0]) >= 0.98 * sum(r["toxic"] == 0 for r in both)
     assert len(right[1]) >= 0.95 * sum(r["toxic"] == 1 for r in both)
+
+
+def test_a_long_text_of_hits_and_exceptions_takes_linear_time():
+    import time
+    lex = X.Lexicon((("vile", 2.0), ("rotten", 3.0)), ("vile weather", "rotten"))
+    texts = ["vile weather and vile deeds rotten " * n for n in (1_000, 45_000)]  # 35 KB, 1.5 MB
+    for n, text in zip((1_000, 45_000), texts):
+        at = time.perf_counter()
+        got = X.hits(lex, X.fold(text))
+        assert len(got) == n and {text[s:e] for s, e, _ in got[:50]} == {"vile"}
+        assert time.perf_counter() - at < 10
+
+
+def test_covered_hits_against_every_span():
+    import random
+    rnd = random.Random(3)
+    lex = X.Lexicon((("bad", 1.0), ("worse", 2.0)), ("not bad", "bad luck", "worse for wear"))
+    for _ in range(300):
+        text = " ".join(rnd.choices(["not", "bad", "luck", "worse", "for", "wear", "badly"], k=12))
+        words, want, at = text.split(" "), [], 0
+        spans = [(m.start(), m.start() + len(p)) for p in lex.exceptions for m in __import__("re").finditer(rf"(?=\b{p}\b)", text)]
+        for w in words:
+            stem = "worse" if w == "worse" else "bad" if w.startswith("bad") else None
+            if stem and not any(x <= at and at + len(stem) <= y for x, y in spans):
+                want.append((at, at + len(stem)))
+            at += len(w) + 1
+        assert [(s, e) for s, e, _ in X.hits(lex, text)] == want
