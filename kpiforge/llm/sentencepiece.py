@@ -26,11 +26,12 @@ from itertools import islice
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .texts import per_text, text_bytes
+from .texts import SLICE, per_text, text_bytes
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value: an uncovered character scores this much less than the lowest piece
@@ -169,11 +170,23 @@ class Joiner:
         self.pieces = [bytes([int(p[3:5], 16)]) if kind == "byte" else b"" if kind == "other"
                        else p.replace(SPACE, " ").encode() for p, _, kind in model.pieces]
 
+        self._taken = pa.array(self.pieces, pa.binary())
+
     def decode(self, ids: list[int]) -> str:
         """The text of some ids.  Control ids give nothing, a first space is
         the one that encoding added; byte pieces that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """``decode`` of every list of ids (null: empty), the pieces joined in Arrow."""
+        flat, ends = ids.flatten(), np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0))))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self._taken.take(flat)), b"")
+        try:
+            text = joined.cast(pa.string())
+        except pa.ArrowInvalid:  # byte pieces that are no UTF-8
+            return pa.array([b.decode("utf-8", "replace").removeprefix(" ") for b in joined.to_pylist()], pa.string())
+        return pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
+
 
 class Codec:
     """Encoding and decoding columns; the pieces reach the executors once, by a
@@ -213,11 +226,13 @@ class Codec:
         """The text of an array<int>; empty for null."""
         join = self._made(Joiner)
 
-        def setup():
+        @F.arrow_udf("string")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             j = join()
-            return lambda batch: pa.array([j.decode(x) if x else "" for x in batch], pa.string())
+            for batch in batches:
+                yield from (j.decode_all(batch.slice(at, SLICE)) for at in range(0, len(batch), SLICE))
 
-        return per_text(setup, "string")(ids)
+        return run(ids)
 
 
 _MADE: dict = {}  # of this Python worker: the automaton and the memo outlive a task

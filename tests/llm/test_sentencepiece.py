@@ -77,3 +77,16 @@ def test_query(spark):
     got = op2_sentencepiece(spark, "/root/testdata/sf0.001")
     assert got.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert got.where("not same or n_ids <= 0").count() == 0
+
+
+def test_decoding_many_at_once_like_one_by_one():
+    import pyarrow as pa
+    model = S.load(PIECE_MODEL)
+    join, seg = S.Joiner(model), S.Segmenter(model)
+    texts = ["", " ", "hello  world ", "▁ é 你好 🎉\n\t", " leading", "a" * 3000, "</s><0x41>"]
+    lists = [seg.encode(t).tolist() for t in texts] + [None, [], [1, 2], [3 + 0xFF, 3 + 0xC3], [0, 3 + 0x41]]
+    for part in (lists, lists[:7], lists[7:], []):
+        arr = pa.array(part, pa.list_(pa.int32()))
+        assert join.decode_all(arr).to_pylist() == [join.decode(x) if x else "" for x in part]
+        assert join.decode_all(arr.slice(2)).to_pylist() == [join.decode(x) if x else "" for x in part[2:]]
+    assert join.decode_all(pa.array(lists[:7], pa.list_(pa.int32()))).to_pylist() == texts
