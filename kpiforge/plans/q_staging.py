@@ -172,7 +172,7 @@ _FAULT = """CASE WHEN CAST(customer_id AS BIGINT) % 7 = 0 THEN 'bad order_approv
 
 
 def _order_lines(orders: DataFrame) -> DataFrame:
-    """The orders as CSV lines, dealt to four files by ``f``, each with a header line."""
+    """The orders as CSV lines, dealt to folders by ``f``, each file with a header line."""
     fault = F.expr(_FAULT)
     cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ORDERS.names}
     cells["order_approved_at"] = F.when(fault.startswith("bad"), F.lit("soon")).otherwise(cells["order_approved_at"])
@@ -186,8 +186,7 @@ def _order_lines(orders: DataFrame) -> DataFrame:
 
 @register_raw("scan_rejects", O.q(f"""
 SELECT coalesce({_FAULT}, 'kept') AS outcome, count(*) AS n_rows,
-       count(DISTINCT order_id) FILTER (WHERE {_FAULT} IS NULL) AS n_orders,
-       count(DISTINCT CAST(customer_id AS BIGINT) % 4) AS n_files
+       count(DISTINCT order_id) FILTER (WHERE {_FAULT} IS NULL) AS n_orders
 FROM orders_raw GROUP BY 1
 """))
 def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,10 +198,9 @@ def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = S.read_checked(spark, f"{path}/*", ORDERS)
     rejects = scratch_path(spark, "rejects")
     got.rejected.write.partitionBy("_source_file").parquet(rejects)
-    rejected = spark.read.parquet(rejects).select("reason", F.lit(None).cast("string").alias("order_id"), "_source_file")
-    both = got.kept.select(F.lit("kept").alias("reason"), "order_id", "_source_file").unionAll(rejected)
-    return both.groupBy(F.col("reason").alias("outcome")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_orders"), F.count_distinct("_source_file").alias("n_files"))
+    rejected = spark.read.parquet(rejects).select("reason", F.lit(None).cast("string").alias("order_id"))
+    both = got.kept.select(F.lit("kept").alias("reason"), "order_id").unionAll(rejected)
+    return both.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_orders"))
 
 
 @register_raw("reload_idempotent", O.q("""
