@@ -27,19 +27,21 @@ from .texts import per_text, text_bytes
 
 N_LINE = 13  # features of a line
 N_NODE = 3 * N_LINE  # those of the line, of the one before and of the one after
-BLOCK = 256  # texts whose lines are laid side by side
+BLOCK = 256  # texts whose lines are laid side by side, at most
+CELLS = 1 << 16  # lines of a block, with those that pad its shorter texts
+LONG_LINES = 2048  # a text of more lines is a chain by itself
+SEGMENT = 1 << 14  # lines whose features are held together
+SLICE_BYTES = 1 << 18  # texts that are scored together, up to the one that passes it
 MAX_FIT_LINES = 256
 FIT_RUN = 64  # lines that are taken together from a longer text
 
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 
 
-def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(lines x N_LINE, line lengths); a text without lines has one empty line."""
-    lines = text.split(b"\n")
+def _features(lines: list[bytes], seen: set[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(lines x N_LINE, line lengths) of lines that come after those in ``seen``, which takes them in."""
     out = np.zeros((len(lines), N_LINE), np.float32)
     size = np.zeros(len(lines), np.float64)
-    seen = set()
     for k, line in enumerate(lines):
         f, n = out[k], len(line)
         words = line.split()
@@ -65,15 +67,37 @@ def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def node_features(f: np.ndarray) -> np.ndarray:
-    """Each line's features beside those of its neighbours; zeros beyond the ends."""
-    out = np.zeros((len(f), N_NODE), np.float32)
-    out[:, :N_LINE] = f
-    out[1:, N_LINE:2 * N_LINE] = f[:-1]
-    out[:-1, 2 * N_LINE:] = f[1:]
+def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(lines x N_LINE, line lengths); a text without lines has one empty line."""
+    return _features(text.split(b"\n"), set())
+
+
+def _beside(own: np.ndarray, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Node scores (... x lines): each line's own part, what the line before
+    gives to the one after it, and what the line after gives to the one before."""
+    out = own.copy()
+    out[..., 1:] += after[..., :-1]
+    out[..., :-1] += before[..., 1:]
     return out
 
 
+def node_scores(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Scores (... x lines) of features (... x lines x N_LINE) under N_NODE
+    weights: N_LINE for the line itself, for the line before it and for the one
+    after it, which count nothing beyond the ends."""
+    return _beside(*np.moveaxis(features @ weights.reshape(3, N_LINE).T, -1, 0))
+
+
+def text_scores(text: bytes, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node scores, line lengths) of a text; the features of SEGMENT lines are held at a time."""
+    lines, seen, w = text.split(b"\n"), set(), weights.reshape(3, N_LINE).T
+    parts, size = np.zeros((3, len(lines))), np.zeros(len(lines))
+    for at in range(0, len(lines), SEGMENT):
+        f, size[at:at + SEGMENT] = _features(lines[at:at + SEGMENT], seen)
+        parts[:, at:at + SEGMENT] = (f @ w).T
+    return _beside(*parts), size
+
+
 def forward_backward(node: np.ndarray, lengths: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of chains side by side (chains x steps node scores of label 1 against 0,
     their lengths, 2 x 2 edge scores): the marginals of label 1 (chains x steps),
@@ -107,6 +131,35 @@ def forward_backward(node: np.ndarray, lengths: np.ndarray, edge: np.ndarray) ->
     return np.where(np.arange(steps) < lengths[:, None], good, 0), pairs, log_z
 
 
+def chain_marginals(node: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """The marginals of label 1 along one chain, as ``forward_backward`` gives
+    them, in two passes over plain numbers; four doubles a step are held."""
+    n = len(node)
+    top = np.maximum(node, 0)
+    psi0, psi1 = np.exp(-top), np.exp(node - top)
+    (t00, t01), (t10, t11) = np.exp(edge).tolist()
+    alpha, out = np.zeros((n, 2)), np.zeros(n)
+    a0 = a1 = None
+    for at in range(0, n, SEGMENT):
+        got = []
+        for p0, p1 in zip(psi0[at:at + SEGMENT].tolist(), psi1[at:at + SEGMENT].tolist(), strict=True):
+            n0, n1 = (p0, p1) if a0 is None else ((a0 * t00 + a1 * t10) * p0, (a0 * t01 + a1 * t11) * p1)
+            a0, a1 = n0 / (n0 + n1), n1 / (n0 + n1)
+            got.append((a0, a1))
+        alpha[at:at + SEGMENT] = got
+    b0 = b1 = 1.0
+    for at in range((n - 1) // SEGMENT * SEGMENT, -1, -SEGMENT):
+        got = []
+        for p0, p1, (a0, a1) in zip(psi0[at:at + SEGMENT][::-1].tolist(), psi1[at:at + SEGMENT][::-1].tolist(),
+                                    alpha[at:at + SEGMENT][::-1].tolist(), strict=True):
+            got.append(a1 * b1 / (a0 * b0 + a1 * b1))
+            p0, p1 = p0 * b0, p1 * b1
+            n0, n1 = p0 * t00 + p1 * t01, p0 * t10 + p1 * t11
+            b0, b1 = n0 / (n0 + n1), n1 / (n0 + n1)
+        out[at:at + SEGMENT] = got[::-1]
+    return out
+
+
 @dataclass(frozen=True)
 class Field:
     """Node weights, edge scores, and slope and offset of the last sigmoid."""
@@ -118,35 +171,43 @@ class Field:
 
 
 def _blocks(lengths: np.ndarray):
-    """Indexes of chains of about equal length, block by block."""
-    order = np.argsort(lengths, kind="stable")
-    for at in range(0, len(order), BLOCK):
-        yield order[at:at + BLOCK]
+    """Indexes of chains of about equal length, block by block: at most BLOCK
+    chains and, if there are several, CELLS lines with the padding."""
+    block: list[int] = []
+    for k in np.argsort(lengths, kind="stable").tolist():
+        if block and (len(block) == BLOCK or (len(block) + 1) * lengths[k] > CELLS):
+            yield np.array(block)
+            block = []
+        block.append(k)
+    if block:
+        yield np.array(block)
 
 
 def _padded(rows: list[np.ndarray], steps: int) -> np.ndarray:
-    out = np.zeros((len(rows), steps, *rows[0].shape[1:]))
+    out = np.zeros((len(rows), steps, *rows[0].shape[1:]), rows[0].dtype)
     for k, r in enumerate(rows):
         out[k, :len(r)] = r
     return out
 
 
-def marginals(field: Field, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """For each text's line features, the marginals of its lines being good."""
-    w, edge = np.array(field.node), np.array(field.edge)
-    node = [node_features(f) @ w for f, _ in texts]
+def marginals(field: Field, node: list[np.ndarray]) -> list[np.ndarray]:
+    """For each text's node scores, the marginals of its lines being good."""
+    edge = np.array(field.edge)
     lengths = np.array([len(x) for x in node])
-    out: list = [None] * len(texts)
-    for block in _blocks(lengths):
+    out: list = [chain_marginals(x, edge) if len(x) > LONG_LINES else None for x in node]
+    short = np.flatnonzero(lengths <= LONG_LINES)
+    for b in _blocks(lengths[short]):
+        block = short[b]
         good, _, _ = forward_backward(_padded([node[k] for k in block], int(lengths[block].max())), lengths[block], edge)
         for k, g in zip(block, good, strict=True):
-            out[k] = g[:lengths[k]]
+            out[k] = g[:lengths[k]].copy()
     return out
 
 
 def goodness(field: Field, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The length-weighted mean marginal of each text."""
-    return np.array([float(np.average(g, weights=s)) for g, (_, s) in zip(marginals(field, texts), texts, strict=True)])
+    """The length-weighted mean marginal of each text (its node scores, its line lengths)."""
+    got = marginals(field, [x for x, _ in texts])
+    return np.array([float(np.average(g, weights=s)) for g, (_, s) in zip(got, texts, strict=True)])
 
 
 def _logit(q: np.ndarray) -> np.ndarray:
@@ -157,7 +218,7 @@ def _logit(q: np.ndarray) -> np.ndarray:
 def fit_field(features: list[np.ndarray], labels: list[np.ndarray], rounds: int = 120, ridge: float = 1e-3) -> Field:
     """The field that makes the line labels likeliest, by Adam steps on the exact gradient."""
     lengths = np.array([len(x) for x in features])
-    data = [(b, _padded([node_features(features[k]) for k in b], int(lengths[b].max())),
+    data = [(b, _padded([features[k] for k in b], int(lengths[b].max())),
              _padded([labels[k] for k in b], int(lengths[b].max()))) for b in _blocks(lengths)]
     total = lengths.sum()
     theta = np.zeros(N_NODE + 4)
@@ -166,8 +227,10 @@ def fit_field(features: list[np.ndarray], labels: list[np.ndarray], rounds: int
         grad = ridge * theta
         w, edge = theta[:N_NODE], theta[N_NODE:].reshape(2, 2)
         for b, x, y in data:
-            good, pairs, _ = forward_backward(x @ w, lengths[b], edge)
-            grad[:N_NODE] += np.einsum("ctf,ct->f", x, good - y) / total
+            good, pairs, _ = forward_backward(node_scores(x, w), lengths[b], edge)
+            off = good - y
+            for k, (part, of) in enumerate(((x, off), (x[:, :-1], off[:, 1:]), (x[:, 1:], off[:, :-1]))):
+                grad[k * N_LINE:(k + 1) * N_LINE] += np.einsum("ctf,ct->f", part, of) / total
             inside = np.arange(1, y.shape[1]) < lengths[b][:, None]
             y0, y1 = y[:, :-1], y[:, 1:]
             for i in range(2):
@@ -211,12 +274,13 @@ def learn(labelled: DataFrame, rounds: int = 120) -> Field | None:
         return None
     labels = [np.full(len(f), v, float) for (f, _), v in zip(texts, y, strict=True)]
     first = fit_field([f for f, _ in texts], labels, rounds)
-    for lab, good, v in zip(labels, marginals(first, texts), y, strict=True):
+    for lab, good, v in zip(labels, marginals(first, [node_scores(f, np.array(first.node)) for f, _ in texts]), y, strict=True):
         if v == 0:
             lab[:] = good > 0.5
             lab[np.argmin(good)] = 0
     field = fit_field([f for f, _ in texts], labels, rounds)
-    slope, offset = fit_sigmoid(_logit(goodness(field, texts)), y, weight / weight.sum())
+    w = np.array(field.node)
+    slope, offset = fit_sigmoid(_logit(goodness(field, [(node_scores(f, w), s) for f, s in texts])), y, weight / weight.sum())
     return Field(field.node, field.edge, slope, offset)
 
 
@@ -224,12 +288,18 @@ RESULT = "score double, goodness double, n_lines long"
 
 
 def _setup(field: Field):
+    w = np.array(field.node)
+
     def each(texts: list[bytes]) -> pa.Array:
         good, lines = [], []
-        for at in range(0, len(texts), 4 * BLOCK):
-            part = [line_features(t) for t in texts[at:at + 4 * BLOCK]]
-            good.append(goodness(field, part))
-            lines += [len(f) for f, _ in part]
+        part, held = [], 0
+        for k, t in enumerate(texts):
+            part.append(text_scores(t, w))
+            held += len(t)
+            if held > SLICE_BYTES or k == len(texts) - 1:
+                good.append(goodness(field, part))
+                lines += [len(x) for x, _ in part]
+                part, held = [], 0
         q = np.concatenate(good) if good else np.zeros(0)
         score = 1 / (1 + np.exp(-(field.slope * _logit(q) + field.offset)))
         return pa.StructArray.from_arrays([pa.array(score), pa.array(q), pa.array(lines, pa.int64())],
@@ -238,7 +308,8 @@ def _setup(field: Field):
 
 
 def quality(text: Column, field: Field) -> Column:
-    """Struct ``RESULT`` of a text; null and empty texts are one empty line."""
+    """Struct ``RESULT`` of a text; null and empty texts are one empty line.
+    What a task holds beyond its texts is some 40 bytes for each line of the longest."""
     return per_text(lambda: _setup(field), RESULT)(text_bytes(text))
 
 

@@ -1,8 +1,10 @@
 """Forward-backward against all labellings, its gradient use, and held-out accuracy."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
+import pytest
 from kpiforge.llm import line_crf as C
 from kpiforge.llm.queries import op5_quality_crf
 
@@ -37,7 +39,8 @@ def test_learns_lines_from_document_labels():
     good = [C.line_features(b"\n".join([prose] * k))[0] for k in (1, 2, 3, 4)] * 5
     bad = [C.line_features(b"\n".join([junk] * k))[0] for k in (1, 2, 3, 4)] * 5
     field = C.fit_field(good + bad, [np.ones(len(f)) for f in good] + [np.zeros(len(f)) for f in bad])
-    clean, mixed, dirty = (C.goodness(field, [C.line_features(t)])[0] for t in (prose, prose + b"\n" + junk, junk))
+    w = np.array(field.node)
+    clean, mixed, dirty = (C.goodness(field, [C.text_scores(t, w)])[0] for t in (prose, prose + b"\n" + junk, junk))
     assert clean > 0.9 > mixed > 0.1 > dirty
 
 
@@ -46,8 +49,65 @@ def test_features():
     assert f.shape == (3, C.N_LINE) and size.tolist() == [12, 1, 12]
     assert f[0, 10] == 0 and f[2, 10] == 1 and f[1, 11] == 1
     assert C.line_features(b"")[0].shape == (1, C.N_LINE)
-    x = C.node_features(f)
-    assert (x[1, C.N_LINE:2 * C.N_LINE] == f[0]).all() and not x[0, C.N_LINE:2 * C.N_LINE].any()
+
+
+def beside(f, w):
+    """Line, line before and line after, laid side by side, times the weights."""
+    zero = np.zeros((1, C.N_LINE))
+    return np.hstack([f, np.vstack([zero, f[:-1]]), np.vstack([f[1:], zero])]) @ w
+
+
+def test_node_scores_of_lines_and_their_neighbours(monkeypatch):
+    w = np.random.default_rng(2).normal(size=C.N_NODE)
+    text = b"\n".join([b"one two", b"", b"Three!! 4", b"one two", b"x | y", b"", b"one two"])
+    want = beside(C.line_features(text)[0], w)
+    np.testing.assert_allclose(C.node_scores(C.line_features(text)[0], w), want, rtol=1e-6)
+    for segment in (1, 2, 3, 7):  # a repeated line is seen across segments
+        monkeypatch.setattr(C, "SEGMENT", segment)
+        got, size = C.text_scores(text, w)
+        np.testing.assert_allclose(got, want, rtol=1e-6)
+        assert size.tolist() == C.line_features(text)[1].tolist()
+
+
+@pytest.mark.parametrize("segment", [1, 3, 64])
+def test_a_chain_by_itself_equals_the_block(monkeypatch, segment):
+    monkeypatch.setattr(C, "SEGMENT", segment)
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 64, 65):
+        node, edge = rng.normal(size=n) * 20, rng.normal(size=(2, 2)) * 3
+        good, _, _ = C.forward_backward(node[None], np.array([n]), edge)
+        np.testing.assert_allclose(C.chain_marginals(node, edge), good[0], rtol=1e-9, atol=1e-300)
+
+
+def test_long_and_short_chains_together(monkeypatch):
+    field = C.Field(tuple(np.random.default_rng(4).normal(size=C.N_NODE).tolist()), ((0.3, -0.2), (-0.4, 0.5)))
+    rng = np.random.default_rng(5)
+    node = [rng.normal(size=n) for n in (3, 40, 1, 12, 90, 5, 12)]
+    whole = C.marginals(field, node)
+    monkeypatch.setattr(C, "LONG_LINES", 10)
+    monkeypatch.setattr(C, "CELLS", 12)
+    for a, b in zip(whole, C.marginals(field, node), strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-9)
+
+
+def test_blocks_are_bounded_by_padded_lines(monkeypatch):
+    monkeypatch.setattr(C, "CELLS", 20)
+    lengths = np.array([5, 1, 30, 1, 6, 2, 19])
+    blocks = list(C._blocks(lengths))
+    assert sorted(np.concatenate(blocks).tolist()) == list(range(7))
+    assert all(len(b) == 1 or len(b) * lengths[b].max() <= 20 for b in blocks)
+    assert list(C._blocks(np.zeros(0, int))) == []
+
+
+def test_memory_of_texts_with_very_many_lines():
+    each = C._setup(C.Field((0.1,) * C.N_NODE))
+    # among short texts one of 120,000 empty lines; and 150,000 short lines
+    for texts in ([b"a few words"] * 255 + [b"\n" * 120_000], [b"ab cd\n" * 150_000]):
+        tracemalloc.start()
+        got = each(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) == len(texts) and peak < 300e6
 
 
 def test_edge_rows(spark):
