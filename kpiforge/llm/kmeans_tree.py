@@ -8,7 +8,8 @@ it in the order in which they are visited.
 
 How many leaves a query visits is calibrated: some queries are answered exactly
 against all vectors, and the visits are widened until the leaves hold the wanted
-share of the true neighbours.
+share of the true neighbours.  A query whose leaves hold too few candidates for a whole list
+goes on through its own queue until they hold enough.
 
 Leaves that are neighbours in the tree are scanned together, in blocks of
 bounded size, for the queries that visit any of them; a leaf with a third of all
@@ -108,14 +109,16 @@ def leaves_of(tree: Tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def visit_order(tree: Tree, q: np.ndarray, visits: int) -> list[int]:
-    """The first leaves of a query, best bin first."""
+def visit_order(tree: Tree, q: np.ndarray, visits: int, counts: dict[int, int] | None = None, need: int = 0) -> list[int]:
+    """The first leaves of a query, best bin first; more than ``visits`` as long
+    as those so far hold fewer than ``need`` entries (``counts`` by leaf)."""
     near = tree.centres @ q
-    heap, out = [(-near[0], 0)], []
-    while heap and len(out) < visits:
+    heap, out, held = [(-near[0], 0)], [], 0
+    while heap and (len(out) < visits or held < need):
         _, node = heapq.heappop(heap)
         if tree.leaf_of[node] >= 0:
             out.append(tree.leaf_of[node])
+            held += counts.get(out[-1], 0) if counts else 0
         for kid in tree.children[node]:
             heapq.heappush(heap, (-near[kid], kid))
     return out
@@ -207,7 +210,8 @@ def search(vectors: DataFrame, queries: str, k: int = K, recall: float = RECALL,
     vec_id, score.  ``queries`` is a condition on ``vec_id``.
 
     Nearness is the inner product of the original vectors, in doubles; ties go
-    to the smaller id.  A query is no candidate of its own.  Null and zero vectors
+    to the smaller id.  A query is no candidate of its own.  Every query gets ``k``
+    rows, or all candidates if they are fewer.  Null and zero vectors
     and those with null or non-finite components take no part, nor do rows without
     id or of another length than most vectors (of equal counts the longer).  Rows
     that share an id are candidates each by their own vector.  No vectors, no rows."""
@@ -243,20 +247,21 @@ def search(vectors: DataFrame, queries: str, k: int = K, recall: float = RECALL,
 
     counts = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # at most the tree's leaves
     blocks = blocks_of(counts, tree.n_leaves)
+    need = k + 1  # entries in a query's leaves, its own among them
 
     def visiting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, qs, at, leaves = [], [], [], []
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 by_block: dict[int, list[int]] = {}
-                for leaf in visit_order(sent.value, np.frombuffer(v), visits):
+                for leaf in visit_order(sent.value, np.frombuffer(v), visits, counts, need):
                     first, n = blocks[leaf]
-                    for k in range(first, first + n):
-                        by_block.setdefault(k, []).append(leaf)
-                for k, found in by_block.items():
+                    for block in range(first, first + n):
+                        by_block.setdefault(block, []).append(leaf)
+                for block, found in by_block.items():
                     ids.append(i)
                     qs.append(v)
-                    at.append(k)
+                    at.append(block)
                     leaves.append(found)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(qs, pa.binary()), pa.array(at, pa.int64()),
                                               pa.array(leaves, pa.list_(pa.int64()))], ["q", "qv", "block", "leaves"])

@@ -69,6 +69,29 @@ def test_best_bin_first_order():
     assert set(K.leaves_of(tree, x)) <= set(range(tree.n_leaves))
 
 
+def test_visits_go_on_until_the_leaves_hold_enough():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 5))
+    tree = K.build(x)
+    held = dict(zip(*(a.tolist() for a in np.unique(K.leaves_of(tree, x), return_counts=True)), strict=True))
+    order = K.visit_order(tree, x[0], tree.n_leaves)
+    got = K.visit_order(tree, x[0], 1, held, 150)
+    assert got == order[:len(got)] and sum(held.get(v, 0) for v in got) >= 150 > sum(held.get(v, 0) for v in got[:-1])
+    assert K.visit_order(tree, x[0], 3, held, 1) == order[:3]
+    assert K.visit_order(tree, x[0], 1, held, 10_000) == order
+
+
+def test_every_query_gets_a_whole_list(spark):
+    # tight groups that fill their own leaves, and vectors far off in leaves of a few
+    rng = np.random.default_rng(4)
+    rows = [c * 10 + rng.normal(size=8) * 0.01 for c in rng.normal(size=(32, 8)) for _ in range(60)]
+    rows = as_float(list(enumerate([*(r.tolist() for r in rows), *(rng.normal(size=(32, 8)) * 200).tolist()])))
+    got = {}
+    for q, *_ in search(spark, rows, "vec_id % 5 = 0", recall=0.5):
+        got[q] = got.get(q, 0) + 1
+    assert got == {i: 20 for i, _ in rows if i % 5 == 0}
+
+
 def test_equal_vectors_make_one_leaf():
     assert K.build(np.ones((500, 3))).n_leaves == 1
 
