@@ -162,7 +162,28 @@ def test_keep_one(spark):
     got = J.keep_one(docs)
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
-        [(1, "a b c d e f", 0), (3, None, 3), (None, "a b c d e f", 5), (4, "b", 6)], key=str)
+        [(1, "a b c d e f", 0), (2, "other text", 2), (3, None, 3), (None, "a b c d e f", 5), (4, "b", 6)], key=str)
+
+
+def test_keep_one_without_shared_ids(spark):
+    docs = spark.createDataFrame([(5, "a b c d e f"), (2, "A b c d e f"), (7, "x"), (8, "x"), (None, "x"), (9, None)],
+                                 "doc_id long, text string")
+    assert {r["doc_id"] for r in J.keep_one(docs).collect()} == {2, 7, None, 9}
+
+
+def test_keep_one_of_texts_under_one_id(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "a b c d e f"), (1, "q r s t u v"), (1, "q r s t u v"), (1, ""), (1, None),  # different texts all stay
+            (3, long), (3, long + " end"),  # near copies under one id
+            (9, long + " fin"), (8, "q r s t u v"), (8, "else where")]  # copies of a shared id's texts, and one more text
+    # columns that can't be ordered, a private-looking name, one with a dot
+    docs = spark.createDataFrame([(i, t, {"k": n}, n) for n, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, node map<string,int>, `t.x` int")
+    got = J.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = {(r["doc_id"], r["text"]) for r in got.collect()}
+    assert kept - {(3, long), (3, long + " end")} == {(1, "a b c d e f"), (1, "q r s t u v"), (1, ""), (1, None), (8, "else where")}
+    assert len(kept) == 6 and got.count() == 6
 
 
 @pytest.mark.parametrize("kind", ["chain", "star", "random", "none"])
