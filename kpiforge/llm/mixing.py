@@ -67,6 +67,13 @@ def _key(seed: int, epoch: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))))
 
 
+def _free(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores in front until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = "_" + name
+    return name
+
+
 def mix(docs: DataFrame, domain: Column, tokens: Column, weights: Sequence[Column], budget: int | float,
         epochs: int = 4, seed: int = 17) -> DataFrame:
     """The rows of ``docs`` (doc_id, lang, source, ...) that the mixture takes,
@@ -78,9 +85,12 @@ def mix(docs: DataFrame, domain: Column, tokens: Column, weights: Sequence[Colum
     of a leaf the documents are taken whose prefix starts inside the rest, so
     the last one may overrun it.  Rows with equal doc_ids stand together in the
     order and are taken or left together.  Documents without tokens are taken
-    with whole epochs and when their place comes before the cut.  Columns that
-    start with an underscore are taken by this job."""
-    rows = docs.withColumn("_id", F.col("doc_id")).withColumn("_domain", domain).withColumn("_tokens", tokens.cast("bigint"))
+    with whole epochs and when their place comes before the cut.  All columns of
+    ``docs`` come back as they are; ``_domain``, ``_tokens`` and ``_epoch`` follow,
+    each with one more underscore in front as long as ``docs`` has a column of that name."""
+    held = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # no name of theirs can clash with one of this job
+    rows = docs.select(*(docs[f"`{c}`"].alias(x) for c, x in held.items()), docs["doc_id"].alias("_id"), docs["lang"], docs["source"],
+                       domain.alias("_domain"), tokens.cast("bigint").alias("_tokens"))
     rows = rows.withColumn("_leaf", F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
                                                        for c in ("_domain", "lang", "source"))))
     narrow = written(rows.select("_id", "_leaf", "_tokens", F.col("_domain").alias("domain"), "lang", "source"), "tokens")
@@ -105,4 +115,5 @@ def mix(docs: DataFrame, domain: Column, tokens: Column, weights: Sequence[Colum
     taken = rows.join(plan, "_leaf").withColumn("_n", F.col("_whole") + F.coalesce(
         (_key(seed, F.col("_whole") + 1) <= F.col("_cut")).cast("bigint"), F.lit(0)))
     taken = taken.where("_n > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    return taken.select(*docs.columns, F.col("_domain"), F.col("_tokens"), "_epoch")
+    return taken.select(*(F.col(x).alias(c) for c, x in held.items()),
+                        *(F.col(c).alias(_free(c, docs.columns)) for c in ("_domain", "_tokens", "_epoch")))

@@ -90,6 +90,15 @@ def test_edge_rows(spark):
     assert take(spark, [], 0.5).collect() == [] and take(spark, rows, 0).collect() == []
 
 
+def test_columns_with_the_names_of_the_job(spark):
+    names = ("_id", "_Domain", "_tokens", "_leaf", "_epoch", "c0", "a.b")
+    rows = [(k, "en", "s", 2, *(f"{c}{k}" for c in names)) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, n long, " + ", ".join(f"`{c}` string" for c in names))
+    got = mixing.mix(docs, F.lit("d"), F.col("n"), [F.lit(1)] * 3, 1.0, 1)
+    assert got.columns == docs.columns + ["__domain", "__tokens", "__epoch"]
+    assert sorted(map(tuple, got.collect())) == sorted((*r, "d", 2, 1) for r in rows)
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_against_sql(spark, sf):
     d = f"/root/testdata/{sf}"
