@@ -12,6 +12,7 @@ from . import (alignment, byte_bpe, chat_hmm, compression_rules, jaccard_join, k
                sharding, token_rollup, toxicity)
 from ..session import scratch_path
 from .labelled import labelled_texts
+from .ordered import running
 from .storage import table, visible, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,37 +156,50 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score(docs, field).select("doc_id", held, "score", "predicted", "goodness", "n_lines")
 
 
-# Turns of a raw transcript at most; transcripts of known roles to learn from, about
+# Turns of a part of a transcript; transcripts of known roles to learn from, about
 TRANSCRIPT_TURNS, CHAT_ROWS = 64, 2_000
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stand-in raw transcripts (conv_id, part, turns of role and raw text, text):
-    the turns of a conversation under each other, in one of four marker styles, a
-    quarter of the turns without a marker."""
-    c = table(spark, sf_dir, "conversations").select(
-        "conv_id", F.expr(f"turn div {TRANSCRIPT_TURNS}").alias("part"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    """Stand-in raw transcripts (key, conv_id, part, turns of role and raw text,
+    text): the turns of a conversation under each other, in one of four marker styles, a
+    quarter of the turns without a marker.  Turns come by number, those without
+    one first, then by role and text; each TRANSCRIPT_TURNS of them are a part.
+    Rows without conv_id are one transcript."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
     human = F.when(F.col("role") == "user", "Human").when(F.col("role") == "assistant", "AI").otherwise(F.initcap("role"))
     mark = (F.when(style == 0, F.concat(F.initcap("role"), F.lit(": "))).when(style == 1, F.concat(human, F.lit(": ")))
             .when(style == 2, F.concat(F.lit("### "), F.initcap("role"), F.lit("\n")))
             .otherwise(F.concat(F.lit("["), F.col("role"), F.lit("] "))))
     bare = (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0) | F.col("role").isNull()
-    c = c.withColumn("raw", F.concat(F.when(bare, F.lit("")).otherwise(mark), "text"))
-    return (c.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "raw"))).alias("turns"))
+    c = c.select("conv_id", "turn", "role", F.concat(F.when(bare, F.lit("")).otherwise(mark), "text").alias("raw"),
+                 F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-")).alias("key"), F.lit(1).cast("long").alias("one"))
+    c = running(c, ["turn", "role", "raw"], "one", "key", "turns")
+    return (c.groupBy("key", "conv_id", F.expr(f"_row div {TRANSCRIPT_TURNS}").alias("part"))
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("_row", "role", "raw"))),
+                             lambda t: F.struct(t["role"].alias("role"), t["raw"].alias("raw"))).alias("turns"))
             .withColumn("text", F.array_join("turns.raw", "\n")))
 
 
 def op6_chat_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every transcript with its recovered roles and canonical rendering; the
-    model learns from about 2,000 transcripts, the others are held out."""
+    """Every transcript with its recovered roles and canonical rendering, one
+    row per part; fold 0 of 5 is held out, and the model learns from the first
+    parts of about 2,000 of the others.  The parts of a long transcript get the roles
+    that one Viterbi over all of it gives; ``continues`` marks a part that
+    opens inside a turn."""
     raw = written(transcripts(spark, sf_dir), "transcripts")
-    n = max(1, raw.count())
-    learned = F.pmod(F.xxhash64("conv_id", "part", F.lit(7)), F.lit(1_000_000)) < 1_000_000 * min(1.0, CHAT_ROWS / n)
-    model = chat_hmm.learn([[(t["role"], t["raw"]) for t in r["turns"]] for r in raw.where(learned).select("turns").collect()])
-    got = raw.select("conv_id", "part", (~learned).alias("held_out"), F.col("turns.role").alias("true_roles"),
-                     chat_hmm.parse(F.col("text"), model).alias("p"))
-    return got.select("conv_id", "part", "held_out", "p.n_lines", F.size("p.turns").alias("n_turns"),
+    held = F.pmod(F.xxhash64("conv_id", F.lit(7)), F.lit(5)) == 0
+    known = raw.where((F.col("part") == 0) & ~held)
+    n = max(1, known.count())
+    model = chat_hmm.learn_table(F.col("turns"), known.where(
+        F.pmod(F.xxhash64("conv_id", F.lit(8)), F.lit(1_000_000)) < 1_000_000 * min(1.0, CHAT_ROWS / n)))
+    long = raw.where("part > 0").select("key").distinct()
+    states = chat_hmm.part_states(raw.join(long, "key", "left_semi").select("key", "part", "text"), model)
+    raw = raw.join(states, ["key", "part"], "left")
+    got = raw.select("conv_id", "part", held.alias("held_out"), F.col("turns.role").alias("true_roles"),
+                     chat_hmm.parse(F.col("text"), model, F.col("before"), F.col("last")).alias("p"))
+    return got.select("conv_id", "part", "held_out", "p.n_lines", "p.continues", F.size("p.turns").alias("n_turns"),
                       F.array_join("p.turns.role", ",").alias("roles"), F.array_join("true_roles", ",", "").alias("true_roles"),
                       chat_hmm.render(F.col("p.turns")).alias("rendered"))
 
