@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dims import (build_calendar, build_dim_customer, build_dim_product,
                               calendar_for_join)
 from ..operators.fact import fact_rows, latest_items, upsert
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import CODEC, ensure_checkpoint_dir, scratch_path
 from ..sources import testdata
 
+STAGING_CODEC = "snappy"
+
 
 @dataclass
 class Star:
@@ -44,20 +46,21 @@ class Star:
         return calendar_for_join(self.calendar, self.n_days)
 
 
-def _materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def _materialize(df: DataFrame, name: str, partition_by: str | None = None, codec: str = CODEC) -> DataFrame:
     """Write a warehouse table (parquet, a fresh version folder) and read it back.
 
     With ``partition_by`` the rows are range-partitioned on that column and the
     order first, so each task writes a contiguous run of partition values (few
-    files per value, and a large value is spread over several tasks)."""
+    files per value, and a large value is spread over several tasks).  Staging tables
+    come as Snappy: what a task sorts is a split's rows, and a denser file has more of them."""
     spark = df.sparkSession
     path = scratch_path(spark, f"warehouse/{name}")
     if partition_by:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         (df.repartitionByRange(n, partition_by, "order_id").write.mode("errorifexists")
-         .partitionBy(partition_by).parquet(path))
+         .option("compression", codec).partitionBy(partition_by).parquet(path))
     else:
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").option("compression", codec).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -81,7 +84,7 @@ def build_star(staging: dict[str, DataFrame], deaccent: bool = False,
         timings[name] = round(time.perf_counter() - t, 3)
         return out
 
-    staging = {name: timed(name, lambda df=df, name=name: _materialize(df, name))
+    staging = {name: timed(name, lambda df=df, name=name: _materialize(df, name, codec=STAGING_CODEC))
                for name, df in staging.items()}
     orders = staging["orders_raw"]
     timings["fact_partitioned_by_day"] = float(bool(partition_fact_by_day))
@@ -194,7 +197,7 @@ def update_star(star: Star, staging: dict[str, DataFrame], deaccent: bool = Fals
     and the upsert's per-action row counts.
     """
     from ..operators.fact import upsert_counts
-    staging = {name: _materialize(df, name) for name, df in staging.items()}
+    staging = {name: _materialize(df, name, codec=STAGING_CODEC) for name, df in staging.items()}
     orders = staging["orders_raw"]
     calendar = _materialize(build_calendar(orders, existing=star.calendar), "dim_calendar")
     n_days = calendar.count()
