@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import accent_blind, business_md5, is_distinct, lead_time_days, on_time_flag, to_day
+from ..session import stored
 from ..sources.staging import dedup_latest
 from .keys import running_total
 
@@ -135,7 +136,7 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
     value_cols = [c for c in src.columns if c not in keys]
     if target is None:
         # First load: dense ids in key order (positional running count on the
-        # range-partitioned, checkpointed rows), then a keys-only uniqueness
+        # range-partitioned, written rows), then a keys-only uniqueness
         # test -- it shuffles the key columns, not the whole rows.
         numbered = running_total(src, order_by=keys, out="_rank")
         if check_unique:
@@ -145,7 +146,7 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
 
     # The batch is read by the uniqueness test, both key filters and the
     # merge: materialize it once (batch-sized) instead of re-deriving it.
-    src = src.checkpoint(eager=True)
+    src = stored(src, "upsert-batch")
     if check_unique:
         assert_unique(src, keys)
     start = target.agg(F.max(id_col)).first()[0] or 0
@@ -161,7 +162,7 @@ def upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str] = FACT_
     if update_cols is None:
         update_cols = [c for c in value_cols if c not in LOOKUP_COLS]
     merged = j.select(id_col, *keys, "action", *merged_values(value_cols, update_cols))
-    merged = merged.checkpoint(eager=True)  # batch-sized; the table and the actions read it
+    merged = stored(merged, "upsert-merged")  # batch-sized; the table and the actions read it
     inserts = merged.filter(F.col("action") == "insert").drop(id_col)
     numbered = running_total(inserts, order_by=keys, out="_rank")
     new_rows = numbered.select((F.col("_rank") + F.lit(start)).cast("bigint").alias(id_col),

@@ -34,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stored
 
 _POS_BITS = 33
 
@@ -102,14 +102,14 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: Column
 
 def _running_count(df: DataFrame, keys: list[Column], parts: list[str], out: str,
                    n: int) -> DataFrame:
-    """Row number inside each group without a window: on the checkpointed
+    """Row number inside each group without a window: on the written
     range-partitioned data a row's position in its partition is its rank in
     that partition, so rank = rows of the group in earlier partitions +
     position - first position of the group in this partition + 1.  Only the
     (partition, group) table is aggregated; no second shuffle of the rows."""
-    staged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .checkpoint(eager=True)
-              .withColumn("_rc_mid", F.monotonically_increasing_id()))
+    # the position is written with the rows, so it doesn't depend on how the files are read
+    staged = stored(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                    .withColumn("_rc_mid", F.monotonically_increasing_id()), "running-count")
     staged = staged.withColumns({
         "_rc_pid": F.shiftright(F.col("_rc_mid"), _POS_BITS),
         "_rc_pos": F.col("_rc_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),

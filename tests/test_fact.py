@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiforge.operators.dims import build_calendar, build_dim_customer, build_dim_product
-from kpiforge.operators.fact import DuplicateKeyError, fact_rows, upsert, upsert_counts
+from kpiforge.operators.fact import DuplicateKeyError, fact_rows, latest_items, upsert, upsert_counts
 
 T = dt.datetime.fromisoformat
 
@@ -112,3 +112,20 @@ def test_build_fact_dedups_then_merges(stage):
     res = build_fact(orders, twice, cust, prod, cal)
     got = {(r["order_id"], r["order_item_id"]): float(r["price"]) for r in res.table.collect()}
     assert got == {("o1", 1): 11.0, ("o4", 1): 5.0}            # later version wins
+
+
+def test_latest_items_leave_the_lineage_in_staging(spark):
+    rows = [("o1", 1, "p1", "s1", 1, "b"), ("o1", 1, "p2", "s1", 1, "a"), ("o1", 1, "p0", "s9", 0, "c"), (None, 2, "p1", None, 1, "a")]
+    staged = spark.createDataFrame(rows, "order_id string, order_item_id int, product_id string, seller_id string, price int, _row_md5 string")
+    staged = staged.withColumns({"freight_value": F.lit(1), "_ingested_at": F.lit(0), "_source_file": F.lit("f")})
+    got = latest_items(staged.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",
+                                     "_ingested_at", "_source_file", "_row_md5"))
+    assert "_row_md5" not in got.columns and "_source_file" not in got.columns
+    assert sorted((r["order_id"] or "", r["product_id"], r["seller_id"]) for r in got.collect()) == [("", "p1", None), ("o1", "p2", "s1")]
+
+
+def test_upsert_reads_only_the_columns_it_needs(spark):
+    rows = spark.range(50).select(F.concat(F.lit("o"), "id").alias("order_id"), F.lit(1).alias("order_item_id"), F.lit("x").alias("v"))
+    table = upsert(None, rows, change_cols=["v"]).table
+    assert table.inputFiles() and "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    assert [r[0] for r in table.orderBy("order_id").select("event_id").collect()] == list(range(1, 51))
