@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import CODEC, scratch_path, stored
 from ..sources.publish import publish, remove
 from .fact import FACT_CHANGE_COLS, FACT_KEYS, LOOKUP_COLS, assert_unique, merge_action, merged_values
 from .keys import running_total
@@ -42,9 +42,11 @@ class BucketedFact:
         # the bucket number that Spark's own bucketing gives a row
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _write(self, rows: DataFrame, name: str, path: str) -> None:
-        (rows.withColumn("_bucket", self._bucket()).repartition(self.buckets, *self.keys)
-         .write.partitionBy("_bucket").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+    def _write(self, rows: DataFrame, name: str, path: str, dealt: bool = False) -> None:
+        rows = rows.withColumn("_bucket", self._bucket())
+        if not dealt:
+            rows = rows.repartition(self.buckets, *self.keys)
+        (rows.write.option("compression", CODEC).partitionBy("_bucket").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
          .option("path", path).saveAsTable(name))
 
     def create(self, rows: DataFrame) -> BucketedFact:
@@ -74,9 +76,7 @@ class BucketedFact:
         keys, spark = list(self.keys), self.spark
         values = [c for c in src.columns if c not in keys]
         update_cols = [c for c in values if c not in LOOKUP_COLS] if update_cols is None else update_cols
-        path = scratch_path(spark, "merge-batch")
-        src.write.parquet(path)
-        src = spark.read.schema(src.schema).parquet(path)
+        src = stored(src, "merge-batch")
         assert_unique(src, keys)
         buckets = sorted(r[0] for r in src.select(self._bucket()).distinct().collect())  # `buckets` at most
         self.touched = tuple(buckets)
@@ -87,7 +87,7 @@ class BucketedFact:
         path = scratch_path(spark, "merge-changes")
         (j.select(*keys, "action", F.col(f"_t_{self.id_col}").alias(self.id_col), F.when(F.col("_in_target"), struct("_t_")).alias("old"),
                   *merged_values(values, update_cols))
-         .select(*keys, "action", self.id_col, "old", F.struct(*values).alias("new")).write.parquet(path))
+         .select(*keys, "action", self.id_col, "old", F.struct(*values).alias("new")).write.option("compression", CODEC).parquet(path))
         changes = spark.read.parquet(path)
         start = self.read().agg(F.max(self.id_col)).first()[0] or 0
         inserts = running_total(changes.where("action = 'insert'").select(*keys), order_by=keys, out="_rank")
@@ -102,7 +102,9 @@ class BucketedFact:
         staged, name = f"{self.path.rstrip('/')}/_staged", f"{self.name}_staged"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove(spark, staged)  # of a merge that stopped
-        self._write(rows.select(*self.read().columns), name, staged)
+        # joined by buckets, the rows lie as the table does; with another number of partitions they are dealt again
+        dealt = spark.conf.get("spark.sql.shuffle.partitions") == str(self.buckets)
+        self._write(rows.select(*self.read().columns), name, staged, dealt)
         spark.sql(f"DROP TABLE {name}")
         publish(spark, staged, self.path)
         spark.catalog.recoverPartitions(self.name)
