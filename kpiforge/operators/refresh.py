@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stored
 from ..sources.publish import folders, publish, stage
 from .kpis import YQ, on_time_value, scoped_fact
 from .percentiles import null_safe_join, percentiles_of_counts
@@ -72,15 +72,16 @@ class KpiTables:
 
     # -- deltas
     def _deltas(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The sums and lead-time counts of signed fact rows in scope."""
+        """The sums and lead-time counts of signed fact rows in scope, both from
+        one pass: the rows are summed by lead time, these sums by quarter."""
         rows = scoped_fact(rows, self.cal, self.cust, self.city)
         sign, on_time = F.col("_sign"), on_time_value()
-        sums = rows.groupBy(*YQ).agg(
+        by_lead = self._store("by-lead", rows.groupBy(*YQ, "lead_time_days").agg(
             F.sum(F.col("price").cast("decimal(28,2)") * sign).cast("decimal(38,2)").alias("revenue"),
             F.sum(on_time.cast("bigint") * sign).alias("on_time"),
-            F.sum(F.when(on_time.isNotNull(), sign).otherwise(0)).cast("bigint").alias("n_flag"), F.sum(sign).cast("bigint").alias("n_rows"))
-        leads = (rows.where(F.col("lead_time_days").isNotNull()).groupBy(*YQ, "lead_time_days")
-                 .agg(F.sum(sign).cast("bigint").alias("n")).where("n != 0"))
+            F.sum(F.when(on_time.isNotNull(), sign).otherwise(0)).cast("bigint").alias("n_flag"), F.sum(sign).cast("bigint").alias("n_rows")))
+        sums = by_lead.groupBy(*YQ).agg(*[F.sum(c).cast("decimal(38,2)" if c == "revenue" else "bigint").alias(c) for c in SUMS])
+        leads = by_lead.where("lead_time_days is not null and n_rows != 0").select(*YQ, "lead_time_days", F.col("n_rows").alias("n"))
         return sums.fillna(0, ["on_time"]), leads
 
     def _save(self, tables: dict[str, DataFrame], quarters: Sequence[tuple[int, int]] | None) -> None:
@@ -99,9 +100,7 @@ class KpiTables:
         return null_safe_join(g, pct, YQ, "left").select("revenue_sp", "lead_time_p", "on_time_rate", *YQ)
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, f"refresh-{name}")
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored(df, f"refresh-{name}")
 
     # -- use
     def build(self, fact: DataFrame) -> KpiTables:

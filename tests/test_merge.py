@@ -180,3 +180,33 @@ def test_signed_rows(spark, fact):
     f = fact(upsert(None, items(spark, 0, 3)).table)
     got = signed_rows(f.merge(items(spark, 1, 4, price=2)), ["price"])
     assert got.groupBy("_sign").count().orderBy("_sign").collect() == [(-1, 4), (1, 6)]
+
+
+def test_a_merge_deals_its_rows_once(spark, fact, monkeypatch):
+    f = fact(upsert(None, items(spark, 0, 60)).table)
+    plans, write = [], BucketedFact._write
+    monkeypatch.setattr(BucketedFact, "_write", lambda self, rows, name, path, dealt=False: (
+        plans.append((dealt, rows)), write(self, rows, name, path, dealt))[1])
+    want = upsert(f.read(), items(spark, 30, 70, price=2)).table.checkpoint()
+    f.merge(items(spark, 30, 70, price=2))
+    assert plans[0][0]  # written as joined, not repartitioned again
+    assert same(f.read(), want)
+    assert all(len(glob.glob(f"{d}/*.parquet")) == 1 for d in glob.glob(f"{f.path.removeprefix('file:')}/_bucket=*"))
+
+
+def test_buckets_of_another_number_than_partitions(spark, fact):
+    old = upsert(None, items(spark, 0, 60)).table
+    f, want = fact(old, 5), upsert(old, items(spark, 30, 70, price=2)).table
+    f.merge(items(spark, 30, 70, price=2))
+    assert same(f.read(), want)
+
+
+def test_sums_and_leads_come_from_one_pass(spark, fact, dims, tmp_path, monkeypatch):
+    cal, cust = dims
+    kept, store = [], KpiTables._store
+    monkeypatch.setattr(KpiTables, "_store", lambda self, name, df: (kept.append(name), store(self, name, df))[1])
+    t = KpiTables(spark, str(tmp_path), cal, cust, "here")
+    rows = items(spark, 0, 200).withColumn("lead_time_days", F.when(F.col("order_item_id") == 1, F.col("lead_time_days")))
+    t.build(rows)
+    assert kept == ["by-lead"]
+    assert kpi_rows(t.kpis()) == kpi_rows(kpis.fact_kpis(rows, cal, cust, "here"))
