@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .labelled import fit_sigmoid
 from .storage import written
-from .texts import per_text, text_bytes
+from .texts import per_text, text_bytes, trim
 
 # Letters of other scripts that look like Latin ones
 _CYRILLIC = dict(zip("абвеёзикмнорстухіјѕһԁԛԝү", "abbeeznkmhopctyxijshdqwy", strict=True))
@@ -40,6 +40,7 @@ _GREEK = dict(zip("αβεηικνορτυχω", "abenikvoptuxw", strict=True))
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
 
 MIN_STEM, MAX_STEM = 4, 16
+COUNT_ENTRIES = 100_000  # entries that a task counts at a time
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BEFORE = re.compile(r"([^\W\d_]+) $")
 _AFTER = re.compile(r" ([^\W\d_]+)")
@@ -196,6 +197,8 @@ def _count(parts: Iterator[pa.RecordBatch], of, most: int) -> Iterator[pa.Record
                 got.clear()
     if got:
         yield batch()
+    got.clear()
+    trim()
 
 
 def _distinct(rows: DataFrame) -> DataFrame:
@@ -208,7 +211,7 @@ def _entries(once: DataFrame, of) -> DataFrame:
     """How many toxic and other documents, and distinct texts of them, have each entry."""
     sums = ("n_bad", "n_other", "t_bad", "t_other")
     return (once.select(text_bytes(F.col("text")).alias("t"), (F.col("_y") == 1).alias("b"), "copies")
-            .mapInArrow(lambda it: _count(it, of, 200_000), "entry string, n_bad long, n_other long, t_bad long, t_other long")
+            .mapInArrow(lambda it: _count(it, of, COUNT_ENTRIES), "entry string, n_bad long, n_other long, t_bad long, t_other long")
             .groupBy("entry").agg(*(F.sum(c).alias(c) for c in sums)))
 
 

@@ -203,3 +203,21 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     got = op8_jaccard_join(spark, d).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_a_worker_gives_its_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from kpiforge.llm import jaccard_join, toxicity
+    calls = []
+    for module in (jaccard_join, toxicity):
+        monkeypatch.setattr(module, "trim", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([b"a b c d e f", b""])], ["doc_id", "t"])
+    got = [r for b in jaccard_join._survey(iter([batch])) for r in b.to_pylist()]
+    assert [r["n"] for r in got if r["n"] is not None] == [2, 0] and len(calls) == 1
+    heads = list(jaccard_join._heads(iter([batch]), np.zeros(0, np.int64), np.zeros(0, np.int64), 75))
+    assert heads[0].num_rows == 1 and len(calls) == 2
+    counted = pa.RecordBatch.from_arrays([pa.array([b"ab", b"ab"]), pa.array([True, False]), pa.array([3, 1])], ["t", "b", "copies"])
+    # a bound of one entry at a time: the parts add up to the same
+    parts = [r for b in toxicity._count(iter([counted]), lambda t: list(t), 1) for r in b.to_pylist()]
+    assert sum(r["n_bad"] for r in parts if r["entry"] == "a") == 3 and len(calls) == 3
