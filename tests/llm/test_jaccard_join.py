@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
