@@ -4,12 +4,13 @@ Documents longer than a sequence are cut; full pieces are sequences of their
 own.  The other pieces are ranked by length over range partitions and dealt in
 turn to buckets of a few thousand, so all buckets have nearly the same lengths.
 
-A bucket is evolved on several islands, one task each: a child takes whole
-well-filled bins of one parent, the bins of the other parent that hold any of
-their documents are dissolved, which removes the duplicates, and the displaced
-documents are put where they fit best.  After each epoch the islands hand their
-elite to the next island.  A bucket whose bins can't get fewer (a lower bound is
-reached) takes no further part.
+A bucket starts with best-fit decreasing and is then evolved on several islands,
+one task each: a child takes whole well-filled bins of one parent, the bins of
+the other parent that hold any of their documents are dissolved, which removes
+the duplicates, and the displaced documents are put where they fit best.  After
+each epoch the islands hand their elite to the next island.  A bucket whose bins
+can't get fewer (a lower bound is reached), be it at the start, takes no further
+part, and an epoch has tasks only for the buckets that do.
 
 The sequences of all buckets that are far from full are then dissolved together
 and packed again as one problem of fewer pieces, as long as that saves any.
@@ -59,8 +60,8 @@ def pieces(spark: SparkSession, tokenizer: str, capacity: int = CAPACITY, with_i
 
         def each(texts: list[str]) -> pa.Array:
             out = []
-            for ids in bpe.encode(texts):
-                ids = np.array(ids + [0], "<u4")
+            for ids in bpe.arrays(texts):
+                ids = np.append(ids, np.uint32(0)).astype("<u4", copy=False)
                 out.append([{"piece": k, "start": at, "length": n, "ids_crc32": zlib.crc32(ids[at:at + n].tobytes()),
                              "ids": ids[at:at + n].astype(np.int32) if with_ids else None}
                             for k, (at, n) in enumerate(cuts(len(ids), capacity))])
@@ -174,6 +175,21 @@ def evolve(sizes: np.ndarray, elite: list[np.ndarray], bound: int, capacity: int
     return flock[:ELITE]
 
 
+def _start(capacity: int):
+    """The packing that all islands of a bucket start from, its bins and their lower bound."""
+    kind = pa.struct([("first", pa.list_(pa.int32())), ("bins", pa.int32()), ("bound", pa.int32())])
+
+    @F.arrow_udf("struct<first:array<int>,bins:int,bound:int>")
+    def run(sizes: pa.Array) -> pa.Array:
+        out = []
+        for s in sizes:
+            s = np.array(s.as_py(), np.int64)
+            first = first_packing(s, capacity)
+            out.append({"first": first, "bins": int(first.max()) + 1, "bound": least_bins(s, np.ones(len(s), np.int64), capacity)})
+        return pa.array(out, kind)
+    return run
+
+
 def _island(capacity: int):
     @F.arrow_udf("struct<elite:array<array<int>>,bins:int,bound:int>")
     def run(bucket: pa.Array, island: pa.Array, epoch: pa.Array, sizes: pa.Array, elite: pa.Array) -> pa.Array:
@@ -214,18 +230,22 @@ def _pack(items: DataFrame, n: int, capacity: int) -> DataFrame:
     dealt = (items.select((F.col("_place") % buckets).alias("bucket"), "_place", "_row", "length")
              .groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("_place", "_row", "length"))).alias("i"))
              .select("bucket", F.col("i._row").alias("ranks"), F.col("i.length").alias("sizes")))
-    dealt = written(dealt, "pack-buckets")
-    island, state, done = _island(capacity), None, []
+    dealt = written(dealt.withColumn("s", _start(capacity)("sizes")).select("bucket", "ranks", "sizes", "s.*"), "pack-buckets")
+    going = dealt.where("bins > bound").count()  # buckets that take part in the next epoch
+    island, state = _island(capacity), None
+    done = [dealt.where("bins <= bound").select("bucket", F.col("first").alias("bins"))]
     for epoch in range(EPOCHS):
+        if not going:
+            break
         if state is None:
-            flock = dealt.select("bucket", "sizes", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"),
-                                 F.lit(None).cast("array<array<int>>").alias("elite"))
+            flock = dealt.where("bins > bound").select("bucket", "sizes", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"),
+                                                       F.array("first").alias("elite"))
         else:  # an island's own elite and that of the island before it
             sent = state.select("bucket", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("elite").alias("guests"))
             flock = (state.join(sent, ["bucket", "island"]).join(dealt.select("bucket", "sizes"), "bucket")
                      .select("bucket", "sizes", "island", F.concat("elite", "guests").alias("elite")))
         # a task for each few islands: one of them is seconds of work, few bytes
-        flock = flock.repartition(max(1, min(buckets * ISLANDS, 100_000)), "bucket", "island")
+        flock = flock.repartition(min(going * ISLANDS, 100_000), "bucket", "island")
         got = written(flock.select("bucket", "island", island("bucket", "island", F.lit(epoch), "sizes", "elite").alias("g"))
                       .select("bucket", "island", "g.*"), "pack-islands")
         best = got.groupBy("bucket").agg(F.min("bins").alias("least"), F.max("bound").alias("bound"))
@@ -233,12 +253,12 @@ def _pack(items: DataFrame, n: int, capacity: int) -> DataFrame:
         done.append(got.join(ended, "bucket").where("bins = least").groupBy("bucket").agg(
             F.min_by(F.col("elite")[0], "island").alias("bins")))
         state = got.join(best.where(F.col("least") > F.col("bound")).select("bucket"), "bucket").select("bucket", "island", "elite")
-        if epoch < EPOCHS - 1 and state.isEmpty():
-            break
+        if epoch < EPOCHS - 1:
+            going = best.where("least > bound").count()
     found = done[0]
     for more in done[1:]:
         found = found.unionAll(more)
-    placed = dealt.join(found, "bucket").select("bucket", F.inline(_places("ranks", "sizes", "bins")))
+    placed = dealt.select("bucket", "ranks", "sizes").join(found, "bucket").select("bucket", F.inline(_places("ranks", "sizes", "bins")))
     return written(placed.select("_row", "bucket", "bin", "offset", "fill"), "pack-placed")
 
 

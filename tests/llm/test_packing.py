@@ -95,6 +95,17 @@ def test_a_file_whose_merges_are_out_of_order_is_encoded_by_its_library():
     assert bpe.encode(["abc", "bca"]) == [[4, 2], [3, 0]]
 
 
+def test_ids_as_arrays_and_runs_of_whitespace(library):
+    from kpiforge.llm.byte_bpe import NO_TOKEN, encoder
+    rnd = random.Random(3)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u2003", "\x1c", "\x85", "a", "é", "1", "'s", "'ll", "'LL", "...", NO_TOKEN, "<|endoftext|>"]
+    texts = ["".join(rnd.choices(parts, k=40)) for _ in range(3000)] + ["", NO_TOKEN, "é" + NO_TOKEN * 3, " " * 50_000 + "x", "\n " * 20_000]
+    bpe = encoder(load(BYTE_FILE))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = list(bpe.arrays(texts))
+    assert all(a.dtype == np.uint32 for a in got) and [a.tolist() for a in got] == want == bpe.encode(texts)
+
+
 def triplets(n, capacity, rnd):
     """Lengths of three to a bin that fill n bins exactly."""
     out = []
@@ -152,6 +163,44 @@ def test_several_buckets_reach_nearly_the_fewest_sequences(spark):
     assert pack_lengths(spark, lengths, 1000) <= -(-sum(lengths) // 1000) + 2
 
 
+@pytest.fixture
+def epochs(monkeypatch):
+    """For each epoch of islands that ran: its tasks, and the buckets and islands it wrote."""
+    seen, written = [], packing.written
+
+    def watch(df, name):
+        out = written(df, name)
+        if name == "pack-islands":
+            seen.append((df.rdd.getNumPartitions(), out.select("bucket", "island", "bins", "bound").collect()))
+        return out
+
+    monkeypatch.setattr(packing, "written", watch)
+    return seen
+
+
+def test_buckets_at_their_bound_start_no_islands(spark, epochs):
+    assert pack_lengths(spark, [500] * 9000, 1000) == 4500
+    assert epochs == []
+
+
+def test_an_epoch_has_tasks_for_the_buckets_that_go_on_only(spark, epochs, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET", 30)
+    monkeypatch.setattr(packing, "PASSES", 1)
+    rnd = random.Random(12)
+    # eight buckets: each has every eighth item by length
+    pack_lengths(spark, [rnd.randint(150, 480) for _ in range(240)], 1000)
+    assert epochs
+    for at, (tasks, rows) in enumerate(epochs):
+        buckets = {r["bucket"] for r in rows}
+        if at:
+            best = {}
+            for r in epochs[at - 1][1]:
+                best[r["bucket"]] = min(best.get(r["bucket"], r["bins"]), r["bins"])
+            bound = {r["bucket"]: r["bound"] for r in epochs[at - 1][1]}
+            assert buckets == {b for b, n in best.items() if n > bound[b]}
+        assert len(buckets) < 8 and tasks == len(rows) == len(buckets) * packing.ISLANDS
+
+
 def test_one_length_holds_all_rows(spark):
     assert pack_lengths(spark, [400] * 5000 + [1000] * 50, 1000) == 2550
 
