@@ -147,6 +147,73 @@ def test_near_copies_of_many_equal_copies(spark, monkeypatch):
     check(spark, rows)
 
 
+def family(rnd, size, base):
+    """Edited copies of one text: some link to it, most only to a few others or to none."""
+    rows = []
+    for k in range(size):
+        copy = list(base)
+        for at in rnd.sample(range(len(base)), 0 if k == 0 else rnd.randint(1, 14)):
+            copy[at] = rnd.choice([f"x{k}-{at}", f"x{at}"])
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("limits", [{}, {"BLOCK_SETS": 40_000}, {"BLOCK_WORK": 0}])
+def test_a_large_family_is_not_joined_list_by_list(spark, monkeypatch, limits):
+    rnd = random.Random(11)
+    rows = family(rnd, 300, rnd.choices([f"v{k}" for k in range(9000)], k=150))
+    made = Counter()
+    whole = J.written
+
+    def counted(df, name):
+        got = whole(df, name)
+        made[name] += got.count()
+        return got
+
+    monkeypatch.setattr(J, "written", counted)
+    for name, value in limits.items():
+        monkeypatch.setattr(J, name, value)
+    check(spark, rows)
+    # pairs to verify and links come by the sets, not by the pairs of sets
+    assert limits.get("BLOCK_WORK") == 0 or made["pairs"] < 300 and made["links"] < 900
+    assert (made["parts"] > 0) == (limits.get("BLOCK_WORK") != 0)
+
+
+def test_links_of_a_block(monkeypatch):
+    monkeypatch.setattr(J, "TILE", 7)
+    rnd = np.random.default_rng(4)
+    for trial in range(40):
+        base = np.unique(rnd.integers(-2**63, 2**63 - 1, int(rnd.choice([12, 40, 130, 270]))))
+        sets = []
+        for _ in range(60):
+            keep = base[rnd.random(len(base)) < rnd.choice([0.7, 0.8, 0.9, 1])]
+            sets.append(np.unique(np.concatenate([keep, rnd.integers(-2**63, 2**63 - 1, int(rnd.integers(0, len(base) // 6 + 1)))])))
+        component, part, u, v = rnd.integers(0, 45, 60), rnd.integers(0, 2, 60), Union(), Union()
+        for k, c in enumerate(component.tolist()):
+            u.link(("c", c), ("id", k)), v.link(("c", c), ("id", k))
+        cross = trial % 2 == 1
+        for i, j in combinations(range(60), 2):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if len(sets[i]) + len(sets[j]) and 175 * shared >= 75 * (len(sets[i]) + len(sets[j])) and not (cross and part[i] == part[j]):
+                u.link(("id", i), ("id", j))
+        got = list(J.block_links(np.arange(60), component, part, sets, cross))
+        for i, j in got:
+            assert 175 * len(np.intersect1d(sets[i], sets[j])) >= 75 * (len(sets[i]) + len(sets[j]))
+            v.link(("id", i), ("id", j))
+        assert [u.find(("id", k)) for k in range(60)] == [v.find(("id", k)) for k in range(60)]
+        assert len(got) < len(set(component.tolist()))
+
+
+def test_sketches_bound_the_difference():
+    rnd = random.Random(12)
+    for words in (1, 4, 32):
+        for _ in range(50):
+            a, b = (np.array(sorted(rnd.sample(range(400), rnd.randint(0, 300))), np.int64) * 0x9E3779B97F4A7 for _ in "ab")
+            one, two = J.sketches([a, b], 2 * words)
+            for x, y in ((one, two), (one[:words] ^ one[words:], J.sketches([b], words)[0])):
+                assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_dealt_lists_keep_all_entries(spark):
     # 25 sets that share a frequent shingle, dealt over 13 parts: some are alone in theirs
     heads = spark.createDataFrame([(k, 40, [7, 1000 + k, 2000 + k // 2]) for k in range(25)], "id long, n long, head array<long>")
